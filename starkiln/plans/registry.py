@@ -243,3 +243,637 @@ def agg_10(spark, d):
 @register("agg_11")
 def agg_11(spark, d):
     return AN.key_collision_rate(fct(spark, d))
+
+
+# =============================================================================
+# Sources, sinks, sets, incremental strategies, snapshots, quality tests,
+# scalar functions, generators, streaming and UDFs.
+# =============================================================================
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from ..functions import dates as DT  # noqa: E402
+from ..functions import generators as G  # noqa: E402
+from ..functions import scalar as S  # noqa: E402
+from ..operators import incremental as INC  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import schema_change as SCH  # noqa: E402
+from ..operators import sinks as SK  # noqa: E402
+from ..operators import snapshot as SCD  # noqa: E402
+from ..schemas import ACCEPTED_BOROUGHS, FCT_TRIPS_COLUMNS  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import ingest as ING  # noqa: E402
+from ..sources import seeds as SEED  # noqa: E402
+from . import udf as U  # noqa: E402
+
+# Timestamps of the two snapshot runs and of the freshness check.
+SNAPSHOT_T1 = "2024-01-01 00:00:00"
+SNAPSHOT_T2 = "2024-02-01 00:00:00"
+REPORT_TIME = "2024-02-01 00:00:00"
+
+
+def _scratch(spark, kind: str) -> str:
+    return scratch_path(spark, kind, _uuid.uuid4().hex)
+
+
+def _tname(prefix: str) -> str:
+    return f"{prefix}_{_uuid.uuid4().hex[:12]}"
+
+
+def fct_delta(spark, d):
+    """Fact rows of the files newer than the day-20 target (watermark delta)."""
+    return M.fct_trips(FL.since_watermark(stg(spark, d), fct_target(spark, d)), dim(spark, d))
+
+
+def fct_reload(spark, d):
+    """Fact rows of the second load of the reloaded files."""
+    return M.fct_trips(reload_delta(spark, d), dim(spark, d))
+
+
+# -- 2.1 sources and sinks -------------------------------------------------------
+@register("src_01")
+def src_01(spark, d):
+    return raw(spark, d)
+
+
+@register("src_02")
+def src_02(spark, d):
+    ev = D.table(spark, d, "events").select("event_id")
+    return ING.with_lineage(ev, loaded_at=F.lit(REPORT_TIME).cast("timestamp"))
+
+
+@register("src_03")
+def src_03(spark, d):
+    land = D.landing_trips(spark, d)
+    cut = F.col("tpep_pickup_datetime") < F.lit("2024-01-16").cast("timestamp_ntz")
+    old = land.filter(cut)
+    new = land.filter(~cut).withColumnRenamed("Airport_fee", "airport_fee")
+    both = old.unionByName(new, allowMissingColumns=True)  # case-insensitive: the spellings fold
+    return ING.ingest_trips(both).select("tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID", "Airport_fee")
+
+
+@register("src_04")
+def src_04(spark, d):
+    land = D.landing_trips(spark, d)
+    micros = land.withColumn("tpep_pickup_datetime", F.unix_micros(F.col("tpep_pickup_datetime").cast("timestamp"))) \
+        .withColumn("tpep_dropoff_datetime", F.unix_micros(F.col("tpep_dropoff_datetime").cast("timestamp")))
+    return ING.ingest_trips(micros).select("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount")
+
+
+@register("src_05")
+def src_05(spark, d):
+    have = raw(spark, d).filter(F.col("_loaded_at") <= F.lit(TARGET_CUTOFF).cast("timestamp"))
+    return ING.load_if_absent(have, raw(spark, d))
+
+
+@register("src_06")
+def src_06(spark, d):
+    r = raw(spark, d)
+    last = r.agg(F.max("_source_file").alias("f")).first()["f"]
+    return ING.rows_loaded(r, last)
+
+
+@register("src_07")
+def src_07(spark, d):
+    path = _scratch(spark, "zones_csv")
+    D.raw_zones(spark, d).write.option("header", True).csv(path)
+    return SEED.read_zones(spark, path)
+
+
+@register("src_08")
+def src_08(spark, d):
+    b = raw(spark, d).agg(F.date_format(F.min("tpep_pickup_datetime"), "yyyy-MM").alias("lo"),
+                          F.date_format(F.max("tpep_pickup_datetime"), "yyyy-MM").alias("hi")).first()
+    months = ING.target_months(f"{b['lo']},{b['hi']}")
+    return spark.createDataFrame([(m, f) for m, f in zip(months, ING.month_files(months))], "month string, file string")
+
+
+@register("src_09")
+def src_09(spark, d):
+    path = _scratch(spark, "seed_csv")
+    cust = D.table(spark, d, "customer").select(
+        "c_custkey", "c_name", F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("nation_code"), "c_acctbal")
+    cust.write.option("header", True).csv(path)
+    return SEED.seed(spark, path, column_types={"nation_code": "string"})
+
+
+@register("snk_01")
+def snk_01(spark, d):
+    return SK.as_view(fct(spark, d), _tname("v_fct_trips"))
+
+
+@register("snk_02")
+def snk_02(spark, d):
+    return SK.as_table(fct(spark, d), _tname("fct_trips_tbl"), root=_scratch(spark, "wh"))
+
+
+@register("snk_03")
+def snk_03(spark, d):
+    name = _tname("fct_trips_clustered")
+    return SK.as_table(fct(spark, d), name, root=_scratch(spark, "wh"), cluster_by=["pickup_date", "pickup_zone_id"])
+
+
+@register("snk_04")
+def snk_04(spark, d):
+    root = _scratch(spark, "wh")
+    src = _tname("fct_src")
+    SK.as_table(fct(spark, d), src, root=root, partition_by=["_source_file"])
+    return SK.clone(spark, src, _tname("fct_clone"), root=root)
+
+
+# -- 2.5 / 2.6 / 2.7 windows, sorts, sets ------------------------------------------
+REGISTRY["win_01"] = REGISTRY["flt_06"]
+
+
+@register("win_02")
+def win_02(spark, d):
+    f = fct(spark, d)
+    b = f.agg(F.min("pickup_date").alias("lo"), F.date_add(F.max("pickup_date"), 1).alias("hi"))
+    spine = G.spine_between(spark, b, "lo", "hi", "day", "day")
+    daily = f.groupBy(F.col("pickup_date").alias("day")).agg(F.count(F.lit(1)).alias("trips"))
+    return spine.join(daily, "day", "left").select("day", F.coalesce("trips", F.lit(0)).alias("trips"))
+
+
+@register("srt_01")
+def srt_01(spark, d):
+    return fct(spark, d).select("pickup_borough", "pickup_hour", "trip_key").orderBy(
+        F.col("pickup_borough").asc(), F.col("pickup_hour").desc(), "trip_key")
+
+
+@register("srt_02")
+def srt_02(spark, d):
+    return Q.aggregated_unique(fct(spark, d), ["trip_key", "pickup_zone_id"]).orderBy(
+        "column_name", F.col("n_records").desc())
+
+
+@register("srt_03")
+def srt_03(spark, d):
+    return fct(spark, d).select("trip_key", "total_amount", "pickup_at").orderBy(
+        F.col("total_amount").desc(), "trip_key", "pickup_at").limit(100)
+
+
+@register("set_01")
+def set_01(spark, d):
+    return fct_target(spark, d).unionByName(fct_delta(spark, d))
+
+
+@register("set_02")
+def set_02(spark, d):
+    return stg_all(spark, d).subtract(stg(spark, d))
+
+
+@register("set_03")
+def set_03(spark, d):
+    cols = ["vendor_id", "pickup_at", "dropoff_at", "pickup_zone_id", "total_amount"]
+    return M.stg_trips(reloaded_raw(spark, d)).select(*cols).intersect(stg(spark, d).select(*cols))
+
+
+# -- 2.10 incremental strategies ---------------------------------------------------
+@register("inc_01")
+def inc_01(spark, d):
+    return INC.apply_append(fct_target(spark, d), fct_delta(spark, d))
+
+
+@register("inc_02")
+def inc_02(spark, d):
+    return INC.apply_delete_insert(fct(spark, d), fct_reload(spark, d), "_source_file")
+
+
+@register("inc_02_watermark")
+def inc_02_watermark(spark, d):
+    return INC.apply_delete_insert(fct_target(spark, d), fct_delta(spark, d), "_source_file")
+
+
+def _lineitem_delta(spark, d):
+    li = D.table(spark, d, "lineitem")
+    return li.filter(F.col("l_returnflag") == "R").withColumn("l_quantity", F.col("l_quantity") + 1)
+
+
+@register("inc_02_composite")
+def inc_02_composite(spark, d):
+    li = D.table(spark, d, "lineitem")
+    return INC.apply_delete_insert(li, _lineitem_delta(spark, d), ["l_orderkey", "l_linenumber"],
+                                   predicates=["l_linestatus = 'F'"])
+
+
+def _orders_delta(spark, d):
+    o = D.table(spark, d, "orders")
+    upd = o.filter(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1) \
+        .withColumn("o_orderpriority", F.lit("0-CHANGED"))
+    mx = o.agg(F.max("o_orderkey").alias("mx")).first()["mx"]  # one scalar: the key offset for new rows
+    new = o.filter(F.col("o_orderpriority") == "1-URGENT").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(mx))
+    return upd.unionByName(new)
+
+
+@register("inc_03")
+def inc_03(spark, d):
+    return INC.apply_merge(D.table(spark, d, "orders"), _orders_delta(spark, d), "o_orderkey")
+
+
+@register("inc_03_update_columns")
+def inc_03_update_columns(spark, d):
+    return INC.apply_merge(D.table(spark, d, "orders"), _orders_delta(spark, d), "o_orderkey",
+                           update_columns=["o_totalprice"])
+
+
+@register("inc_04")
+def inc_04(spark, d):
+    return INC.apply_insert_overwrite(fct_target(spark, d), fct_delta(spark, d))
+
+
+@register("inc_04_predicates")
+def inc_04_predicates(spark, d):
+    return INC.apply_insert_overwrite(fct_target(spark, d), fct_delta(spark, d),
+                                      predicates=["pickup_date >= date'2024-01-15'"], whole_table=False)
+
+
+@register("inc_05")
+def inc_05(spark, d):
+    newer = M.fct_trips(M.stg_trips(reloaded_raw(spark, d), latest_only=True), dim(spark, d))
+    return INC.apply_microbatch(fct(spark, d), newer, "pickup_at", "2024-01-25", "2024-02-01", "day")
+
+
+@register("inc_06")
+def inc_06(spark, d):
+    strategy = INC.default_strategy()
+    assert strategy == "merge"
+    return INC.apply_merge(D.table(spark, d, "orders"), _orders_delta(spark, d), "o_orderkey")
+
+
+@register("inc_07")
+def inc_07(spark, d):
+    return INC.stable(fct_delta(spark, d))
+
+
+def _changed_delta(spark, d):
+    return (fct_delta(spark, d).withColumn("tip_bucket", F.floor(F.col("tip_amount") / 3).cast("int"))
+            .drop("airport_fee").withColumn("passenger_count", F.col("passenger_count").cast("string")))
+
+
+def _schema_change(spark, d, mode):
+    t, dl = SCH.reconcile(fct_target(spark, d), _changed_delta(spark, d), mode)
+    return INC.apply_append(t, dl)
+
+
+@register("inc_08_ignore")
+def inc_08_ignore(spark, d):
+    return _schema_change(spark, d, "ignore")
+
+
+@register("inc_08_append_new_columns")
+def inc_08_append_new_columns(spark, d):
+    return _schema_change(spark, d, "append_new_columns")
+
+
+@register("inc_08_sync_all_columns")
+def inc_08_sync_all_columns(spark, d):
+    return _schema_change(spark, d, "sync_all_columns")
+
+
+@register("inc_09")
+def inc_09(spark, d):
+    name = _tname("fct_inc")
+    root = _scratch(spark, "wh")
+    INC.incremental(spark, name, fct_target(spark, d), partition_by=["_source_file"], root=root)
+    INC.incremental(spark, name, fct(spark, d), full_refresh=True, partition_by=["_source_file"], root=root)
+    return spark.table(name)
+
+
+@register("inc_02_materialized")
+def inc_02_materialized(spark, d):
+    """The fact build as the pipeline runs it: first build, watermark delta, reload, empty rerun."""
+    name = _tname("fct_trips")
+    root = _scratch(spark, "wh")
+    dm = dim(spark, d)
+
+    def model(s, is_inc):
+        src = stg(s, d)
+        if is_inc:
+            src = FL.since_watermark(src, s.table(name))
+        return M.fct_trips(src, dm)
+
+    first = M.fct_trips(stg(spark, d).filter(F.col("_loaded_at") <= F.lit(TARGET_CUTOFF).cast("timestamp")), dm)
+    INC.incremental(spark, name, first, partition_by=["_source_file"], root=root)
+    INC.incremental(spark, name, model, "delete+insert", "_source_file")
+    INC.incremental(spark, name, fct_reload(spark, d), "delete+insert", "_source_file")
+    rerun = INC.incremental(spark, name, model, "delete+insert", "_source_file")
+    assert rerun["rows_inserted"] == 0, rerun
+    return spark.table(name)
+
+
+# -- 2.11 snapshots -----------------------------------------------------------------
+def customer_v1(spark, d):
+    c = D.table(spark, d, "customer")
+    return c.filter(F.col("c_mktsegment") != "BUILDING").withColumn(
+        "updated_at", F.lit(SNAPSHOT_T1).cast("timestamp"))
+
+
+def customer_v2(spark, d):
+    c = D.table(spark, d, "customer").filter(F.col("c_mktsegment") != "MACHINERY")
+    chg = F.col("c_mktsegment") == "AUTOMOBILE"
+    return c.select("c_custkey", "c_name", "c_nationkey",
+                    F.when(chg, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+                    "c_mktsegment",
+                    F.when(chg, F.lit(SNAPSHOT_T2)).otherwise(F.lit(SNAPSHOT_T1)).cast("timestamp").alias("updated_at"))
+
+
+def _two_runs(spark, d, **kw):
+    keys = kw.pop("unique_key", "c_custkey")
+    h1 = SCD.snapshot(customer_v1(spark, d), None, keys, now=SNAPSHOT_T1, **kw)
+    return SCD.snapshot(customer_v2(spark, d), h1, keys, now=SNAPSHOT_T2, **kw)
+
+
+@register("scd_01")
+def scd_01(spark, d):
+    return _two_runs(spark, d, strategy="timestamp", updated_at="updated_at", hard_deletes="invalidate")
+
+
+@register("scd_02")
+def scd_02(spark, d):
+    return _two_runs(spark, d, strategy="timestamp", updated_at="updated_at")
+
+
+@register("scd_03")
+def scd_03(spark, d):
+    h1 = SCD.snapshot(customer_v1(spark, d).drop("updated_at"), None, "c_custkey", "check",
+                      check_cols=["c_acctbal", "c_name"], now=SNAPSHOT_T1)
+    return SCD.snapshot(customer_v2(spark, d).drop("updated_at"), h1, "c_custkey", "check",
+                        check_cols=["c_acctbal", "c_name"], now=SNAPSHOT_T2)
+
+
+@register("scd_04")
+def scd_04(spark, d):
+    return _two_runs(spark, d, strategy="timestamp", updated_at="updated_at", hard_deletes="new_record")
+
+
+@register("scd_05")
+def scd_05(spark, d):
+    return scd_01(spark, d).select("c_custkey", "dbt_scd_id", "dbt_valid_from")
+
+
+@register("scd_06")
+def scd_06(spark, d):
+    return _two_runs(spark, d, unique_key=["c_custkey", "c_nationkey"], strategy="timestamp",
+                     updated_at="updated_at", hard_deletes="invalidate", valid_to_current="9999-12-31 00:00:00")
+
+
+# -- 2.12 data-quality tests ------------------------------------------------------------
+@register("dq_01")
+def dq_01(spark, d):
+    return Q.not_null(fct(spark, d), "pickup_borough")
+
+
+@register("dq_01_declared")
+def dq_01_declared(spark, d):
+    return Q.run_declared_tests(fct(spark, d), ["trip_key", "pickup_at", "total_amount"])
+
+
+@register("dq_02")
+def dq_02(spark, d):
+    return Q.unique(fct(spark, d), "trip_key")
+
+
+@register("dq_02_zone_id")
+def dq_02_zone_id(spark, d):
+    return Q.unique(dim(spark, d), "zone_id")
+
+
+@register("dq_03")
+def dq_03(spark, d):
+    return Q.accepted_values(dim(spark, d), "borough", ACCEPTED_BOROUGHS)
+
+
+@register("dq_03_fact")
+def dq_03_fact(spark, d):
+    return Q.accepted_values(fct(spark, d), "pickup_borough", ["AFRICA", "AMERICA", "ASIA"])
+
+
+@register("dq_04")
+def dq_04(spark, d):
+    return Q.relationships(fct(spark, d), "pickup_zone_id", dim(spark, d), "zone_id")
+
+
+@register("dq_05")
+def dq_05(spark, d):
+    return Q.aggregated_not_null(fct(spark, d), FCT_TRIPS_COLUMNS, skip=["_loaded_at"])
+
+
+@register("dq_06")
+def dq_06(spark, d):
+    return Q.aggregated_unique(fct(spark, d), ["trip_key", "pickup_zone_id", "payment_method", "pickup_date"])
+
+
+@register("dq_07")
+def dq_07(spark, d):
+    return Q.verdict(Q.not_null(fct(spark, d), "pickup_borough"))
+
+
+@register("dq_07_custom")
+def dq_07_custom(spark, d):
+    return Q.verdict(Q.unique(fct(spark, d), "trip_key"), fail_calc="coalesce(sum(n_records), 0)",
+                     warn_if="> 10", error_if="> 100000")
+
+
+@register("dq_08")
+def dq_08(spark, d):
+    return Q.verdict_by_column(Q.aggregated_not_null(fct(spark, d), FCT_TRIPS_COLUMNS))
+
+
+@register("dq_09")
+def dq_09(spark, d):
+    fails = Q.relationships(fct(spark, d), "pickup_zone_id", dim(spark, d), "zone_id")
+    stored = SK.as_table(fails, _tname("dq_relationships_failures"), root=_scratch(spark, "wh"))
+    return Q.verdict(stored)
+
+
+@register("dq_10")
+def dq_10(spark, d):
+    cols = ["vendor_id", "pickup_at", "total_amount", "_source_file", "_loaded_at"]
+    actual = M.stg_trips(reloaded_raw(spark, d))
+    expected = M.stg_trips(reloaded_raw(spark, d), latest_only=True)
+    return Q.unit_diff(actual, expected, cols)
+
+
+@register("dq_12")
+def dq_12(spark, d):
+    f = fct(spark, d)
+    declared = [(x.name, x.dataType.simpleString()) for x in f.schema.fields]
+    return Q.assert_contract(f.select(*reversed(f.columns)), declared)
+
+
+@register("dq_13")
+def dq_13(spark, d):
+    return Q.freshness(raw(spark, d), "_loaded_at", now=REPORT_TIME)
+
+
+@register("dq_13_filtered")
+def dq_13_filtered(spark, d):
+    return Q.freshness(raw(spark, d), "_loaded_at", where="VendorID = 2", now=REPORT_TIME)
+
+
+@register("dq_14")
+def dq_14(spark, d):
+    return Q.assert_rows(fct_delta(spark, d), at_least=1)
+
+
+# -- 2.8 scalar functions ------------------------------------------------------------
+@register("fn_01")
+def fn_01(spark, d):
+    return fct(spark, d).select("trip_key", "pickup_at", "total_amount")
+
+
+@register("fn_02")
+def fn_02(spark, d):
+    return stg_all(spark, d).select("pickup_at", "dropoff_at", "trip_duration_seconds")
+
+
+@register("fn_03_06")
+def fn_03_06(spark, d):
+    return fct(spark, d).select("pickup_at", "pickup_date", "pickup_hour", "pickup_day_name", "is_weekend")
+
+
+@register("fn_07_09")
+def fn_07_09(spark, d):
+    return fct(spark, d).select("trip_key", "is_intra_borough", "payment_method", "rate_type", "tip_pct_of_fare",
+                                "avg_speed_mph")
+
+
+@register("fn_10_13")
+def fn_10_13(spark, d):
+    r = raw(spark, d)
+    return r.select("passenger_count", S.float_to_int("passenger_count").alias("passenger_count_int"),
+                    F.round(F.col("total_amount") / 3, 2).alias("third_total"),
+                    F.coalesce("passenger_count", F.lit(-1.0)).alias("passenger_or_default"))
+
+
+@register("fn_14_16")
+def fn_14_16(spark, d):
+    o = D.table(spark, d, "orders")
+    return o.select("o_orderkey", S.cast("o_totalprice", "bigint").alias("price_bigint"),
+                    S.safe_cast("o_orderpriority", "int").alias("priority_int"),
+                    S.safe_cast(F.substring("o_orderpriority", 1, 1), "int").alias("priority_digit"),
+                    S.bool_to_text(F.col("o_orderstatus") == "F").alias("is_final_text"))
+
+
+@register("fn_17_23")
+def fn_17_23(spark, d):
+    c = D.table(spark, d, "customer")
+    return c.select(
+        "c_custkey",
+        S.concat_strict("c_name", F.lit("/"), "c_mktsegment").alias("name_segment"),
+        S.length("c_name").alias("name_len"),
+        S.position("#", "c_name").alias("hash_pos"),
+        S.replace("c_name", "Customer", "Cust").alias("short_name"),
+        S.right("c_name", 4).alias("name_tail"),
+        S.right("c_name", 0).alias("name_tail0"),
+        S.split_part("c_name", "#", 2).alias("name_part2"),
+        S.split_part("c_name", "#", -1).alias("name_part_last"),
+        S.hash_text("c_custkey").alias("key_hash"),
+    )
+
+
+@register("fn_24_28")
+def fn_24_28(spark, d):
+    o = D.table(spark, d, "orders")
+    od = F.col("o_orderdate")
+    return o.select(
+        "o_orderkey",
+        DT.date_trunc("month", od).cast("timestamp_ntz").alias("order_month"),
+        DT.dateadd("month", 1, od).alias("plus_month"),
+        DT.dateadd("day", -3, od).alias("minus_3_days"),
+        DT.datediff("year", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("years_to_2000"),
+        DT.datediff("month", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("months_to_2000"),
+        DT.datediff("day", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("days_to_2000"),
+        DT.datediff("quarter", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("quarters_to_2000"),
+        DT.datediff("hour", od, F.lit("2000-01-01 12:30:00").cast("timestamp_ntz")).alias("hours_to_2000"),
+        DT.last_day(od, "month").alias("month_end"),
+        DT.last_day(od, "quarter").alias("quarter_end"),
+        DT.last_day(od, "year").alias("year_end"),
+        DT.make_date(F.year(od), F.month(od), 1).alias("month_start"),
+    )
+
+
+@register("fn_30_31")
+def fn_30_31(spark, d):
+    li = D.table(spark, d, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        S.array_construct("l_quantity", "l_discount").alias("qty_disc"),
+        S.array_append(S.array_construct("l_quantity"), F.col("l_tax")).alias("qty_tax"),
+        S.array_concat(S.array_construct("l_quantity"), S.array_construct("l_extendedprice")).alias("qty_price"),
+        S.scd_hash("l_orderkey", "l_linenumber", "l_returnflag").alias("scd_hash"),
+    )
+
+
+# -- 2.9 generators ---------------------------------------------------------------------
+@register("gen_01")
+def gen_01(spark, d):
+    n = D.table(spark, d, "orders").count()
+    return G.generate_series(spark, n)
+
+
+@register("gen_02")
+def gen_02(spark, d):
+    b = D.table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("lo"),
+                                       F.to_date(F.max("o_orderdate")).alias("hi"))
+    return G.spine_between(spark, b, "lo", "hi", "day", "date_day")
+
+
+@register("gen_02_month")
+def gen_02_month(spark, d):
+    b = D.table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("lo"),
+                                       F.to_date(F.max("o_orderdate")).alias("hi"))
+    return G.spine_between(spark, b, "lo", "hi", "month", "date_month")
+
+
+@register("gen_03")
+def gen_03(spark, d):
+    b = D.table(spark, d, "orders").agg(F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("lo"),
+                                       F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("hi")).first()
+    return G.date_partitions(spark, f"{b['lo']},{b['hi']}")
+
+
+# -- 2.13 streaming ---------------------------------------------------------------------
+@register("str_01")
+def str_01(spark, d):
+    base = _scratch(spark, "stream")
+    landing = f"{base}/landing"
+    D.landing_trips(spark, d).write.partitionBy("_source_file").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    name = _tname("raw_trips_stream")
+    from ..streaming import stream_ingest
+
+    for _ in range(2):  # the second run finds no new files: nothing changes
+        stream_ingest(spark, landing, name, f"{base}/checkpoint", schema, root=f"{base}/wh",
+                      source_file_col="_source_file")
+    return spark.table(name)
+
+
+@register("str_02")
+def str_02(spark, d):
+    from ..streaming import refresh
+
+    name = _tname("airport_economics")
+    refresh(spark, name, lambda s: AN.airport_economics(fct(s, d)), mode="full")
+    return spark.table(name)
+
+
+# -- 2.14 UDFs and Python models ----------------------------------------------------------
+@register("udf_01")
+def udf_01(spark, d):
+    U.create_scalar(spark, "tip_pct", [("tip", "double"), ("fare", "double")], "double",
+                    "round(tip / nullif(fare, 0) * 100, 2)")
+    stg(spark, d).createOrReplaceTempView("stg_trips_udf")
+    return spark.sql("select pickup_at, tip_amount, fare_amount, tip_pct(tip_amount, fare_amount) as tip_pct "
+                     "from stg_trips_udf")
+
+
+@register("udf_02")
+def udf_02(spark, d):
+    def model(ctx, s):
+        f = ctx.ref("fct_trips")
+        return f.groupBy("pickup_date").agg(F.count(F.lit(1)).alias("trips"),
+                                            F.round(F.sum("total_amount"), 2).alias("revenue"))
+
+    ctx = U.ModelContext(spark, _tname("daily_revenue"), refs={"fct_trips": fct(spark, d)})
+    return U.run_model(spark, model, ctx)

@@ -4,4 +4,4 @@ from .ingest import (  # noqa: F401
     coalesce_spellings, ingest_trips, load_if_absent, new_files, read_landing, rows_loaded, target_months,
     with_lineage,
 )
-from .seed import read_zones, seed  # noqa: F401
+from .seeds import read_zones, seed  # noqa: F401

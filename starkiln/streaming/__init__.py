@@ -1,0 +1,4 @@
+"""Structured Streaming jobs: exactly-once landing-folder ingest and auto-refreshed tables."""
+
+from .file_ingest import stream_ingest  # noqa: F401
+from .refresh import refresh, refresh_stream  # noqa: F401
