@@ -25,7 +25,7 @@ def latest_batch(df: DataFrame, part: str = "_source_file", ts: str = "_loaded_a
     file holding a third of the rows costs no more than any other file.
     """
     latest = df.groupBy(part).agg(F.max(ts).alias("__max_ts"))
-    latest, _ = bounded_broadcast(latest, max_broadcast_rows)
+    latest, _ = bounded_broadcast(latest, max_broadcast_rows, cache=True)
     cond = (df[part] == latest[part]) & (df[ts] == latest["__max_ts"])
     return df.join(latest, cond, "left_semi")
 
@@ -53,7 +53,7 @@ def since_watermark(src: DataFrame, target: DataFrame | None, col: str = "_loade
     if target is None:
         return src
     seen = target.groupBy(per_part).agg(F.max(col).alias("__wm"))
-    seen, _ = bounded_broadcast(seen)
+    seen, _ = bounded_broadcast(seen, cache=True)
     j = src.join(seen, src[per_part] == seen[per_part], "left")
     return j.filter(seen["__wm"].isNull() | (src[col] > seen["__wm"])).select(src["*"])
 

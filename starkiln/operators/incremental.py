@@ -204,16 +204,21 @@ def is_incremental(spark: SparkSession, name: str, full_refresh: bool = False) -
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """Freeze a delta: reliable checkpoint to the cluster's shared checkpoint dir.
+    """Freeze a delta as a Parquet temp table in the cluster's shared checkpoint folder.
 
-    Multi-step strategies must read one fixed delta even after the target they
-    were computed from has been repointed; a reliable checkpoint also survives
-    the loss of the executors that computed it.
+    Multi-step strategies must read one fixed delta even after the target it
+    was computed from has been repointed.  Writing it once (one job, no
+    recomputation, unlike an RDD checkpoint of an uncached plan) and reading it
+    back also cuts the lineage, so a lost executor never forces the delta to be
+    recomputed against a changed target.
     """
-    from ..session import checkpoint_root
+    import uuid
 
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, "deltas", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+insert", unique_key=None,
@@ -235,9 +240,13 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
     delta = stable(df)
     target = spark.table(name)
     target2, delta = SC.reconcile(target, delta, on_schema_change)
-    n = delta.count()
     parts = TB.partition_columns(spark, name)
     keys = _keys(unique_key)
+    nn = F.lit(True)
+    for k in keys:
+        nn = nn & F.col(k).isNotNull()
+    counts = delta.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~nn, 1)).alias("null_keys")).first()
+    n, null_keys = counts["n"], counts["null_keys"]
     schema_changed = target2.columns != target.columns or target2.schema != target.schema
     if schema_changed and on_schema_change == "append_new_columns" and strategy == "append":
         added = [f for f in target2.schema.fields if f.name not in target.columns]
@@ -249,14 +258,10 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
             TB.append(delta, name)
             return {"mode": "append", "rows_inserted": n}
         if strategy == "delete+insert" and keys and parts and sorted(keys) == sorted(parts) and not predicates:
-            nn = F.lit(True)
-            for k in keys:
-                nn = nn & F.col(k).isNotNull()
-            if n:
-                TB.overwrite_partitions(delta.filter(nn), name)
-                nulls = delta.filter(~nn)
-                if nulls.limit(1).count():
-                    TB.append(nulls, name)  # a NULL key deletes nothing: plain insert
+            if n > null_keys:
+                TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name)
+            if null_keys:
+                TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
             return {"mode": "partition_overwrite", "rows_inserted": n}
     if strategy == "delete+insert":
         new = apply_delete_insert(target2, delta, keys, predicates)

@@ -1,10 +1,13 @@
 """Join helpers.
 
-``bounded_broadcast`` is the only way the library broadcasts: it proves a row
-bound by fetching at most ``max_rows + 1`` rows of an (already small, usually
-aggregated) frame.  Within the bound the rows are re-created as a local
-relation and hinted for broadcast; beyond it the original frame is returned
-and the join stays a shuffle join, where AQE's skew handling splits hot keys.
+``bounded_broadcast`` is the only way the library broadcasts: it first proves a
+row bound by counting at most ``max_rows + 1`` rows of the (already small,
+usually aggregated) frame.  Within the bound the frame is hinted for
+broadcast; beyond it the frame is returned unhinted and the join stays a
+shuffle join, where AQE's skew handling splits hot keys.  ``cache=True`` keeps
+the proven-small result in executor memory so the broadcast does not
+recompute an expensive aggregate (a lost cache block is recomputed from
+lineage, so executor loss cannot change the result).
 """
 
 from __future__ import annotations
@@ -17,14 +20,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcast?)`` -- a broadcast-hinted copy only if ``df`` has <= ``max_rows`` rows."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      cache: bool = False) -> tuple[DataFrame, bool]:
+    """Return ``(frame, broadcast?)`` -- broadcast-hinted only if ``df`` has <= ``max_rows`` rows."""
+    if cache:
+        df = df.cache()
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
         return df, False
-    spark = df.sparkSession
-    local = spark.createDataFrame(rows, df.schema) if rows else spark.createDataFrame([], df.schema)
-    return F.broadcast(local), True
+    return F.broadcast(df), True
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:

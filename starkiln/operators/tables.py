@@ -60,19 +60,24 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     so Parquet row-group min/max statistics prune well on later filters.
     """
     spark = df.sparkSession
+    existing = kind(spark, name) == "table"
     base = base_path(spark, name, root)
-    if kind(spark, name) == "table":
-        base = location(spark, name).rsplit("/_v", 1)[0] if "/_v" in location(spark, name) else base
+    if existing:
+        loc = location(spark, name)
+        base = loc.rsplit("/_v", 1)[0] if "/_v" in loc else base
     path = _new_version_dir(base)
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    elif partition_by:
+        # group rows of a partition into few tasks; AQE splits a hot partition value across tasks
+        out = out.hint("rebalance", *partition_by)
     w = out.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    if kind(spark, name) == "table":
+    if existing:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
         cols = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
@@ -87,8 +92,12 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
     cols = [c.name for c in spark.catalog.listColumns(name)]
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*cols).write.mode("overwrite").insertInto(name)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    parts = partition_columns(spark, name)
+    out = df.select(*cols)
+    if parts:
+        out = out.hint("rebalance", *parts)
+    out.write.mode("overwrite").insertInto(name)
     spark.sql(f"REFRESH TABLE {name}")
 
 

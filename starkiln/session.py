@@ -37,14 +37,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starkiln") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "starkiln",
+                  warehouse_dir: str | None = None, event_log_dir: str | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("STARKILN_DRIVER_MEMORY", "16g"))
     )
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     for k, v in {**SCALE_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -25,16 +25,18 @@ def coalesce_spellings(df: DataFrame, spellings: Sequence[str], out: str) -> Dat
     """Fold columns that differ only in spelling/casing into ``out`` (first non-NULL wins).
 
     Under Spark's default case-insensitive resolution a single file with either
-    spelling already resolves; this handles frames that carry several spellings
-    side by side (case-sensitive sessions, or unions of vintages).
+    spelling already resolves, but a frame carrying several spellings side by
+    side is ambiguous by name, so the columns are renamed by position first.
     """
-    present = [c for c in df.columns if c in spellings]
-    present.sort(key=spellings.index)
-    if not present:
+    names = df.columns
+    hits = sorted((spellings.index(c), i) for i, c in enumerate(names) if c in spellings)
+    if not hits:
         return df.withColumn(out, F.lit(None).cast("double"))
-    folded = F.coalesce(*[df[c] for c in present]) if len(present) > 1 else df[present[0]]
-    keep = [df[c] for c in df.columns if c not in present]
-    return df.select(*keep, folded.alias(out))
+    tmp = [f"__spelling{i}" if c in spellings else c for i, c in enumerate(names)]
+    d = df.toDF(*tmp)
+    cols = [d[f"__spelling{i}"] for _, i in hits]
+    folded = F.coalesce(*cols) if len(cols) > 1 else cols[0]
+    return d.select(*[d[c] for c in tmp if not c.startswith("__spelling")], folded.alias(out))
 
 
 def with_lineage(df: DataFrame, source_file: Column | str | None = None,
