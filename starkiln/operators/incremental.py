@@ -63,7 +63,7 @@ def apply_delete_insert(target: DataFrame, delta: DataFrame, unique_key, predica
     if not keys:
         return target.unionByName(d)
     kdf = delta.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
-    kdf, _ = bounded_broadcast(kdf, max_broadcast_keys)
+    kdf, _ = bounded_broadcast(kdf, max_broadcast_keys, cache=True)
     cond = None
     for i, k in enumerate(keys):
         c = target[k] == kdf[f"__k{i}"]
@@ -95,12 +95,21 @@ def duplicate_keys(delta: DataFrame, unique_key) -> DataFrame:
 
 
 def apply_merge(target: DataFrame, delta: DataFrame, unique_key, update_columns=None, exclude_columns=None,
-                predicates=None, check_duplicates: bool = True) -> DataFrame:
+                predicates=None, check_duplicates: bool = True,
+                max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Upsert: matched target rows take the delta's values for the update columns; unmatched
     delta rows are inserted; duplicate delta keys are an error.  No key -> insert only.
 
-    Rows with a NULL key can never match, so they bypass the join entirely (a hot
-    NULL key would otherwise land in one shuffle partition).
+    Planned without a full outer join:
+
+    * ``target LEFT JOIN delta`` applies the updates.  The delta (unique keys,
+      usually a small batch) is broadcast once its row count is proved, so the
+      target is scanned but never shuffled; beyond the bound it is a shuffle
+      left join, where AQE splits a hot target key.
+    * the delta keys that matched are found by a key-only semi join of the
+      target (column-pruned scan), and the inserts are the delta rows outside them.
+
+    Rows with a NULL key can never match, so they bypass both joins.
     """
     keys = _keys(unique_key)
     cols = target.columns
@@ -110,29 +119,33 @@ def apply_merge(target: DataFrame, delta: DataFrame, unique_key, update_columns=
     if check_duplicates and duplicate_keys(d, keys).limit(1).count() > 0:
         raise ValueError(f"merge source has duplicate rows for unique_key {keys}")
     upd = {c.lower() for c in merge_update_columns(cols, update_columns, exclude_columns)}
-    nn_t = F.lit(True)
+    nn = F.lit(True)
     for k in keys:
-        nn_t = nn_t & F.col(k).isNotNull()
-    t_keyed, t_null = target.filter(nn_t), target.filter(~nn_t)
-    d_keyed, d_null = d.filter(nn_t), d.filter(~nn_t)
+        nn = nn & F.col(k).isNotNull()
+    t_keyed, t_null = target.filter(nn), target.filter(~nn)
+    d_keyed, d_null = d.filter(nn), d.filter(~nn)
     p = _pred(predicates)  # written against target columns; false/NULL -> the row cannot match
-    t = t_keyed.select(*[F.col(c).alias(f"__t_{c}") for c in cols], F.lit(True).alias("__t"),
-                       (F.coalesce(p, F.lit(False)) if p is not None else F.lit(True)).alias("__tp"))
+    tp = F.coalesce(p, F.lit(False)) if p is not None else F.lit(True)
+
     s = d_keyed.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__s"))
+    s, _ = bounded_broadcast(s, max_broadcast_rows, cache=True)
+    t = t_keyed.withColumn("__tp", tp)
     cond = t["__tp"]
     for k in keys:
-        cond = cond & (t[f"__t_{k}"] == s[f"__s_{k}"])
-    j = t.join(s, cond, "full_outer")
-    matched = F.col("__t").isNotNull() & F.col("__s").isNotNull()
-    only_s = F.col("__t").isNull()
-    out = []
-    for c in cols:
-        tv, sv = F.col(f"__t_{c}"), F.col(f"__s_{c}")
-        if c.lower() in upd:
-            out.append(F.when(only_s | matched, sv).otherwise(tv).alias(c))
-        else:
-            out.append(F.when(only_s, sv).otherwise(tv).alias(c))
-    return j.select(*out).unionByName(t_null).unionByName(d_null)
+        cond = cond & (t[k] == s[f"__s_{k}"])
+    j = t.join(s, cond, "left")
+    hit = F.col("__s").isNotNull()
+    updated = j.select(*[(F.when(hit, F.col(f"__s_{c}")).otherwise(F.col(c)) if c.lower() in upd else F.col(c))
+                         .alias(c) for c in cols])
+
+    sk = s.select(*[F.col(f"__s_{k}").alias(f"__m_{k}") for k in keys])
+    mcond = None
+    for k in keys:
+        e = t[k] == sk[f"__m_{k}"]
+        mcond = e if mcond is None else mcond & e
+    matched = t.filter(t["__tp"]).select(*keys).join(sk, mcond, "left_semi").distinct()
+    ins = d_keyed.join(matched, keys, "left_anti")
+    return updated.unionByName(t_null).unionByName(ins).unionByName(d_null)
 
 
 def apply_insert_overwrite(target: DataFrame, delta: DataFrame, predicates=None, columns=None,

@@ -45,8 +45,14 @@ def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str], r
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str | Sequence[str],
-            parent_key: str | Sequence[str] | None = None) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (anti join; duplicates kept)."""
+            parent_key: str | Sequence[str] | None = None,
+            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Child rows whose non-NULL key has no parent row (anti join; duplicates kept).
+
+    The distinct parent keys are broadcast when proved small (the usual
+    dimension case), so the child is never shuffled; otherwise a shuffle anti
+    join, where AQE splits a hot child key.
+    """
     ck = _keys(child_key)
     pk = _keys(parent_key) if parent_key is not None else ck
     not_null = None
@@ -54,6 +60,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str | Sequence[str],
         not_null = F.col(k).isNotNull() if not_null is None else not_null & F.col(k).isNotNull()
     c = child.filter(not_null)
     p = parent.select(*[F.col(a).alias(f"__pk{i}") for i, a in enumerate(pk)]).distinct()
+    p, _ = bounded_broadcast(p, max_broadcast_rows, cache=True)
     cond = key_condition(c, p, ck, [f"__pk{i}" for i in range(len(pk))])
     return c.join(p, cond, "left_anti")
 

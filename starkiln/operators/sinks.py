@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import tables as TB
 
@@ -35,9 +36,17 @@ def as_table(df: DataFrame, name: str, root: str | None = None, partition_by: Se
 
 
 def clustered(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Rows range-partitioned and sorted by ``keys`` (the layout a clustered write stores)."""
-    out = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return out.sortWithinPartitions(*keys)
+    """Rows range-partitioned and sorted by ``keys`` (the layout a clustered write stores).
+
+    A deterministic row hash is the last range key, so one hot key value can
+    still be split across several range partitions (and a recomputed task
+    after executor loss places every row exactly where it did before).
+    """
+    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie")
+    ranged = df.withColumn("__tie", tie)
+    ranged = (ranged.repartitionByRange(partitions, *keys, "__tie") if partitions
+              else ranged.repartitionByRange(*keys, "__tie"))
+    return ranged.sortWithinPartitions(*keys).drop("__tie")
 
 
 def clone(spark: SparkSession, src: str, dst: str, as_view_fallback: bool = False, full_refresh: bool = False,

@@ -68,7 +68,9 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     path = _new_version_dir(base)
     out = df
     if cluster_by:
-        out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        from .sinks import clustered
+
+        out = clustered(out, cluster_by)
     elif partition_by:
         # group rows of a partition into few tasks; AQE splits a hot partition value across tasks
         out = out.hint("rebalance", *partition_by)
