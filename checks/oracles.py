@@ -422,3 +422,29 @@ ORACLES["udf_01"] = q("select pickup_at, tip_amount, fare_amount, round(tip_amou
                       "as tip_pct from stg_trips")
 ORACLES["udf_02"] = q("select pickup_date, count(*) as trips, round(sum(total_amount), 2) as revenue from fct_trips "
                       "group by 1")
+
+
+# -- inventory rows composed from the operators above
+ORACLES["flt_09"] = q("select * from fct_trips where payment_method = 'Cash' and pickup_borough is null")
+_CUR_V1 = CUST_V + ",\ncur as (select c_custkey, c_acctbal, updated_at as dbt_valid_from from v1)"
+ORACLES["jon_04"] = q("""select v2.c_custkey, cur.c_acctbal as old_acctbal, v2.c_acctbal as new_acctbal, v2.updated_at
+from v2 join cur on v2.c_custkey = cur.c_custkey where cur.dbt_valid_from < v2.updated_at""", _CUR_V1)
+ORACLES["jon_05"] = q("""select c_custkey, 'insert' as change from v2 where c_custkey not in (select c_custkey from cur)
+union all select c_custkey, 'delete' from cur where c_custkey not in (select c_custkey from v2)""", _CUR_V1)
+ORACLES["jon_06"] = ORACLES["gen_01"]
+ORACLES["agg_06"] = q("""select case when grouping(pickup_borough) = 0 then 'pickup_borough' else 'payment_method' end
+  as grouped_by, coalesce(pickup_borough, payment_method) as value, count(*) as trips
+from fct_trips group by grouping sets ((pickup_borough), (payment_method))""")
+ORACLES["fn_29"] = q("""select count(case when _loaded_at < cast(current_timestamp as timestamp) then 1 end) as loaded_before_now,
+  count(case when tpep_pickup_datetime < cast(current_timestamp as timestamp) then 1 end) as picked_up_before_now
+from raw_trips""")
+ORACLES["dq_suite"] = q(f"""
+select 'unique_dim_zones_zone_id' as test_name, count(*) as failures, count(*) != 0 as should_warn, count(*) != 0 as should_error
+from (select zone_id from dim_zones where zone_id is not null group by zone_id having count(*) > 1)
+union all select 'not_null_dim_zones_zone_id', count(*), count(*) != 0, count(*) != 0 from dim_zones where zone_id is null
+union all select 'accepted_values_dim_zones_borough', count(*), count(*) != 0, count(*) != 0
+from (select borough from dim_zones group by borough) where borough not in ({_BOROUGHS})
+union all select 'not_null_fct_trips_trip_key', count(*), count(*) != 0, count(*) != 0 from fct_trips where trip_key is null
+union all select 'not_null_fct_trips_pickup_at', count(*), count(*) != 0, count(*) != 0 from fct_trips where pickup_at is null
+union all select 'not_null_fct_trips_total_amount', count(*), count(*) != 0, count(*) != 0 from fct_trips where total_amount is null
+union all select 'relationships_fct_trips_pickup_zone_id', count(*), count(*) != 0, count(*) != 0 from ({_REL})""")

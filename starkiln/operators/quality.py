@@ -185,3 +185,14 @@ def run_declared_tests(df: DataFrame, not_null_columns: Sequence[str]) -> DataFr
     one = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in not_null_columns])
     stack = ", ".join(f"'{c}', `{c}`" for c in not_null_columns)
     return one.selectExpr(f"stack({len(not_null_columns)}, {stack}) as (column_name, failures)")
+
+
+def run_tests(tests: Sequence[tuple[str, DataFrame]], **verdict_opts) -> DataFrame:
+    """Run named tests together: one verdict row per test ``(test_name, failures, should_warn,
+    should_error)``.  The verdicts are a union of aggregates, so one action evaluates every
+    test (their scans run as parallel stages of a single job)."""
+    out = None
+    for name, fails in tests:
+        v = verdict(fails, **verdict_opts).select(F.lit(name).alias("test_name"), "*")
+        out = v if out is None else out.unionByName(v)
+    return out

@@ -877,3 +877,68 @@ def udf_02(spark, d):
 
     ctx = U.ModelContext(spark, _tname("daily_revenue"), refs={"fct_trips": fct(spark, d)})
     return U.run_model(spark, model, ctx)
+
+
+# -- inventory rows composed from the operators above ------------------------------------
+@register("flt_09")
+def flt_09(spark, d):
+    return Q.not_null(fct(spark, d), "pickup_borough", where="payment_method = 'Cash'")
+
+
+def _current_v1(spark, d):
+    h1 = SCD.snapshot(customer_v1(spark, d), None, "c_custkey", updated_at="updated_at", now=SNAPSHOT_T1)
+    return h1.filter(F.col("dbt_valid_to").isNull())
+
+
+@register("jon_04")
+def jon_04(spark, d):
+    """Source x open history, inner join on the key: the rows whose version changes."""
+    cur = _current_v1(spark, d).select("c_custkey", "dbt_valid_from", F.col("c_acctbal").alias("old_acctbal"))
+    v2 = customer_v2(spark, d)
+    return v2.join(cur, "c_custkey", "inner").filter(F.col("dbt_valid_from") < F.col("updated_at")).select(
+        "c_custkey", "old_acctbal", F.col("c_acctbal").alias("new_acctbal"), "updated_at")
+
+
+@register("jon_05")
+def jon_05(spark, d):
+    """Source against open history, left (anti) joins both ways: new keys and vanished keys."""
+    cur = _current_v1(spark, d).select("c_custkey")
+    v2 = customer_v2(spark, d).select("c_custkey")
+    ins = J.anti(v2, cur, "c_custkey").select("c_custkey", F.lit("insert").alias("change"))
+    dele = J.anti(cur, v2, "c_custkey").select("c_custkey", F.lit("delete").alias("change"))
+    return ins.unionByName(dele)
+
+
+REGISTRY["jon_06"] = REGISTRY["gen_01"]
+
+
+@register("agg_06")
+def agg_06(spark, d):
+    f = fct(spark, d).select(F.col("pickup_borough").alias("b"), F.col("payment_method").alias("p"))
+    g = f.groupingSets([["b"], ["p"]], "b", "p").agg(
+        F.when(F.grouping("b") == 0, F.lit("pickup_borough")).otherwise(F.lit("payment_method")).alias("grouped_by"),
+        F.coalesce(F.col("b"), F.col("p")).alias("value"), F.count(F.lit(1)).alias("trips"))
+    return g.select("grouped_by", "value", "trips")
+
+
+@register("fn_29")
+def fn_29(spark, d):
+    r = raw(spark, d)
+    return r.agg(F.count(F.when(F.col("_loaded_at") < DT.current_timestamp_utc(), 1)).alias("loaded_before_now"),
+                 F.count(F.when(F.col("tpep_pickup_datetime") < DT.current_timestamp_ntz(), 1))
+                 .alias("picked_up_before_now"))
+
+
+@register("dq_suite")
+def dq_suite(spark, d):
+    """The seven declared tests of the marts, evaluated together."""
+    f, z = fct(spark, d), dim(spark, d)
+    return Q.run_tests([
+        ("unique_dim_zones_zone_id", Q.unique(z, "zone_id")),
+        ("not_null_dim_zones_zone_id", Q.not_null(z, "zone_id")),
+        ("accepted_values_dim_zones_borough", Q.accepted_values(z, "borough", ACCEPTED_BOROUGHS)),
+        ("not_null_fct_trips_trip_key", Q.not_null(f, "trip_key")),
+        ("not_null_fct_trips_pickup_at", Q.not_null(f, "pickup_at")),
+        ("not_null_fct_trips_total_amount", Q.not_null(f, "total_amount")),
+        ("relationships_fct_trips_pickup_zone_id", Q.relationships(f, "pickup_zone_id", z, "zone_id")),
+    ])

@@ -50,3 +50,19 @@ def test_python_model(spark):
 
     ctx = U.ModelContext(spark, "t_py_model_" + uuid.uuid4().hex[:6])
     assert U.run_model(spark, model, ctx).count() == 2
+
+
+def test_refresh_stream_applies_new_rows_once(spark):
+    from starkiln.streaming import refresh_stream
+
+    base = scratch_path(spark, "test-refresh-stream", uuid.uuid4().hex)
+    spark.range(3).write.parquet(f"{base}/src")
+    name = "t_rs_" + uuid.uuid4().hex[:6]
+    spark.range(0).write.saveAsTable(name, path=f"{base}/tbl")
+    src = spark.readStream.schema("id bigint").parquet(f"{base}/src")
+    refresh_stream(src, name, f"{base}/ckpt", transform=lambda b: b.withColumn("id", F.col("id") * 10),
+                   available_now=True)
+    assert sorted(r.id for r in spark.table(name).collect()) == [0, 10, 20]
+    refresh_stream(spark.readStream.schema("id bigint").parquet(f"{base}/src"), name, f"{base}/ckpt",
+                   transform=lambda b: b.withColumn("id", F.col("id") * 10), available_now=True)
+    assert spark.table(name).count() == 3
