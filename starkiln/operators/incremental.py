@@ -272,7 +272,7 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
             return {"mode": "append", "rows_inserted": n}
         if strategy == "delete+insert" and keys and parts and sorted(keys) == sorted(parts) and not predicates:
             if n > null_keys:
-                TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name)
+                TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name, parts)
             if null_keys:
                 TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
             return {"mode": "partition_overwrite", "rows_inserted": n}

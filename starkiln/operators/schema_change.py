@@ -66,6 +66,8 @@ def reconcile(target: DataFrame, delta: DataFrame, mode: str = "ignore", log=pri
     if mode not in MODES:
         log(f"on_schema_change={mode!r} is not one of {MODES}; using 'ignore'")
         mode = "ignore"
+    if [(f.name, f.dataType) for f in target.schema.fields] == [(f.name, f.dataType) for f in delta.schema.fields]:
+        return target, delta  # identical layout: nothing to reconcile
     dd = diff(target.schema, delta.schema)
     if mode == "fail" and dd.any:
         raise ValueError(f"schema change with on_schema_change='fail': added={dd.added} removed={dd.removed} "

@@ -35,7 +35,16 @@ def location(spark: SparkSession, name: str) -> str:
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    """Partition columns, from one ``DESCRIBE TABLE`` (a single round trip)."""
+    rows = spark.sql(f"DESCRIBE TABLE {name}").collect()
+    out, in_parts = [], False
+    for r in rows:
+        col = (r["col_name"] or "").strip()
+        if col == "# Partition Information":
+            in_parts = True
+        elif in_parts and col and not col.startswith("#"):
+            out.append(col)
+    return out
 
 
 def base_path(spark: SparkSession, name: str, root: str | None = None) -> str:
@@ -90,12 +99,12 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     return path
 
 
-def overwrite_partitions(df: DataFrame, name: str) -> None:
+def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
-    cols = [c.name for c in spark.catalog.listColumns(name)]
+    cols = spark.table(name).columns
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    parts = partition_columns(spark, name)
+    parts = partition_columns(spark, name) if parts is None else list(parts)
     out = df.select(*cols)
     if parts:
         out = out.hint("rebalance", *parts)
@@ -104,7 +113,7 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
 
 
 def append(df: DataFrame, name: str) -> None:
-    cols = [c.name for c in df.sparkSession.catalog.listColumns(name)]
+    cols = df.sparkSession.table(name).columns
     df.select(*cols).write.mode("append").insertInto(name)
     df.sparkSession.sql(f"REFRESH TABLE {name}")
 
