@@ -26,7 +26,8 @@ def latest_batch(df: DataFrame, part: str = "_source_file", ts: str = "_loaded_a
     """
     latest = df.groupBy(part).agg(F.max(ts).alias("__max_ts"))
     latest, _ = bounded_broadcast(latest, max_broadcast_rows, cache=True)
-    cond = (df[part] == latest[part]) & (df[ts] == latest["__max_ts"])
+    # PARTITION BY groups NULL file names together, so the file key compares NULL-safely
+    cond = df[part].eqNullSafe(latest[part]) & (df[ts] == latest["__max_ts"])
     return df.join(latest, cond, "left_semi")
 
 

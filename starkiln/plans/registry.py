@@ -261,7 +261,7 @@ from ..operators import schema_change as SCH  # noqa: E402
 from ..operators import sinks as SK  # noqa: E402
 from ..operators import snapshot as SCD  # noqa: E402
 from ..schemas import ACCEPTED_BOROUGHS, FCT_TRIPS_COLUMNS  # noqa: E402
-from ..session import scratch_path  # noqa: E402
+from ..session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from ..sources import ingest as ING  # noqa: E402
 from ..sources import seeds as SEED  # noqa: E402
 from . import udf as U  # noqa: E402
@@ -273,6 +273,7 @@ REPORT_TIME = "2024-02-01 00:00:00"
 
 
 def _scratch(spark, kind: str) -> str:
+    ensure_checkpoint_dir(spark)  # the session's spark.checkpoint.dir; a private one only if unset
     return scratch_path(spark, kind, _uuid.uuid4().hex)
 
 

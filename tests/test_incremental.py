@@ -143,3 +143,12 @@ def test_stable_delta_survives_target_change(spark, root):
     df = spark.range(5).withColumn("x", F.col("id") * 2)
     s = INC.stable(df)
     assert rows(s) == rows(df)
+
+
+def test_latest_batch_per_file_including_null_file(spark):
+    from starkiln.operators.filters import latest_batch
+
+    sch = "id int, _source_file string, _loaded_at timestamp"
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame([(1, "a", t1), (2, "a", t2), (3, "b", t1), (4, None, t1), (5, None, t2)], sch)
+    assert rows(latest_batch(df), "id") == srt([(2,), (3,), (5,)])
