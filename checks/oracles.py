@@ -48,7 +48,7 @@ stg_reload as (
     and tpep_dropoff_datetime > tpep_pickup_datetime and trip_distance > 0 and total_amount > 0
 )""")
 ORACLES["flt_07"] = q("""
-select rule, n_rows, round(n_rows * 100.0 / total, 1) as pct_of_total from (
+select rule, cast(n_rows as bigint) as n_rows, round(n_rows * 100.0 / total, 1) as pct_of_total from (
   select 'total' as rule, count(*) as n_rows, (select count(*) from f) as total from f
   union all select 'kept', sum(case when ok1 and ok2 and ok3 and ok4 then 1 else 0 end), (select count(*) from f) from f
   union all select 'pickup_in_window', sum(case when ok1 then 0 else 1 end), (select count(*) from f) from f
@@ -109,9 +109,9 @@ ORACLES["agg_09"] = q("select pickup_date, string_agg(distinct payment_method, '
                       "as payment_methods from fct_trips group by 1")
 ORACLES["agg_10"] = q("select distinct _source_file from fct_trips")
 ORACLES["agg_11"] = q("""
-select sum(n) as total_rows, coalesce(sum(case when trip_key is null then n end), 0) as null_keys,
+select cast(sum(n) as bigint) as total_rows, cast(coalesce(sum(case when trip_key is null then n end), 0) as bigint) as null_keys,
   count(trip_key) as distinct_keys, count(case when trip_key is not null and n > 1 then 1 end) as colliding_keys,
-  coalesce(sum(case when trip_key is not null and n > 1 then n end), 0) as rows_in_collisions,
+  cast(coalesce(sum(case when trip_key is not null and n > 1 then n end), 0) as bigint) as rows_in_collisions,
   round((sum(n) - coalesce(sum(case when trip_key is null then n end), 0) - count(trip_key)) * 100.0
         / nullif(sum(n) - coalesce(sum(case when trip_key is null then n end), 0), 0), 4) as collision_pct
 from (select trip_key, count(*) as n from fct_trips group by 1)""")
@@ -381,8 +381,8 @@ ORACLES["fn_10_13"] = q("select passenger_count, cast(round(passenger_count) as
 ORACLES["fn_14_16"] = q("""select o_orderkey, cast(trunc(o_totalprice) as bigint) as price_bigint,
   try_cast(o_orderpriority as integer) as priority_int, try_cast(substring(o_orderpriority, 1, 1) as integer) as priority_digit,
   cast(o_orderstatus = 'F' as varchar) as is_final_text from orders""")
-ORACLES["fn_17_23"] = q("""select c_custkey, c_name || '/' || c_mktsegment as name_segment, length(c_name) as name_len,
-  position('#' in c_name) as hash_pos, replace(c_name, 'Customer', 'Cust') as short_name, right(c_name, 4) as name_tail,
+ORACLES["fn_17_23"] = q("""select c_custkey, c_name || '/' || c_mktsegment as name_segment, cast(length(c_name) as integer) as name_len,
+  cast(position('#' in c_name) as integer) as hash_pos, replace(c_name, 'Customer', 'Cust') as short_name, right(c_name, 4) as name_tail,
   right(c_name, 0) as name_tail0, split_part(c_name, '#', 2) as name_part2, split_part(c_name, '#', -1) as name_part_last,
   md5(cast(c_custkey as varchar)) as key_hash from customer""")
 ORACLES["fn_24_28"] = q("""select o_orderkey, date_trunc('month', o_orderdate) as order_month,
