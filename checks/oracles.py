@@ -448,3 +448,8 @@ union all select 'not_null_fct_trips_trip_key', count(*), count(*) != 0, count(*
 union all select 'not_null_fct_trips_pickup_at', count(*), count(*) != 0, count(*) != 0 from fct_trips where pickup_at is null
 union all select 'not_null_fct_trips_total_amount', count(*), count(*) != 0, count(*) != 0 from fct_trips where total_amount is null
 union all select 'relationships_fct_trips_pickup_zone_id', count(*), count(*) != 0, count(*) != 0 from ({_REL})""")
+ORACLES["flt_05_per_file"] = q("""
+select s.* from stg_trips s
+left join (select _source_file, max(_loaded_at) as wm from fct_target
+           where _source_file <> 'trips_2024-01-10.parquet' group by 1) w on s._source_file = w._source_file
+where w.wm is null or s._loaded_at > w.wm""", FCT_TARGET)

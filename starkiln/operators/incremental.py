@@ -211,6 +211,41 @@ def apply_microbatch(target: DataFrame, delta: DataFrame, event_time: str, start
 
 
 # -- materialization -------------------------------------------------------------
+def scope_to_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str],
+                        max_literal: int = 10_000) -> DataFrame:
+    """Target rows in the partitions listed by ``touched`` (a proven-small frame).
+
+    Up to ``max_literal`` partition specs become a literal predicate on the
+    partition columns, which the scan applies as a static partition filter (only
+    those directories are listed and read).  Longer lists use a semi join on the
+    partition columns (NULL-safe, as ``PARTITION BY`` groups NULLs).
+    """
+    specs = touched.select(*parts).limit(max_literal + 1).collect()
+    if len(specs) <= max_literal:
+        if not specs:
+            return target.filter(F.lit(False))
+        if len(parts) == 1:
+            vals = [r[0] for r in specs]
+            c = F.col(parts[0])
+            pred = c.isin([v for v in vals if v is not None])
+            if any(v is None for v in vals):
+                pred = pred | c.isNull()
+            return target.filter(pred)
+        pred = None
+        for r in specs:
+            conj = None
+            for p_, v in zip(parts, r):
+                e = F.col(p_).isNull() if v is None else (F.col(p_) == F.lit(v))
+                conj = e if conj is None else conj & e
+            pred = conj if pred is None else pred | conj
+        return target.filter(pred)
+    cond = None
+    for p_ in parts:
+        e = target[p_].eqNullSafe(touched[p_])
+        cond = e if cond is None else cond & e
+    return target.join(touched, cond, "left_semi")
+
+
 def is_incremental(spark: SparkSession, name: str, full_refresh: bool = False) -> bool:
     """True iff the target exists, is a table, and no full refresh was asked for."""
     return (not full_refresh) and TB.kind(spark, name) == "table"
@@ -276,6 +311,22 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
             if null_keys:
                 TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
             return {"mode": "partition_overwrite", "rows_inserted": n}
+    scoped = (not schema_changed and parts and keys and strategy in ("delete+insert", "merge")
+              and {p.lower() for p in parts} <= {k.lower() for k in keys})
+    if scoped:
+        # Every row the strategy can change shares its partition values with a delta row, so only
+        # the delta's partitions are read (semi join -> dynamic partition pruning) and rewritten.
+        touched = delta.select(*parts).distinct()
+        touched, small = bounded_broadcast(touched, opts.get("max_touched_partitions", 100_000), cache=True)
+        if small:
+            t_scope = scope_to_partitions(target2, touched, parts)
+            if strategy == "delete+insert":
+                new = apply_delete_insert(t_scope, delta, keys, predicates)
+            else:
+                new = apply_merge(t_scope, delta, keys, opts.get("merge_update_columns"),
+                                  opts.get("merge_exclude_columns"), predicates)
+            TB.overwrite_partitions(stable(new), name, parts)  # frozen first: never read what is overwritten
+            return {"mode": "partition_rewrite", "rows_inserted": n}
     if strategy == "delete+insert":
         new = apply_delete_insert(target2, delta, keys, predicates)
     elif strategy == "merge":

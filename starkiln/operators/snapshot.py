@@ -151,3 +151,14 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     if DELETED in out.columns:
         order.append(DELETED)
     return out.select(*order)
+
+
+def snapshot_table(spark, name: str, source: DataFrame, unique_key, root: str | None = None, **opts) -> dict:
+    """Materialize a snapshot: read the history table ``name`` (if any), apply ``snapshot`` and
+    store the next history as a new table version (the version being read is never overwritten)."""
+    from . import tables as TB
+
+    history = spark.table(name) if TB.kind(spark, name) == "table" else None
+    nxt = snapshot(source, history, unique_key, **opts)
+    TB.write_version(nxt, name, root)
+    return {"rows": spark.table(name).count()}

@@ -943,3 +943,15 @@ def dq_suite(spark, d):
         ("not_null_fct_trips_total_amount", Q.not_null(f, "total_amount")),
         ("relationships_fct_trips_pickup_zone_id", Q.relationships(f, "pickup_zone_id", z, "zone_id")),
     ])
+
+
+# The file that failed to load in the late-batch fixture.
+LATE_FILE = "trips_2024-01-10.parquet"
+
+
+@register("flt_05_per_file")
+def flt_05_per_file(spark, d):
+    """Per-file watermark: a file missing from the target (older load time than the target's max)
+    is still picked up, where the global watermark would skip it for good."""
+    target = fct_target(spark, d).filter(F.col("_source_file") != LATE_FILE)
+    return FL.since_watermark(stg(spark, d), target, "_loaded_at", per_part="_source_file")
