@@ -855,7 +855,7 @@ def str_02(spark, d):
     from ..streaming import refresh
 
     name = _tname("airport_economics")
-    refresh(spark, name, lambda s: AN.airport_economics(fct(s, d)), mode="full")
+    refresh(spark, name, lambda s: AN.airport_economics(fct(s, d)), mode="full", root=_scratch(spark, "wh"))
     return spark.table(name)
 
 
@@ -876,7 +876,7 @@ def udf_02(spark, d):
         return f.groupBy("pickup_date").agg(F.count(F.lit(1)).alias("trips"),
                                             F.round(F.sum("total_amount"), 2).alias("revenue"))
 
-    ctx = U.ModelContext(spark, _tname("daily_revenue"), refs={"fct_trips": fct(spark, d)})
+    ctx = U.ModelContext(spark, _tname("daily_revenue"), refs={"fct_trips": fct(spark, d)}, root=_scratch(spark, "wh"))
     return U.run_model(spark, model, ctx)
 
 

@@ -27,6 +27,7 @@ class ModelContext:
     refs: Mapping[str, DataFrame] = field(default_factory=dict)
     config: Mapping[str, object] = field(default_factory=dict)
     full_refresh: bool = False
+    root: str | None = None  # where table versions are written (default: the warehouse dir)
 
     def ref(self, name: str) -> DataFrame:
         return self.refs[name] if name in self.refs else self.spark.table(name)
@@ -43,5 +44,5 @@ def run_model(spark: SparkSession, fn: Callable[[ModelContext, SparkSession], ob
     if not isinstance(out, DataFrame):
         out = spark.createDataFrame(out)
     if materialize:
-        return sinks.as_table(out, ctx.this)
+        return sinks.as_table(out, ctx.this, root=ctx.root)
     return out

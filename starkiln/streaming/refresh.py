@@ -11,13 +11,13 @@ from ..operators import sinks
 
 
 def refresh(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], mode: str = "full",
-            **incremental_opts) -> dict:
+            root: str | None = None, **incremental_opts) -> dict:
     """Recompute table ``name`` from ``model``: ``full`` replaces it, ``incremental`` applies a strategy."""
     if mode == "full":
-        sinks.as_table(model(spark), name)
+        sinks.as_table(model(spark), name, root=root)
         return {"mode": "full"}
     if mode == "incremental":
-        return INC.incremental(spark, name, lambda s, inc: model(s), **incremental_opts)
+        return INC.incremental(spark, name, lambda s, inc: model(s), root=root, **incremental_opts)
     raise ValueError(f"unknown refresh mode {mode!r}")
 
 
