@@ -453,3 +453,13 @@ select s.* from stg_trips s
 left join (select _source_file, max(_loaded_at) as wm from fct_target
            where _source_file <> 'trips_2024-01-10.parquet' group by 1) w on s._source_file = w._source_file
 where w.wm is null or s._loaded_at > w.wm""", FCT_TARGET)
+ORACLES["agg_09_limit"] = q("""
+select pickup_date, string_agg(trip_key, '|' order by rn) as top_trip_keys from (
+  select pickup_date, trip_key,
+    row_number() over (partition by pickup_date order by total_amount desc, trip_key) as rn
+  from fct_trips) where rn <= 3 group by 1""")
+ORACLES["scd_06_column_names"] = q("select * rename (dbt_scd_id as scd_id, dbt_updated_at as snapshot_at, "
+                                   "dbt_valid_from as valid_from, dbt_valid_to as valid_to) from ("
+                                   + ORACLES["scd_01"] + ")")
+ORACLES["dq_13_custom"] = q(f"select max(_loaded_at) as max_loaded_at, {T2} as snapshotted_at from raw_trips "
+                            f"where VendorID <> 1")

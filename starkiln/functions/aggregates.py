@@ -28,7 +28,7 @@ def listagg(measure: str, delimiter: str = ",", order_by: str | None = None, des
 
     ``measure`` and ``order_by`` are SQL expressions over the input columns.
     For the first-n form see :func:`starkiln.operators.aggregate.listagg_limited`,
-    which limits rows per group *before* the shuffle.
+    which limits rows per group before the shuffle.
     """
     d = delimiter.replace("'", "''")
     within = f" WITHIN GROUP (ORDER BY {order_by}{' DESC' if descending else ''})" if order_by else ""

@@ -246,6 +246,45 @@ def scope_to_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[s
     return target.join(touched, cond, "left_semi")
 
 
+def _range_scoped_rewrite(spark, name, target, delta, parts, strategy, predicates, opts, n):
+    """Rewrite only the partitions that a microbatch range / overwrite predicate touches.
+
+    Affected partitions = partitions of the target rows the strategy deletes plus
+    partitions of the delta rows it inserts (a proven-small list).  They are
+    rewritten from a frozen result; any of them left without rows is cleared.
+    Returns None (caller falls back to a full rewrite) when the list is large or
+    a NULL partition value is involved.
+    """
+    if strategy == "microbatch":
+        wins = batch_windows(opts["begin"], opts["end"], opts.get("batch_size", "day"))
+        if not wins:
+            return {"mode": "noop", "rows_inserted": 0}
+        et = F.col(opts["event_time"]).cast("timestamp")
+        hit = (et >= F.lit(wins[0][0]).cast("timestamp")) & (et < F.lit(wins[-1][1]).cast("timestamp"))
+        ins = delta.filter(hit)
+    else:
+        hit = _pred(predicates)
+        ins = delta
+    hit = F.coalesce(hit, F.lit(False))
+    touched = target.filter(hit).select(*parts).unionByName(ins.select(*parts)).distinct()
+    touched, small = bounded_broadcast(touched, opts.get("max_touched_partitions", 10_000), cache=True)
+    specs = [r.asDict() for r in touched.collect()] if small else None
+    if specs is None or any(v is None for sp in specs for v in sp.values()):
+        return None
+    scope = scope_to_partitions(target, touched, parts)
+    if strategy == "microbatch":
+        new = apply_microbatch(scope, delta, opts["event_time"], opts["begin"], opts["end"],
+                               opts.get("batch_size", "day"))
+    else:
+        new = apply_insert_overwrite(scope, delta, predicates, opts.get("columns"), whole_table=False)
+    frozen = stable(new)
+    written = {tuple(r) for r in frozen.select(*parts).distinct().collect()}  # within the proven-small list
+    if written:
+        TB.overwrite_partitions(frozen, name, parts)
+    TB.clear_partitions(spark, name, [sp for sp in specs if tuple(sp[p_] for p_ in parts) not in written])
+    return {"mode": "partition_rewrite", "rows_inserted": n}
+
+
 def is_incremental(spark: SparkSession, name: str, full_refresh: bool = False) -> bool:
     """True iff the target exists, is a table, and no full refresh was asked for."""
     return (not full_refresh) and TB.kind(spark, name) == "table"
@@ -327,6 +366,11 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
                                   opts.get("merge_exclude_columns"), predicates)
             TB.overwrite_partitions(stable(new), name, parts)  # frozen first: never read what is overwritten
             return {"mode": "partition_rewrite", "rows_inserted": n}
+    if not schema_changed and parts and (strategy == "microbatch" or (
+            strategy == "insert_overwrite" and predicates and not opts.get("whole_table", True))):
+        done = _range_scoped_rewrite(spark, name, target2, delta, parts, strategy, predicates, opts, n)
+        if done is not None:
+            return done
     if strategy == "delete+insert":
         new = apply_delete_insert(target2, delta, keys, predicates)
     elif strategy == "merge":

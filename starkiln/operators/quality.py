@@ -115,6 +115,17 @@ def unit_diff(actual: DataFrame, expected: DataFrame, columns: Sequence[str] | N
     return only_a.unionByName(only_e)
 
 
+def store_failures(fails: DataFrame, name: str, kind: str = "table", root: str | None = None) -> DataFrame:
+    """Store a test's failing rows as a table or a view; the verdict is then read from it."""
+    from .sinks import as_table, as_view
+
+    if kind == "table":
+        return as_table(fails, name, root=root)
+    if kind == "view":
+        return as_view(fails, name, full_refresh=True)
+    raise ValueError(f"failures can be stored as 'table' or 'view', not {kind!r}")
+
+
 def fixture(spark: SparkSession, rows: Sequence[Mapping], schema: T.StructType) -> DataFrame:
     """Typed fixture rows from dicts: missing columns are NULL, unknown columns are an error."""
     names = set(schema.names)
@@ -173,6 +184,13 @@ def freshness(df: DataFrame, loaded_at: str, where: str | Column | None = None,
                       (F.unix_timestamp(snap) - F.unix_timestamp("max_loaded_at")).alias("age_seconds"))
 
 
+def freshness_from(loaded_at_query: DataFrame, now: Column | str | None = None) -> DataFrame:
+    """Custom-query freshness: ``loaded_at_query`` yields one value (the max load time)."""
+    snap = F.current_timestamp() if now is None else (F.lit(now).cast("timestamp") if isinstance(now, str) else now)
+    first = loaded_at_query.columns[0]
+    return loaded_at_query.select(F.col(first).cast("timestamp").alias("max_loaded_at"), snap.alias("snapshotted_at"))
+
+
 def assert_rows(df: DataFrame, at_least: int = 1) -> DataFrame:
     """``(row_count, at_least, passed)`` -- a load that brings fewer rows is not a success."""
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -42,7 +42,7 @@ def _check_columns(source: DataFrame, keys: Sequence[str], check_cols, updated_a
 
 def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy: str = "timestamp",
              updated_at: str | None = None, check_cols="all", hard_deletes: str = "ignore",
-             valid_to_current=None, now=None) -> DataFrame:
+             valid_to_current=None, now=None, column_names: dict | None = None) -> DataFrame:
     """Next SCD2 history.
 
     * ``strategy='timestamp'``: a key changed iff its open row's ``dbt_valid_from``
@@ -56,7 +56,18 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
       the source, at ``now``) | ``new_record`` (also add an open row with
       ``dbt_is_deleted='True'``).  Deletion records are not re-added on later runs
       while the key stays absent.
+    * ``column_names`` renames the meta columns, e.g. ``{"dbt_valid_from": "valid_from"}``.
     """
+    names = dict(column_names or {})
+    if names:
+        unknown = set(names) - set(META + [DELETED])
+        if unknown:
+            raise ValueError(f"unknown snapshot meta columns {sorted(unknown)}")
+        if history is not None:
+            history = history.withColumnsRenamed({v: k for k, v in names.items()})
+        out = snapshot(source, history, unique_key, strategy, updated_at, check_cols, hard_deletes,
+                       valid_to_current, now)
+        return out.withColumnsRenamed(names)
     keys = _keys(unique_key)
     if strategy not in ("timestamp", "check"):
         raise ValueError(f"unknown snapshot strategy {strategy!r}")

@@ -124,3 +124,41 @@ def drop(spark: SparkSession, name: str) -> None:
         spark.catalog.dropTempView(name) or spark.sql(f"DROP VIEW IF EXISTS {name}")
     elif k == "table":
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _sql_literal(v) -> str:
+    import datetime as dt
+
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP'{v.isoformat(sep=' ')}'"
+    if isinstance(v, dt.date):
+        return f"DATE'{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def clear_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> None:
+    """Empty the given partitions (static ``INSERT OVERWRITE ... PARTITION`` of zero rows).
+
+    Dynamic partition overwrite only replaces partitions that receive rows; a
+    partition whose rows were all deleted has to be cleared explicitly.
+    """
+    if not specs:
+        return
+    parts = list(specs[0])
+    data_cols = [f for f in spark.table(name).schema.fields if f.name not in parts]
+    view = f"__empty_{abs(hash(name))}"
+    from pyspark.sql import types as T
+
+    spark.createDataFrame([], T.StructType(data_cols)).createOrReplaceTempView(view)
+    cols = ", ".join(f"`{f.name}`" for f in data_cols)
+    for spec in specs:
+        if any(v is None for v in spec.values()):
+            raise ValueError("cannot clear a NULL partition by spec")
+        ps = ", ".join(f"`{k}` = {_sql_literal(v)}" for k, v in spec.items())
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({ps}) SELECT {cols} FROM {view}")
+    spark.catalog.dropTempView(view)
+    spark.sql(f"REFRESH TABLE {name}")

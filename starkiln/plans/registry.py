@@ -618,6 +618,14 @@ def scd_06(spark, d):
                      updated_at="updated_at", hard_deletes="invalidate", valid_to_current="9999-12-31 00:00:00")
 
 
+@register("scd_06_column_names")
+def scd_06_column_names(spark, d):
+    names = {"dbt_scd_id": "scd_id", "dbt_updated_at": "snapshot_at", "dbt_valid_from": "valid_from",
+             "dbt_valid_to": "valid_to"}
+    return _two_runs(spark, d, strategy="timestamp", updated_at="updated_at", hard_deletes="invalidate",
+                     column_names=names)
+
+
 # -- 2.12 data-quality tests ------------------------------------------------------------
 @register("dq_01")
 def dq_01(spark, d):
@@ -683,7 +691,7 @@ def dq_08(spark, d):
 @register("dq_09")
 def dq_09(spark, d):
     fails = Q.relationships(fct(spark, d), "pickup_zone_id", dim(spark, d), "zone_id")
-    stored = SK.as_table(fails, _tname("dq_relationships_failures"), root=_scratch(spark, "wh"))
+    stored = Q.store_failures(fails, _tname("dq_relationships_failures"), "table", root=_scratch(spark, "wh"))
     return Q.verdict(stored)
 
 
@@ -707,6 +715,12 @@ def dq_13(spark, d):
     return Q.freshness(raw(spark, d), "_loaded_at", now=REPORT_TIME)
 
 
+@register("dq_13_custom")
+def dq_13_custom(spark, d):
+    q = raw(spark, d).filter(F.col("VendorID") != 1).agg(F.max("_loaded_at").alias("m"))
+    return Q.freshness_from(q, now=REPORT_TIME)
+
+
 @register("dq_13_filtered")
 def dq_13_filtered(spark, d):
     return Q.freshness(raw(spark, d), "_loaded_at", where="VendorID = 2", now=REPORT_TIME)
@@ -913,6 +927,16 @@ def jon_05(spark, d):
 REGISTRY["jon_06"] = REGISTRY["gen_01"]
 
 
+@register("agg_09_limit")
+def agg_09_limit(spark, d):
+    """Per pickup day, the three largest trips' keys (first-n listagg)."""
+    from ..operators.aggregate import listagg_limited
+
+    f = fct(spark, d)
+    return listagg_limited(f, ["pickup_date"], "trip_key", [F.col("total_amount").desc(), F.col("trip_key")], 3,
+                           "|", "top_trip_keys")
+
+
 @register("agg_06")
 def agg_06(spark, d):
     f = fct(spark, d).select(F.col("pickup_borough").alias("b"), F.col("payment_method").alias("p"))

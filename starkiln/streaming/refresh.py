@@ -23,7 +23,7 @@ def refresh(spark: SparkSession, name: str, model: Callable[[SparkSession], Data
 
 def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: str = "1 minute",
                    transform: Callable[[DataFrame], DataFrame] | None = None, strategy: str = "append",
-                   unique_key=None, initialize: bool = True, available_now: bool = False):
+                   unique_key=None, available_now: bool = False):
     """Streaming refresh: every ``target_lag`` the new source rows are transformed and applied
     to ``name`` with ``strategy`` (exactly once via the checkpoint)."""
 

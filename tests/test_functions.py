@@ -143,3 +143,11 @@ def test_listagg_ordered(spark):
     df = spark.createDataFrame([("g", "b", 2), ("g", "a", 1), ("g", "c", 3)], "g string, v string, o int")
     r = df.groupBy("g").agg(listagg("v", "|", order_by="o", descending=True).alias("l")).first()
     assert r.l == "c|b|a"
+
+
+def test_listagg_limited_first_n(spark):
+    from starkiln.operators.aggregate import listagg_limited
+
+    df = spark.createDataFrame([("g", "a", 3), ("g", "b", 1), ("g", "c", 2), ("h", "z", 1)], "g string, v string, o int")
+    got = {r.g: r.l for r in listagg_limited(df, ["g"], "v", ["o"], 2, "-", "l").collect()}
+    assert got == {"g": "b-c", "h": "z"}

@@ -181,3 +181,25 @@ def test_snapshot_table_versions(spark, root):
     snapshot_table(spark, "t_snap", v1, "id", root=root, updated_at="updated_at")
     assert snapshot_table(spark, "t_snap", v2, "id", updated_at="updated_at")["rows"] == 2
     assert snapshot_table(spark, "t_snap", v2, "id", updated_at="updated_at")["rows"] == 2
+
+
+def test_partition_scoped_microbatch_and_overwrite_clear_emptied_partitions(spark, root):
+    name = "t_inc_mb"
+    sch = "d date, id int, ts timestamp"
+    mk = lambda day, i, h=5: (dt.date(2024, 1, day), i, dt.datetime(2024, 1, day, h))
+    base = spark.createDataFrame([mk(1, 1), mk(2, 2), mk(2, 3), mk(3, 4)], sch)
+    INC.incremental(spark, name, base, partition_by=["d"], root=root)
+    # batch [Jan 2, Jan 3): day-2 rows replaced by the one delta row of that day; Jan 9 is out of range
+    delta = spark.createDataFrame([mk(2, 20, 7), mk(9, 90)], sch)
+    r = INC.incremental(spark, name, delta, "microbatch", event_time="ts", begin="2024-01-02", end="2024-01-03")
+    assert r["mode"] == "partition_rewrite"
+    assert rows(spark.table(name), "id") == srt([(1,), (4,), (20,)])
+    # generic insert_overwrite with a predicate that empties day 3 and writes into day 5
+    new = spark.createDataFrame([mk(5, 50)], sch)
+    r = INC.incremental(spark, name, new, "insert_overwrite", predicates=["id = 4"], whole_table=False)
+    assert r["mode"] == "partition_rewrite"
+    assert rows(spark.table(name), "id") == srt([(1,), (20,), (50,)])
+    # an empty range leaves the table as it is
+    r = INC.incremental(spark, name, new.filter("false"), "microbatch", event_time="ts", begin="2024-02-01",
+                        end="2024-02-02")
+    assert rows(spark.table(name), "id") == srt([(1,), (20,), (50,)])

@@ -74,3 +74,14 @@ def test_freshness_and_row_count(spark):
     assert r.age_seconds == 3600
     assert Q.assert_rows(df.filter("false"), 1).first().passed is False
     assert Q.assert_rows(df, 2).first().passed is True
+
+
+def test_store_failures_and_custom_freshness(spark):
+    df = spark.createDataFrame([(1, None, 1)], SCH)
+    stored = Q.store_failures(Q.not_null(df, "b"), "t_failures_view", "view")
+    assert Q.verdict(stored).first().failures == 1
+    with pytest.raises(ValueError):
+        Q.store_failures(df, "x", "materialized_view")
+    q = spark.sql("select timestamp'2024-01-01 00:00:00' as m")
+    r = Q.freshness_from(q, now="2024-01-02 00:00:00").first()
+    assert str(r.max_loaded_at) == "2024-01-01 00:00:00"

@@ -68,3 +68,13 @@ def test_bad_options(spark):
         snapshot(v1, None, "id", "timestamp")
     with pytest.raises(ValueError):
         snapshot(v1, None, "id", "bogus", updated_at="updated_at")
+
+
+def test_custom_meta_column_names(spark):
+    names = {"dbt_valid_from": "valid_from", "dbt_valid_to": "valid_to"}
+    v1 = spark.createDataFrame([(1, "a", T1)], SCH)
+    h1 = snapshot(v1, None, "id", updated_at="updated_at", now=T1, column_names=names)
+    assert "valid_from" in h1.columns and "dbt_valid_from" not in h1.columns
+    v2 = spark.createDataFrame([(1, "b", T2)], SCH)
+    h2 = snapshot(v2, h1, "id", updated_at="updated_at", now=T2, column_names=names)
+    assert h2.filter("valid_to is null").first().v == "b" and h2.count() == 2
