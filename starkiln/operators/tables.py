@@ -88,10 +88,16 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
         w = w.partitionBy(*partition_by)
     w.save(path)
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    if existing:
+    cols = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    same_layout = existing and [(f.name, f.dataType) for f in spark.table(name).schema.fields] == \
+        [(f.name, f.dataType) for f in cols.schema.fields] and partition_columns(spark, name) == list(partition_by)
+    if same_layout:
+        # readers see the old version or the new one, never a partial directory
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
-        cols = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+        if existing:
+            # a new schema or partition spec needs a new table definition (external: no data is deleted)
+            spark.sql(f"DROP TABLE {name}")
         spark.sql(f"CREATE TABLE {name} ({_ddl(cols)}) USING parquet{part} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")

@@ -203,3 +203,17 @@ def test_partition_scoped_microbatch_and_overwrite_clear_emptied_partitions(spar
     r = INC.incremental(spark, name, new.filter("false"), "microbatch", event_time="ts", begin="2024-02-01",
                         end="2024-02-02")
     assert rows(spark.table(name), "id") == srt([(1,), (20,), (50,)])
+
+
+def test_rewrite_with_schema_change_updates_the_table_definition(spark, root):
+    name = "t_inc_sync"
+    t = spark.createDataFrame([("a", 1, "x")], SCHEMA)
+    INC.incremental(spark, name, t, root=root)
+    d = spark.createDataFrame([("a", "10", 2.5), ("b", "20", 3.5)], "k string, v string, w double")  # f gone
+    INC.incremental(spark, name, d, "merge", "k", on_schema_change="sync_all_columns")
+    out = spark.table(name)
+    assert out.columns == ["k", "v", "w"] and dict(out.dtypes)["v"] == "string"
+    assert rows(out) == srt([("a", "10", 2.5), ("b", "20", 3.5)])
+    # full refresh with a different partition spec
+    INC.incremental(spark, name, d, full_refresh=True, partition_by=["k"])
+    assert TB.partition_columns(spark, name) == ["k"] and spark.table(name).count() == 2
