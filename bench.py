@@ -7,7 +7,8 @@ and prints one JSON line.  Steps (each timed, each ending in a real action):
   fact_build       first fact build (files up to day 20)
   fact_new_batch   incremental delete+insert run that picks up the newer files
   fact_rerun_empty incremental rerun with no new batch (writes zero rows)
-  test_*           the declared data tests on the fact (verdicts)
+  test_*           the declared data tests on the fact (verdicts), one at a time
+  tests_together   the same four tests evaluated as one job
   agg_01..03       the three analytic queries
 """
 
@@ -101,6 +102,11 @@ def run(spark, sf_dir: str, scratch: str, prefix: str):
     for col in ("pickup_at", "trip_key", "total_amount"):
         timed(f"test_not_null_{col}", lambda c=col: Q.verdict(Q.not_null(fct, c)).collect())
     timed("test_relationships", lambda: Q.verdict(Q.relationships(fct, "pickup_zone_id", dim, "zone_id")).collect())
+    # the same four declared tests as one job (the reference runs them on parallel threads)
+    timed("tests_together", lambda: Q.run_tests([
+        ("not_null_pickup_at", Q.not_null(fct, "pickup_at")), ("not_null_trip_key", Q.not_null(fct, "trip_key")),
+        ("not_null_total_amount", Q.not_null(fct, "total_amount")),
+        ("relationships_pickup_zone_id", Q.relationships(fct, "pickup_zone_id", dim, "zone_id"))]).collect())
     timed("agg_01", lambda: AN.tipping_by_borough(fct).collect())
     timed("agg_02", lambda: AN.congestion_by_hour(fct).collect())
     timed("agg_03", lambda: AN.airport_economics(fct).collect())
