@@ -85,3 +85,17 @@ def test_store_failures_and_custom_freshness(spark):
     q = spark.sql("select timestamp'2024-01-01 00:00:00' as m")
     r = Q.freshness_from(q, now="2024-01-02 00:00:00").first()
     assert str(r.max_loaded_at) == "2024-01-01 00:00:00"
+
+
+def test_join_helpers_null_rules(spark):
+    from starkiln.operators import joins as J
+
+    left = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (None, "y")], "k int, w string")
+    assert sorted(r.v for r in J.semi(left, right, "k").collect()) == ["a"]
+    assert sorted(r.v for r in J.anti(left, right, "k").collect()) == ["b", "n"]  # NULL key never matches
+    assert sorted(r.v for r in J.semi(left, right, "k", null_safe=True).collect()) == ["a", "n"]
+    got = sorted((r.v, r.w) for r in J.null_safe_join(left, right, "k").collect())
+    assert got == [("a", "x"), ("n", "y")]
+    big, ok = J.bounded_broadcast(spark.range(10), max_rows=5)
+    assert not ok and big.count() == 10
