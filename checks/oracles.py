@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base_sql import RAW_TRIPS, q  # noqa: F401
+from .base_sql import q
 
 TARGET_CUTOFF = "timestamp '2024-01-21'"
 RELOAD_FROM = "timestamp '2024-01-25'"

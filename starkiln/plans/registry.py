@@ -249,7 +249,6 @@ def agg_11(spark, d):
 # Sources, sinks, sets, incremental strategies, snapshots, quality tests,
 # scalar functions, generators, streaming and UDFs.
 # =============================================================================
-import datetime as _dt  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
 from ..functions import dates as DT  # noqa: E402
