@@ -29,6 +29,10 @@ SCALE_CONF = {
     # larger post-shuffle partitions: rebalanced partitioned writes produce ~100 MB Parquet files
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    # no broadcast from planner size *estimates*; explicit broadcasts come from bounded_broadcast
+    # (a row-count proof) and AQE may still broadcast a side whose *measured* shuffle output is small
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
