@@ -77,7 +77,7 @@ TS_FMT = "'%Y-%m-%d %H:%M:%S.%g'"
 def trip_key_sql(t: str = "t") -> str:
     return (f"md5(cast({t}.vendor_id as varchar) || '|' || strftime({t}.pickup_at, {TS_FMT}) || '|' || "
             f"strftime({t}.dropoff_at, {TS_FMT}) || '|' || cast({t}.pickup_zone_id as varchar) || '|' || "
-            f"cast(cast({t}.total_amount as decimal(18,2)) as varchar))")
+            f"cast(try_cast({t}.total_amount as decimal(38,2)) as varchar))")
 
 
 def fct_select(src: str) -> str:

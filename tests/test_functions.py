@@ -151,3 +151,11 @@ def test_listagg_limited_first_n(spark):
     df = spark.createDataFrame([("g", "a", 3), ("g", "b", 1), ("g", "c", 2), ("h", "z", 1)], "g string, v string, o int")
     got = {r.g: r.l for r in listagg_limited(df, ["g"], "v", ["o"], 2, "-", "l").collect()}
     assert got == {"g": "b-c", "h": "z"}
+
+
+def test_surrogate_key_amount_out_of_range_is_null_not_error(spark):
+    df = spark.createDataFrame([(1, 1e40), (1, 12.345)], "v bigint, a double")
+    keys = [r.k for r in df.select(S.surrogate_key("v", ("a", "amount")).alias("k")).collect()]
+    assert keys[0] is None and keys[1] is not None
+    txt = df.select(S.canonical_text("a", "amount").alias("t")).collect()[1].t
+    assert txt == "12.35"
