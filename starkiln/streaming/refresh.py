@@ -22,10 +22,19 @@ def refresh(spark: SparkSession, name: str, model: Callable[[SparkSession], Data
 
 
 def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: str = "1 minute",
-                   transform: Callable[[DataFrame], DataFrame] | None = None, strategy: str = "append",
+                   transform: Callable[[DataFrame], DataFrame] | None = None, strategy: str | None = None,
                    unique_key=None, available_now: bool = False):
     """Streaming refresh: every ``target_lag`` the new source rows are transformed and applied
-    to ``name`` with ``strategy`` (exactly once via the checkpoint)."""
+    to ``name`` with ``strategy``.
+
+    The checkpoint hands every source row to exactly one committed micro-batch.
+    Keyed strategies (``delete+insert``, ``merge``) are also idempotent if a batch
+    is replayed after a failure between the table write and the checkpoint commit;
+    ``append`` is then at-least-once, so pass a ``unique_key`` (the default strategy
+    becomes ``merge``) when a replay must not duplicate rows.
+    """
+    if strategy is None:
+        strategy = "merge" if unique_key else "append"
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         out = transform(batch) if transform else batch
