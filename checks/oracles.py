@@ -170,7 +170,7 @@ ORACLES["src_05"] = q(f"select * from raw_trips where _source_file not in "
 ORACLES["src_06"] = q("select count(*) as rows_loaded from raw_trips "
                       "where ends_with(_source_file, (select max(_source_file) from raw_trips))")
 ORACLES["src_07"] = q("select * from raw_zones")
-ORACLES["src_08"] = q("""select strftime(m, '%Y-%m') as month, 'yellow_tripdata_' || strftime(m, '%Y-%m') || '.parquet' as file
+ORACLES["src_08"] = q("""select strftime(m, '%Y-%m') as month, 'trips_' || strftime(m, '%Y-%m') || '.parquet' as file
 from (select unnest(generate_series(date_trunc('month', min(tpep_pickup_datetime)),
                                     date_trunc('month', max(tpep_pickup_datetime)), interval 1 month)) as m
       from raw_trips)""")
@@ -270,17 +270,17 @@ def _scd_ts(deletes: str, keys=("c_custkey",), sentinel: str | None = None) -> s
     on = " and ".join(f"h1.{k} = v2.{k}" for k in keys)
     v_src = ", ".join(f"v2.{c.strip()}" for c in SRC.split(","))
     h_src = ", ".join(f"h1.{c.strip()}" for c in SRC.split(","))
-    h1 = (f"h1 as (select {SRC}, md5({kh.format(t='v1')} || '|' || {_h('v1.updated_at')}) as dbt_scd_id, "
-          f"updated_at as dbt_updated_at, updated_at as dbt_valid_from, {vt} as dbt_valid_to from v1)")
+    h1 = (f"h1 as (select {SRC}, md5({kh.format(t='v1')} || '|' || {_h('v1.updated_at')}) as scd_id, "
+          f"updated_at as scd_updated_at, updated_at as valid_from, {vt} as valid_to from v1)")
     gone = f"when v2.c_custkey is null then {T2} " if deletes == "invalidate" else ""
     body = f"""
-select {h_src}, h1.dbt_scd_id, h1.dbt_updated_at, h1.dbt_valid_from,
-  case {gone}when h1.dbt_valid_from < v2.updated_at then v2.updated_at else h1.dbt_valid_to end as dbt_valid_to
+select {h_src}, h1.scd_id, h1.scd_updated_at, h1.valid_from,
+  case {gone}when h1.valid_from < v2.updated_at then v2.updated_at else h1.valid_to end as valid_to
 from h1 left join v2 on {on}
 union all
 select {v_src}, md5({kh.format(t='v2')} || '|' || {_h('v2.updated_at')}), v2.updated_at, v2.updated_at, {vt}
 from v2 left join h1 on {on}
-where h1.c_custkey is null or h1.dbt_valid_from < v2.updated_at"""
+where h1.c_custkey is null or h1.valid_from < v2.updated_at"""
     return q(body, CUST_V + ",\n" + h1)
 
 
@@ -288,10 +288,10 @@ ORACLES["scd_01"] = _scd_ts("invalidate")
 ORACLES["scd_02"] = _scd_ts("ignore")
 ORACLES["scd_06"] = _scd_ts("invalidate", keys=("c_custkey", "c_nationkey"), sentinel="9999-12-31 00:00:00")
 ORACLES["scd_03"] = q(f"""
-select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.dbt_scd_id, h1.dbt_updated_at,
-  h1.dbt_valid_from,
+select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.scd_id, h1.scd_updated_at,
+  h1.valid_from,
   case when v2.c_custkey is not null and (v2.c_acctbal is distinct from h1.c_acctbal or v2.c_name is distinct from h1.c_name)
-       then {T2} else h1.dbt_valid_to end as dbt_valid_to
+       then {T2} else h1.valid_to end as valid_to
 from h1 left join v2 on h1.c_custkey = v2.c_custkey
 union all
 select v2.c_custkey, v2.c_name, v2.c_nationkey, v2.c_acctbal, v2.c_mktsegment,
@@ -300,26 +300,26 @@ from v2 left join h1 on h1.c_custkey = v2.c_custkey
 where h1.c_custkey is null or v2.c_acctbal is distinct from h1.c_acctbal or v2.c_name is distinct from h1.c_name""",
                       CUST_V + f""",
 h1 as (select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
-  md5({_h('c_custkey')} || '|' || {_h(T1)}) as dbt_scd_id, {T1} as dbt_updated_at, {T1} as dbt_valid_from,
-  cast(null as timestamp) as dbt_valid_to from v1)""")
+  md5({_h('c_custkey')} || '|' || {_h(T1)}) as scd_id, {T1} as scd_updated_at, {T1} as valid_from,
+  cast(null as timestamp) as valid_to from v1)""")
 ORACLES["scd_04"] = q(f"""
-select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.updated_at, h1.dbt_scd_id,
-  h1.dbt_updated_at, h1.dbt_valid_from,
-  case when v2.c_custkey is null then {T2} when h1.dbt_valid_from < v2.updated_at then v2.updated_at
-       else h1.dbt_valid_to end as dbt_valid_to, h1.dbt_is_deleted
+select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.updated_at, h1.scd_id,
+  h1.scd_updated_at, h1.valid_from,
+  case when v2.c_custkey is null then {T2} when h1.valid_from < v2.updated_at then v2.updated_at
+       else h1.valid_to end as valid_to, h1.is_deleted
 from h1 left join v2 on h1.c_custkey = v2.c_custkey
 union all
 select v2.*, md5({_h('v2.c_custkey')} || '|' || {_h('v2.updated_at')}), v2.updated_at, v2.updated_at,
   cast(null as timestamp), 'False'
 from v2 left join h1 on h1.c_custkey = v2.c_custkey
-where h1.c_custkey is null or h1.dbt_valid_from < v2.updated_at
+where h1.c_custkey is null or h1.valid_from < v2.updated_at
 union all
 select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.updated_at,
-  md5({_h('h1.dbt_scd_id')} || '|' || {_h(T2)}), {T2}, {T2}, h1.dbt_valid_to, 'True'
+  md5({_h('h1.scd_id')} || '|' || {_h(T2)}), {T2}, {T2}, h1.valid_to, 'True'
 from h1 left join v2 on h1.c_custkey = v2.c_custkey where v2.c_custkey is null""", CUST_V + f""",
-h1 as (select *, md5({_h('c_custkey')} || '|' || {_h('updated_at')}) as dbt_scd_id, updated_at as dbt_updated_at,
-  updated_at as dbt_valid_from, cast(null as timestamp) as dbt_valid_to, 'False' as dbt_is_deleted from v1)""")
-ORACLES["scd_05"] = q(f"select c_custkey, dbt_scd_id, dbt_valid_from from ({ORACLES['scd_01']})")
+h1 as (select *, md5({_h('c_custkey')} || '|' || {_h('updated_at')}) as scd_id, updated_at as scd_updated_at,
+  updated_at as valid_from, cast(null as timestamp) as valid_to, 'False' as is_deleted from v1)""")
+ORACLES["scd_05"] = q(f"select c_custkey, scd_id, valid_from from ({ORACLES['scd_01']})")
 
 # -- quality tests
 ORACLES["dq_01"] = q("select * from fct_trips where pickup_borough is null")
@@ -426,9 +426,9 @@ ORACLES["udf_02"] = q("select pickup_date, count(*) as trips, round(sum(total_am
 
 # -- inventory rows composed from the operators above
 ORACLES["flt_09"] = q("select * from fct_trips where payment_method = 'Cash' and pickup_borough is null")
-_CUR_V1 = CUST_V + ",\ncur as (select c_custkey, c_acctbal, updated_at as dbt_valid_from from v1)"
+_CUR_V1 = CUST_V + ",\ncur as (select c_custkey, c_acctbal, updated_at as valid_from from v1)"
 ORACLES["jon_04"] = q("""select v2.c_custkey, cur.c_acctbal as old_acctbal, v2.c_acctbal as new_acctbal, v2.updated_at
-from v2 join cur on v2.c_custkey = cur.c_custkey where cur.dbt_valid_from < v2.updated_at""", _CUR_V1)
+from v2 join cur on v2.c_custkey = cur.c_custkey where cur.valid_from < v2.updated_at""", _CUR_V1)
 ORACLES["jon_05"] = q("""select c_custkey, 'insert' as change from v2 where c_custkey not in (select c_custkey from cur)
 union all select c_custkey, 'delete' from cur where c_custkey not in (select c_custkey from v2)""", _CUR_V1)
 ORACLES["jon_06"] = ORACLES["gen_01"]
@@ -458,8 +458,8 @@ select pickup_date, string_agg(trip_key, '|' order by rn) as top_trip_keys from
   select pickup_date, trip_key,
     row_number() over (partition by pickup_date order by total_amount desc, trip_key) as rn
   from fct_trips) where rn <= 3 group by 1""")
-ORACLES["scd_06_column_names"] = q("select * rename (dbt_scd_id as scd_id, dbt_updated_at as snapshot_at, "
-                                   "dbt_valid_from as valid_from, dbt_valid_to as valid_to) from ("
+ORACLES["scd_06_column_names"] = q("select * rename (scd_id as version_key, scd_updated_at as snapshot_at, "
+                                   "valid_from as effective_from, valid_to as effective_to) from ("
                                    + ORACLES["scd_01"] + ")")
 ORACLES["dq_13_custom"] = q(f"select max(_loaded_at) as max_loaded_at, {T2} as snapshotted_at from raw_trips "
                             f"where VendorID <> 1")

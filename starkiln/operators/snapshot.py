@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import scd_hash
 
-META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
-DELETED = "dbt_is_deleted"
+META = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
+DELETED = "is_deleted"
 
 
 def _keys(k) -> list[str]:
@@ -45,18 +45,18 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
              valid_to_current=None, now=None, column_names: dict | None = None) -> DataFrame:
     """Next SCD2 history.
 
-    * ``strategy='timestamp'``: a key changed iff its open row's ``dbt_valid_from``
+    * ``strategy='timestamp'``: a key changed iff its open row's ``valid_from``
       is older than the source ``updated_at``; the new version is stamped with it.
     * ``strategy='check'``: a key changed iff any ``check_cols`` value differs
       NULL-safely (a check column missing from the history marks every row
       changed); the new version is stamped with ``now``.
-    * changed keys: the open row is closed (``dbt_valid_to`` = new stamp) and a new
+    * changed keys: the open row is closed (``valid_to`` = new stamp) and a new
       open row is inserted; new keys are inserted.
     * ``hard_deletes``: ``ignore`` | ``invalidate`` (close open rows whose key left
       the source, at ``now``) | ``new_record`` (also add an open row with
-      ``dbt_is_deleted='True'``).  Deletion records are not re-added on later runs
+      ``is_deleted='True'``).  Deletion records are not re-added on later runs
       while the key stays absent.
-    * ``column_names`` renames the meta columns, e.g. ``{"dbt_valid_from": "valid_from"}``.
+    * ``column_names`` renames the meta columns, e.g. ``{"valid_from": "effective_from"}``.
     """
     names = dict(column_names or {})
     if names:
@@ -81,8 +81,8 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     stamp_src = F.col(updated_at).cast("timestamp") if strategy == "timestamp" else now_c
 
     def fresh(df: DataFrame, stamp: Column) -> DataFrame:
-        out = df.select(*src_cols, scd_hash(*keys, stamp).alias("dbt_scd_id"), stamp.alias("dbt_updated_at"),
-                        stamp.alias("dbt_valid_from"), vt_cur.alias("dbt_valid_to"))
+        out = df.select(*src_cols, scd_hash(*keys, stamp).alias("scd_id"), stamp.alias("scd_updated_at"),
+                        stamp.alias("valid_from"), vt_cur.alias("valid_to"))
         return out.withColumn(DELETED, F.lit("False")) if hard_deletes == "new_record" else out
 
     if history is None:
@@ -93,9 +93,9 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
         history = history.withColumn(DELETED, F.lit("False"))
         hist_cols = history.columns
     # open rows: valid_to NULL (or the configured "current" sentinel, or NULL)
-    open_cond = F.col("dbt_valid_to").isNull()
+    open_cond = F.col("valid_to").isNull()
     if valid_to_current is not None:
-        open_cond = open_cond | (F.col("dbt_valid_to") == vt_cur)
+        open_cond = open_cond | (F.col("valid_to") == vt_cur)
     current, closed = history.filter(open_cond), history.filter(~open_cond)
 
     nn = F.lit(True)
@@ -119,7 +119,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     only_s = F.col("__c").isNull()
     only_c = F.col("__s").isNull()
     if strategy == "timestamp":
-        changed = F.col("__c_dbt_valid_from") < F.col(f"__s_{updated_at}").cast("timestamp")
+        changed = F.col("__c_valid_from") < F.col(f"__s_{updated_at}").cast("timestamp")
     elif new_cols:
         changed = F.lit(True)
     else:
@@ -134,7 +134,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     # 1) open history rows, possibly closed now
     close_at = F.when(both & changed, new_stamp).when(gone, now_c)
     kept_open = j.filter(F.col("__c").isNotNull()).select(
-        *[(F.coalesce(close_at, F.col("__c_dbt_valid_to")) if x == "dbt_valid_to" else F.col(f"__c_{x}")).alias(x)
+        *[(F.coalesce(close_at, F.col("__c_valid_to")) if x == "valid_to" else F.col(f"__c_{x}")).alias(x)
           for x in hist_cols])
     # 2) new versions: new keys, and changed keys
     ins_src = j.filter(only_s | (both & changed)).select(*[F.col(f"__s_{x}").alias(x) for x in src_cols])
@@ -144,15 +144,15 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     if hard_deletes == "new_record":
         dele = j.filter(gone).select(
             *[F.col(f"__c_{x}").alias(x) for x in hist_cols if x not in META + [DELETED]],
-            scd_hash(F.col("__c_dbt_scd_id"), now_c).alias("dbt_scd_id"),
-            now_c.alias("dbt_updated_at"), now_c.alias("dbt_valid_from"),
-            F.col("__c_dbt_valid_to").alias("dbt_valid_to"), F.lit("True").alias(DELETED))
+            scd_hash(F.col("__c_scd_id"), now_c).alias("scd_id"),
+            now_c.alias("scd_updated_at"), now_c.alias("valid_from"),
+            F.col("__c_valid_to").alias("valid_to"), F.lit("True").alias(DELETED))
         parts.append(dele)
     # NULL-key open rows never match the source
     if hard_deletes != "ignore":
-        parts.append(c_null.withColumn("dbt_valid_to", F.coalesce(
+        parts.append(c_null.withColumn("valid_to", F.coalesce(
             F.when(F.coalesce(F.col(DELETED) != "True", F.lit(True)) if hard_deletes == "new_record" else F.lit(True),
-                   now_c), F.col("dbt_valid_to"))))
+                   now_c), F.col("valid_to"))))
     else:
         parts.append(c_null)
     out = parts[0]

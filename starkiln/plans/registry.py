@@ -608,7 +608,7 @@ def scd_04(spark, d):
 
 @register("scd_05")
 def scd_05(spark, d):
-    return scd_01(spark, d).select("c_custkey", "dbt_scd_id", "dbt_valid_from")
+    return scd_01(spark, d).select("c_custkey", "scd_id", "valid_from")
 
 
 @register("scd_06")
@@ -619,8 +619,8 @@ def scd_06(spark, d):
 
 @register("scd_06_column_names")
 def scd_06_column_names(spark, d):
-    names = {"dbt_scd_id": "scd_id", "dbt_updated_at": "snapshot_at", "dbt_valid_from": "valid_from",
-             "dbt_valid_to": "valid_to"}
+    names = {"scd_id": "version_key", "scd_updated_at": "snapshot_at", "valid_from": "effective_from",
+             "valid_to": "effective_to"}
     return _two_runs(spark, d, strategy="timestamp", updated_at="updated_at", hard_deletes="invalidate",
                      column_names=names)
 
@@ -901,15 +901,15 @@ def flt_09(spark, d):
 
 def _current_v1(spark, d):
     h1 = SCD.snapshot(customer_v1(spark, d), None, "c_custkey", updated_at="updated_at", now=SNAPSHOT_T1)
-    return h1.filter(F.col("dbt_valid_to").isNull())
+    return h1.filter(F.col("valid_to").isNull())
 
 
 @register("jon_04")
 def jon_04(spark, d):
     """Source x open history, inner join on the key: the rows whose version changes."""
-    cur = _current_v1(spark, d).select("c_custkey", "dbt_valid_from", F.col("c_acctbal").alias("old_acctbal"))
+    cur = _current_v1(spark, d).select("c_custkey", "valid_from", F.col("c_acctbal").alias("old_acctbal"))
     v2 = customer_v2(spark, d)
-    return v2.join(cur, "c_custkey", "inner").filter(F.col("dbt_valid_from") < F.col("updated_at")).select(
+    return v2.join(cur, "c_custkey", "inner").filter(F.col("valid_from") < F.col("updated_at")).select(
         "c_custkey", "old_acctbal", F.col("c_acctbal").alias("new_acctbal"), "updated_at")
 
 

@@ -141,12 +141,12 @@ def target_months(override: str | None = None, today: dt.date | None = None, lag
     return sorted(months)
 
 
-def month_files(months: Iterable[str], pattern: str = "yellow_tripdata_{month}.parquet") -> list[str]:
+def month_files(months: Iterable[str], pattern: str = "trips_{month}.parquet") -> list[str]:
     return [pattern.format(month=m) for m in months]
 
 
 def load_months(spark: SparkSession, landing_dir: str, months: Iterable[str],
-                pattern: str = "yellow_tripdata_{month}.parquet", loaded_at: Column | None = None) -> DataFrame:
+                pattern: str = "trips_{month}.parquet", loaded_at: Column | None = None) -> DataFrame:
     """Backfill: the chosen month files scanned by one Spark job and projected into the raw schema."""
     paths = [f"{landing_dir.rstrip('/')}/{f}" for f in month_files(months, pattern)]
     return ingest_trips(spark.read.parquet(*paths), loaded_at=loaded_at)

@@ -10,7 +10,7 @@ T1, T2, T3 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024,
 
 
 def open_rows(h):
-    return sorted((r.id, r.v) for r in h.filter(F.col("dbt_valid_to").isNull()).collect())
+    return sorted((r.id, r.v) for r in h.filter(F.col("valid_to").isNull()).collect())
 
 
 def test_timestamp_strategy_lifecycle(spark):
@@ -20,7 +20,7 @@ def test_timestamp_strategy_lifecycle(spark):
     v2 = spark.createDataFrame([(1, "a", T1), (2, "B", T2), (4, "d", T2)], SCH)
     h2 = snapshot(v2, h1, "id", updated_at="updated_at", hard_deletes="invalidate", now=T2).cache()
     assert open_rows(h2) == [(1, "a"), (2, "B"), (4, "d")]
-    closed = {(r.id, r.v): r.dbt_valid_to for r in h2.filter(F.col("dbt_valid_to").isNotNull()).collect()}
+    closed = {(r.id, r.v): r.valid_to for r in h2.filter(F.col("valid_to").isNotNull()).collect()}
     assert closed == {(2, "b"): T2, (3, "c"): T2}
     # same source again: nothing changes
     h3 = snapshot(v2, h2, "id", updated_at="updated_at", hard_deletes="invalidate", now=T3)
@@ -33,7 +33,7 @@ def test_check_strategy_null_safe(spark):
     v2 = spark.createDataFrame([(1, None, T1), (2, None, T1)], SCH).drop("updated_at")
     h2 = snapshot(v2, h1, "id", "check", check_cols=["v"], now=T2)
     assert h2.count() == 3  # only id 2 changed (b -> NULL); NULL == NULL is no change
-    assert h2.filter("id = 2 and dbt_valid_from = timestamp'2024-02-01'").count() == 1
+    assert h2.filter("id = 2 and valid_from = timestamp'2024-02-01'").count() == 1
 
 
 def test_new_check_column_marks_all_changed(spark):
@@ -49,8 +49,8 @@ def test_new_record_deletes_not_repeated(spark):
     h1 = snapshot(v1, None, "id", updated_at="updated_at", hard_deletes="new_record", now=T1)
     v2 = spark.createDataFrame([(1, "a", T1)], SCH)
     h2 = snapshot(v2, h1, "id", updated_at="updated_at", hard_deletes="new_record", now=T2).cache()
-    dels = h2.filter("dbt_is_deleted = 'True'").collect()
-    assert len(dels) == 1 and dels[0].id == 2 and dels[0].dbt_valid_to is None
+    dels = h2.filter("is_deleted = 'True'").collect()
+    assert len(dels) == 1 and dels[0].id == 2 and dels[0].valid_to is None
     h3 = snapshot(v2, h2, "id", updated_at="updated_at", hard_deletes="new_record", now=T3)
     assert h3.count() == h2.count()  # the deletion record is not re-added
 
@@ -71,10 +71,10 @@ def test_bad_options(spark):
 
 
 def test_custom_meta_column_names(spark):
-    names = {"dbt_valid_from": "valid_from", "dbt_valid_to": "valid_to"}
+    names = {"valid_from": "effective_from", "valid_to": "effective_to"}
     v1 = spark.createDataFrame([(1, "a", T1)], SCH)
     h1 = snapshot(v1, None, "id", updated_at="updated_at", now=T1, column_names=names)
-    assert "valid_from" in h1.columns and "dbt_valid_from" not in h1.columns
+    assert "effective_from" in h1.columns and "valid_from" not in h1.columns
     v2 = spark.createDataFrame([(1, "b", T2)], SCH)
     h2 = snapshot(v2, h1, "id", updated_at="updated_at", now=T2, column_names=names)
-    assert h2.filter("valid_to is null").first().v == "b" and h2.count() == 2
+    assert h2.filter("effective_to is null").first().v == "b" and h2.count() == 2

@@ -92,7 +92,7 @@ def test_load_months_reads_chosen_files(spark):
     base = scratch_path(spark, "test-months")
     for m, n in (("2024-01", 2), ("2024-02", 3), ("2024-03", 4)):
         spark.range(n).selectExpr("cast(id as bigint) as VendorID").coalesce(1).write.mode("overwrite").parquet(
-            f"{base}/yellow_tripdata_{m}.parquet")
+            f"{base}/trips_{m}.parquet")
     raw = ING.load_months(spark, base, ING.target_months("2024-02,2024-03"), loaded_at=F.current_timestamp())
     assert raw.count() == 7
     assert sorted({r._source_file.split("/")[0][:5] for r in raw.select("_source_file").collect()}) == ["part-"]
