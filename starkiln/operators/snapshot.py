@@ -164,12 +164,45 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     return out.select(*order)
 
 
-def snapshot_table(spark, name: str, source: DataFrame, unique_key, root: str | None = None, **opts) -> dict:
-    """Materialize a snapshot: read the history table ``name`` (if any), apply ``snapshot`` and
-    store the next history as a new table version (the version being read is never overwritten)."""
+def snapshot_table(spark, name: str, source: DataFrame, unique_key, root: str | None = None,
+                   layout: str = "single", **opts) -> dict:
+    """Materialize a snapshot run.
+
+    * ``layout="single"``: the next history replaces table ``name`` as a new
+      version (the version being read is never overwritten).
+    * ``layout="split"``: closed versions live in ``{name}__closed`` (append-only),
+      open versions in ``{name}__open`` (rewritten each run) and ``name`` is a view
+      over both.  Closed rows never change, so a run reads and writes only the open
+      rows plus what it closes: O(current keys + changes), not O(history).
+    The next history is frozen once before it is written, so ``now`` and every
+    other input are evaluated a single time.
+    """
+    from . import incremental as INC
     from . import tables as TB
 
-    history = spark.table(name) if TB.kind(spark, name) == "table" else None
-    nxt = snapshot(source, history, unique_key, **opts)
-    TB.write_version(nxt, name, root)
-    return {"rows": spark.table(name).count()}
+    names = dict(opts.get("column_names") or {})
+    valid_to = names.get("valid_to", "valid_to")
+    if layout == "single":
+        history = spark.table(name) if TB.kind(spark, name) == "table" else None
+        nxt = INC.stable(snapshot(source, history, unique_key, **opts))
+        TB.write_version(nxt, name, root)
+        return {"rows": spark.table(name).count()}
+    if layout != "split":
+        raise ValueError(f"unknown snapshot layout {layout!r}")
+    open_t, closed_t = f"{name}__open", f"{name}__closed"
+    history = spark.table(open_t) if TB.kind(spark, open_t) == "table" else None
+    nxt = INC.stable(snapshot(source, history, unique_key, **opts))
+    is_open = F.col(valid_to).isNull()
+    if opts.get("valid_to_current") is not None:
+        is_open = is_open | (F.col(valid_to) == F.lit(opts["valid_to_current"]).cast("timestamp"))
+    closed_now = nxt.filter(~is_open)
+    if TB.kind(spark, closed_t) != "table":
+        TB.write_version(closed_now, closed_t, root)
+    elif set(closed_now.columns) == set(spark.table(closed_t).columns):
+        TB.append(closed_now, closed_t)
+    else:  # the history gained columns: rewrite the closed part once with the new layout
+        TB.write_version(spark.table(closed_t).unionByName(closed_now, allowMissingColumns=True), closed_t, root)
+    TB.write_version(nxt.filter(is_open), open_t, root)
+    cols = ", ".join(f"`{c}`" for c in spark.table(open_t).columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {cols} FROM {closed_t} UNION ALL SELECT {cols} FROM {open_t}")
+    return {"rows": spark.table(name).count(), "closed_this_run": closed_now.count()}

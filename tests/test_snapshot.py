@@ -78,3 +78,26 @@ def test_custom_meta_column_names(spark):
     v2 = spark.createDataFrame([(1, "b", T2)], SCH)
     h2 = snapshot(v2, h1, "id", updated_at="updated_at", now=T2, column_names=names)
     assert h2.filter("effective_to is null").first().v == "b" and h2.count() == 2
+
+
+def test_snapshot_table_split_layout_matches_single(spark):
+    import uuid
+
+    from starkiln.operators.snapshot import snapshot_table
+    from starkiln.session import scratch_path
+
+    root = scratch_path(spark, "test-snap-split", uuid.uuid4().hex)
+    single, split = "t_snap_single_" + uuid.uuid4().hex[:6], "t_snap_split_" + uuid.uuid4().hex[:6]
+    runs = [
+        spark.createDataFrame([(1, "a", T1), (2, "b", T1), (3, "c", T1)], SCH),
+        spark.createDataFrame([(1, "a", T1), (2, "B", T2), (4, "d", T2)], SCH),
+        spark.createDataFrame([(1, "A", T3), (4, "d", T2)], SCH),
+    ]
+    for i, src in enumerate(runs):
+        kw = dict(updated_at="updated_at", hard_deletes="invalidate", now=[T1, T2, T3][i])
+        snapshot_table(spark, single, src, "id", root=root, **kw)
+        r = snapshot_table(spark, split, src, "id", root=root, layout="split", **kw)
+    assert sorted(map(tuple, spark.table(single).collect()), key=repr) == \
+        sorted(map(tuple, spark.table(split).collect()), key=repr)
+    assert spark.table(split + "__open").filter("valid_to is not null").count() == 0
+    assert r["closed_this_run"] == 2  # id 1 changed, id 2 vanished
