@@ -978,3 +978,15 @@ def flt_05_per_file(spark, d):
     is still picked up, where the global watermark would skip it for good."""
     target = fct_target(spark, d).filter(F.col("_source_file") != LATE_FILE)
     return FL.since_watermark(stg(spark, d), target, "_loaded_at", per_part="_source_file")
+
+
+@register("scd_01_split")
+def scd_01_split(spark, d):
+    """scd_01 materialized: two runs written with the split layout, read back through its view."""
+    name, root = _tname("customer_history"), _scratch(spark, "wh")
+    kw = dict(strategy="timestamp", updated_at="updated_at", hard_deletes="invalidate")
+    SCD.snapshot_table(spark, name, customer_v1(spark, d), "c_custkey", root=root, layout="split",
+                       now=SNAPSHOT_T1, **kw)
+    SCD.snapshot_table(spark, name, customer_v2(spark, d), "c_custkey", root=root, layout="split",
+                       now=SNAPSHOT_T2, **kw)
+    return spark.table(name)
