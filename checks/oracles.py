@@ -464,3 +464,4 @@ ORACLES["scd_06_column_names"] = q("select * rename (scd_id as version_key, scd_
 ORACLES["dq_13_custom"] = q(f"select max(_loaded_at) as max_loaded_at, {T2} as snapshotted_at from raw_trips "
                             f"where VendorID <> 1")
 ORACLES["scd_01_split"] = ORACLES["scd_01"]
+ORACLES["src_01_load"] = q("select * exclude (_loaded_at) from raw_trips")

@@ -990,3 +990,16 @@ def scd_01_split(spark, d):
     SCD.snapshot_table(spark, name, customer_v2(spark, d), "c_custkey", root=root, layout="split",
                        now=SNAPSHOT_T2, **kw)
     return spark.table(name)
+
+
+@register("src_01_load")
+def src_01_load(spark, d):
+    """The load job over a landing folder of trip files: first load, a repeated load (skipped),
+    and a forced replace of every file (idempotent); the raw table is read back."""
+    base = _scratch(spark, "load")
+    D.landing_trips(spark, d).drop("_loaded_at").write.partitionBy("_source_file").parquet(f"{base}/landing")
+    name = _tname("raw_trips_loaded")
+    args = dict(root=f"{base}/wh", source_file_col="_source_file")
+    for force in (False, False, True):
+        ING.load_files(spark, f"{base}/landing", name, force=force, replace=True, **args)
+    return spark.table(name).drop("_loaded_at")

@@ -96,3 +96,21 @@ def test_load_months_reads_chosen_files(spark):
     raw = ING.load_months(spark, base, ING.target_months("2024-02,2024-03"), loaded_at=F.current_timestamp())
     assert raw.count() == 7
     assert sorted({r._source_file.split("/")[0][:5] for r in raw.select("_source_file").collect()}) == ["part-"]
+
+
+def test_load_files_skip_force_replace(spark):
+    import uuid
+
+    base = scratch_path(spark, "test-load", uuid.uuid4().hex)
+    land = spark.createDataFrame([(1, "f1"), (2, "f1"), (3, "f2")], "VendorID bigint, f string")
+    land.write.partitionBy("f").parquet(f"{base}/landing")
+    name = "t_load_" + uuid.uuid4().hex[:6]
+    kw = dict(root=f"{base}/wh", source_file_col="f")
+    rep = ING.load_files(spark, f"{base}/landing", name, **kw)
+    assert sorted((r._source_file, r.rows_loaded) for r in rep.collect()) == [("f1", 2), ("f2", 1)]
+    assert ING.load_files(spark, f"{base}/landing", name, **kw).count() == 0  # already loaded: skipped
+    assert spark.table(name).count() == 3
+    ING.load_files(spark, f"{base}/landing", name, force=True, replace=True, **kw)
+    assert spark.table(name).count() == 3  # replace is idempotent
+    ING.load_files(spark, f"{base}/landing", name, force=True, **kw)
+    assert spark.table(name).count() == 6  # a forced append adds a second batch
