@@ -366,6 +366,16 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
                                   opts.get("merge_exclude_columns"), predicates)
             TB.overwrite_partitions(stable(new), name, parts)  # frozen first: never read what is overwritten
             return {"mode": "partition_rewrite", "rows_inserted": n}
+    if not schema_changed and parts and strategy == "microbatch" and opts.get("per_batch"):
+        # one scoped rewrite per batch window: a failure loses only its batch, each job is one window
+        done = {"mode": "partition_rewrite", "rows_inserted": n, "batches": 0}
+        for lo, hi in batch_windows(opts["begin"], opts["end"], opts.get("batch_size", "day")):
+            o = {**opts, "begin": lo, "end": hi}
+            r = _range_scoped_rewrite(spark, name, spark.table(name), delta, parts, strategy, predicates, o, n)
+            if r is None:
+                raise ValueError("per_batch microbatch needs a small, non-NULL set of touched partitions per batch")
+            done["batches"] += 1
+        return done
     if not schema_changed and parts and (strategy == "microbatch" or (
             strategy == "insert_overwrite" and predicates and not opts.get("whole_table", True))):
         done = _range_scoped_rewrite(spark, name, target2, delta, parts, strategy, predicates, opts, n)

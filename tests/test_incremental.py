@@ -217,3 +217,20 @@ def test_rewrite_with_schema_change_updates_the_table_definition(spark, root):
     # full refresh with a different partition spec
     INC.incremental(spark, name, d, full_refresh=True, partition_by=["k"])
     assert TB.partition_columns(spark, name) == ["k"] and spark.table(name).count() == 2
+
+
+def test_microbatch_per_batch_equals_one_pass(spark, root):
+    sch = "d date, id int, ts timestamp"
+    mk = lambda day, i, h=5: (dt.date(2024, 1, day), i, dt.datetime(2024, 1, day, h))
+    base = spark.createDataFrame([mk(1, 1), mk(2, 2), mk(3, 3), mk(4, 4)], sch)
+    delta = spark.createDataFrame([mk(2, 20, 6), mk(3, 30, 7), mk(3, 31, 8)], sch)
+    out = {}
+    for per_batch in (False, True):
+        name = f"t_mb_{int(per_batch)}"
+        INC.incremental(spark, name, base, partition_by=["d"], root=root)
+        r = INC.incremental(spark, name, delta, "microbatch", event_time="ts", begin="2024-01-02",
+                            end="2024-01-04", per_batch=per_batch)
+        out[per_batch] = rows(spark.table(name), "id")
+        if per_batch:
+            assert r["batches"] == 2
+    assert out[True] == out[False] == srt([(1,), (4,), (20,), (30,), (31,)])
