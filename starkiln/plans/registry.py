@@ -877,9 +877,10 @@ def str_02(spark, d):
 def udf_01(spark, d):
     U.create_scalar(spark, "tip_pct", [("tip", "double"), ("fare", "double")], "double",
                     "round(tip / nullif(fare, 0) * 100, 2)")
-    stg(spark, d).createOrReplaceTempView("stg_trips_udf")
+    view = _tname("stg_trips_udf")
+    stg(spark, d).createOrReplaceTempView(view)
     return spark.sql("select pickup_at, tip_amount, fare_amount, tip_pct(tip_amount, fare_amount) as tip_pct "
-                     "from stg_trips_udf")
+                     f"from {view}")
 
 
 @register("udf_02")
