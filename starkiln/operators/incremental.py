@@ -313,8 +313,22 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
                 partition_by: Sequence[str] = (), root: str | None = None, **opts) -> dict:
     """Build or update table ``name`` from ``model`` (a DataFrame, or ``fn(spark, is_incremental) -> DataFrame``).
 
-    Returns ``{"mode": ..., "rows_inserted": n}``.
+    Returns ``{"mode": ..., "rows_inserted": n}``.  Frames cached for broadcast proofs
+    during the call are released when it returns (a streaming refresh calls this once
+    per micro-batch).
     """
+    from .joins import cache_mark, release_cached
+
+    mark = cache_mark()
+    try:
+        return _incremental(spark, name, model, strategy, unique_key, on_schema_change, predicates, full_refresh,
+                            partition_by, root, **opts)
+    finally:
+        release_cached(mark)
+
+
+def _incremental(spark: SparkSession, name: str, model, strategy: str, unique_key, on_schema_change: str,
+                 predicates, full_refresh: bool, partition_by: Sequence[str], root: str | None, **opts) -> dict:
     inc = is_incremental(spark, name, full_refresh)
     df = model(spark, inc) if callable(model) else model
     if not inc:

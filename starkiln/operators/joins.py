@@ -19,12 +19,30 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
+_CACHED: list[DataFrame] = []  # frames cached by bounded_broadcast, released by release_cached
+
+
+def cache_mark() -> int:
+    return len(_CACHED)
+
+
+def release_cached(mark: int = 0) -> None:
+    """Unpersist the frames cached since ``mark`` (a later use just recomputes them)."""
+    while len(_CACHED) > mark:
+        _CACHED.pop().unpersist()
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      cache: bool = False) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcast?)`` -- broadcast-hinted only if ``df`` has <= ``max_rows`` rows."""
+                      cache: bool = False, keep: bool = False) -> tuple[DataFrame, bool]:
+    """Return ``(frame, broadcast?)`` -- broadcast-hinted only if ``df`` has <= ``max_rows`` rows.
+
+    ``keep=True`` leaves a cached frame out of ``release_cached`` (for lookups such as a
+    dimension, whose plan is the same on every build and shares one cache entry).
+    """
     if cache:
         df = df.cache()
+        if not keep:
+            _CACHED.append(df)
     n = df.limit(max_rows + 1).count()
     if n > max_rows:
         return df, False

@@ -87,7 +87,8 @@ def fct_trips(trips: DataFrame, zones: DataFrame, max_broadcast_rows: int = 1_00
     ``max_broadcast_rows``; otherwise both lookups become shuffle joins (AQE
     splits skewed zones).  Unknown zones keep the fact row (LEFT joins).
     """
-    z, _ = bounded_broadcast(zones.select("zone_id", "borough", "zone_name"), max_broadcast_rows, cache=True)
+    z, _ = bounded_broadcast(zones.select("zone_id", "borough", "zone_name"), max_broadcast_rows, cache=True,
+                             keep=True)
     pu = z.select(F.col("zone_id").alias("__pu_id"), F.col("borough").alias("pickup_borough"),
                   F.col("zone_name").alias("pickup_zone"))
     do = z.select(F.col("zone_id").alias("__do_id"), F.col("borough").alias("dropoff_borough"),
