@@ -66,3 +66,13 @@ def test_refresh_stream_applies_new_rows_once(spark):
     refresh_stream(spark.readStream.schema("id bigint").parquet(f"{base}/src"), name, f"{base}/ckpt",
                    transform=lambda b: b.withColumn("id", F.col("id") * 10), available_now=True)
     assert spark.table(name).count() == 3
+
+
+def test_refresh_incremental_mode(spark):
+    name = "t_refresh_inc_" + uuid.uuid4().hex[:6]
+    root = scratch_path(spark, "test-refresh-inc", uuid.uuid4().hex)
+    refresh(spark, name, lambda s: s.range(3).withColumn("v", F.col("id")), root=root)
+    r = refresh(spark, name, lambda s: s.range(2, 5).withColumn("v", F.col("id") * 10), mode="incremental",
+                strategy="merge", unique_key="id")
+    assert r["rows_inserted"] == 3
+    assert sorted((x.id, x.v) for x in spark.table(name).collect()) == [(0, 0), (1, 1), (2, 20), (3, 30), (4, 40)]
