@@ -55,8 +55,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup rows: nation ids are zone ids, region names are boroughs."""
+    from ..operators.joins import bounded_broadcast
+
     nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
+    region, _ = bounded_broadcast(table(spark, sf_dir, "region"), 10_000)
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         nation.n_nationkey.cast("bigint").alias("locationid"),
         region.r_name.alias("borough"),
