@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import quality_classifier
+
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash_dedup import simhash_dedup
 
@@ -22,7 +36,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_simhash_dedup, op8_exact_dedup)
+    f.__name__: f for f in (op1_quality_classifier, op5_packing, op6_simhash_dedup, op8_exact_dedup)
 }
 
 ORACLES: dict[str, str] = {
