@@ -229,6 +229,18 @@ def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
                        ).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def keep(docs: DataFrame, model: AdditiveModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of at least 0.5, all columns as they are, in one pass."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            x = matrix(b.column(at).cast(pa.binary()).to_pylist())
+            yield b.filter(pa.array(model.score(x) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_classifier(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, **params) -> DataFrame:
     """Fit on the labelled rows that are not held out and score every document.
 
