@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,24 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: Col
     return l.join(r, [*on, "_salt"], how).drop("_salt")
 
 
+def star_edges(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of a boolean matrix of links between ids ``a`` (rows) and ``b`` (columns, may
+    overlap with ``a``): each linked id with the smallest id of its group, itself left out."""
+    rows = np.flatnonzero(near.any(axis=1))
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+    at_a, at_b = where[:len(a)], where[len(a):]
+    group = np.arange(len(ids))
+    for i in rows.tolist():
+        met = np.append(group[at_b[near[i]]], group[at_a[i]])
+        least = met.min()
+        if (met != least).any():
+            group[np.isin(group, met)] = least
+    out = np.flatnonzero(group != np.arange(len(ids)))
+    return ids[out], ids[group[out]]
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable id of every node of an undirected graph.
 

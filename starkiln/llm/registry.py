@@ -23,6 +23,12 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import embedding_dedup
+
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_bpe_codec, op5_packing, op6_simhash_dedup, op8_exact_dedup, op9_token_counts,
+        op1_quality_classifier, op3_bpe_codec, op4_embedding_dedup, op5_packing, op6_simhash_dedup, op8_exact_dedup, op9_token_counts,
         op10_token_output, pipeline,
     )
 }

@@ -10,8 +10,8 @@ y is within 2 bits of the home of x: they meet there and all 64 bits are compare
 
 Only distinct fingerprints take part.  The members of an anchor are packed into salted
 blocks and blocks are joined on the anchor, so a hot anchor becomes many block pairs that
-Spark spreads and splits; a block pair yields a spanning forest of its links, never all
-pairs.  Components are built on the forests.
+Spark spreads and splits; a block pair yields star edges of its groups, never all pairs.
+Components are built on the stars.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored
+from .common import connected_components, star_edges, stored
 
 SEED = 42
 WORD_BITS = 31
@@ -111,36 +111,20 @@ def _replicate(home_only: bool):
     return run
 
 
-def forest(a_ids: np.ndarray, a_fp: np.ndarray, b_ids: np.ndarray, b_fp: np.ndarray, bits: int, step: int = 512):
-    """Edges of a spanning forest of the links between two lists (which may overlap)."""
-    parent: dict[int, int] = {}
-
-    def root(v):
-        while parent.setdefault(v, v) != v:
-            parent[v] = v = parent[parent[v]]
-        return v
-
-    for i in range(0, len(a_ids), step):
-        for j in range(0, len(b_ids), step):
-            near = np.bitwise_count(a_fp[i:i + step, None] ^ b_fp[None, j:j + step]) <= bits
-            for x, y in zip(*np.nonzero(near)):
-                u, v = int(a_ids[i + x]), int(b_ids[j + y])
-                if u != v and (ru := root(u)) != (rv := root(v)):
-                    parent[max(ru, rv)] = min(ru, rv)
-                    yield u, v
-
-
-def _compare(bits: int):
+def _compare(bits: int, step: int = 1024):
     def run(batches):
         for b in batches:
             a, c = [], []
             cols = [b.column(n) for n in ("hf", "hr", "mf", "mr")]
             for k in range(b.num_rows):
                 hf, hr, mf, mr = (x[k].values.to_numpy() for x in cols)
-                for u, v in forest(hr, hf, mr, mf, bits):
-                    a.append(u)
-                    c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+                for i in range(0, len(hf), step):
+                    for j in range(0, len(mf), step):
+                        near = np.bitwise_count(hf[i:i + step, None] ^ mf[None, j:j + step]) <= bits
+                        node, root = star_edges(hr[i:i + step], mr[j:j + step], near)
+                        a.append(node)
+                        c.append(root)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in (a, c)], names=["a", "b"])
     return run
 
 
