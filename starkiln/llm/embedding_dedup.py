@@ -112,7 +112,7 @@ def _place(centroids: dict[int, np.ndarray], threshold: float):
 def _compare(threshold: float):
     shape = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("to", pa.int64())])
 
-    def run(key, t: pa.Table) -> pa.Table:
+    def run(key, t):
         """One pair of blocks, or one block with itself."""
         side = t.column("side").to_numpy()
         rep, m = t.column("rep").to_numpy(), t.column("m").to_numpy()
