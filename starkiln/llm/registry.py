@@ -15,6 +15,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op3_bpe_codec, op4_embedding_dedup, op5_packing, op6_simhash_dedup, op8_exact_dedup, op9_token_counts,
+        op1_quality_classifier, op2_line_dedup, op3_bpe_codec, op4_embedding_dedup, op5_packing, op6_simhash_dedup, op8_exact_dedup, op9_token_counts,
         op10_token_output, pipeline,
     )
 }
