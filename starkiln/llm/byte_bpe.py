@@ -104,6 +104,15 @@ class ByteEncoder:
             return self._whole(text.decode("utf-8", "replace"))
 
 
+    def unit_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word after a space, by itself."""
+        if len(self.units) > REMEMBER:
+            self.units.clear()
+        if new := [w for w in dict.fromkeys(words) if w not in self.units]:
+            self._learn(new)
+        return [x if (x := self.units[w]) is not None else self._whole(" " + w.decode("utf-8", "replace")) for w in words]
+
+
 _ENCODERS: dict[str, ByteEncoder] = {}
 
 

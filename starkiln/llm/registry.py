@@ -49,6 +49,14 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=3, bits=3).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .lm_scoring import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -79,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_classifier, op2_line_dedup, op3_bpe_codec, op4_embedding_dedup, op5_packing, op6_simhash_dedup, op8_exact_dedup, op9_token_counts,
+        op1_quality_classifier, op2_line_dedup, op3_bpe_codec, op4_embedding_dedup, op5_packing, op6_simhash_dedup, op7_lm_scoring, op8_exact_dedup, op9_token_counts,
         op10_token_output, pipeline,
     )
 }
