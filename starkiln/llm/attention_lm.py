@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 
 HEADS = 1
-_BIG, _TOP = np.float32(-1e9), np.float32(60)
+_BIG, _TOP, _FAR = np.float32(-1e9), np.float32(60), np.float32(25)
 
 
 def group_tokens(counts: np.ndarray, groups: int) -> np.ndarray:
@@ -47,20 +47,23 @@ def init(size: int, groups: int, dim: int, back: int, step: int, seed: int = 11)
         "Q": n(dim, dim, scale=dim**-0.5), "K": n(dim, dim, scale=dim**-0.5), "V": n(dim, dim, scale=dim**-0.5),
         "R": np.repeat(-0.15 * np.arange(back + step, dtype=np.float32)[None, :], HEADS, axis=0) * np.array([[2.0], [0.2]], np.float32)[:HEADS],
         "O": n(dim, dim, scale=dim**-0.5),
+        "P": n(size, dim, scale=0.1), "A": n(size, dim, scale=0.3), "B": n(size, dim, scale=0.3),
         "G": n(dim, groups, scale=0.1), "g": np.zeros(groups, np.float32),
         "T": n(groups, dim, size // groups, scale=0.1), "t": np.zeros((groups, size // groups), np.float32),
     }
 
 
 def _bias(R: np.ndarray, back: int, step: int):
-    """Bias of query i (at position back + i) for key j, and the distances; the future is masked."""
+    """Bias of query i (at position back + i) for key j, and the distances; the future is masked.
+    Bounded below, so that no weight gets so small that the processor is slow on it."""
     far = back + np.arange(step)[:, None] - np.arange(back + step)[None, :]
-    return np.where(far >= 0, R[:, np.maximum(far, 0)], _BIG), far
+    return np.where(far >= 0, np.maximum(R, -_FAR)[:, np.maximum(far, 0)], _BIG), far
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
     s = np.minimum(s, _TOP)
     s -= s.max(axis=-1, keepdims=True)
+    np.maximum(s, -_TOP, out=s)
     np.exp(s, out=s)
     s /= s.sum(axis=-1, keepdims=True)
     return s
@@ -94,6 +97,7 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray], back: int, step: int):
         self.p, self.back, self.step = p, back, step
         dim = p["E"].shape[1]
+        self.now, self.last = np.hstack([p["U"], p["A"]]), np.hstack([p["P"], p["B"]])
         split = lambda w: [np.ascontiguousarray(x) for x in np.split(w, HEADS, axis=1)]
         self.q = split((p["E"] @ p["Q"]) / np.float32((dim // HEADS) ** 0.5))
         self.k = split(p["E"] @ p["K"])
@@ -104,19 +108,26 @@ class Scorer:
 
     def hidden(self, ids: np.ndarray, absent: np.ndarray) -> np.ndarray:
         """ids: windows of back + step tokens; absent: positions that aren't there."""
-        u, dim = np.take(self.p["U"], ids[:, self.back:], axis=0), self.p["O"].shape[0] // HEADS
+        now, last = ids[:, self.back:], ids[:, self.back - 1:-1]
+        u, dim = np.take(self.now, now, axis=0), self.p["O"].shape[0] // HEADS
+        before = np.take(self.last, last, axis=0)
+        size = self.p["U"].shape[1]
+        h = u[:, :, size:]
+        h *= before[:, :, size:]
+        h += u[:, :, :size]
+        h += before[:, :, :size]
         some = absent.any()
         here = (~absent).astype(np.float32)[:, None, :] if some else None
         for x in range(HEADS):  # every batch is one block of small products; weights are divided by their sum at the end
-            s = np.matmul(np.take(self.q[x], ids[:, self.back:], axis=0), np.take(self.k[x], ids, axis=0).transpose(0, 2, 1))
+            s = np.matmul(np.take(self.q[x], now, axis=0), np.take(self.k[x], ids, axis=0).transpose(0, 2, 1))
             s += self.bias[x]
             np.exp(s, out=s)
             if some:
                 s *= here
             c = np.matmul(s, np.take(self.v[x], ids, axis=0))
             c[:, :, :dim] /= c[:, :, dim:]
-            u += c[:, :, :dim] @ self.p["O"][x * dim:(x + 1) * dim]
-        return u
+            h += c[:, :, :dim] @ self.p["O"][x * dim:(x + 1) * dim]
+        return h
 
     def log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of flat targets after flat hidden rows."""
@@ -172,7 +183,9 @@ def gradients(p: dict[str, np.ndarray], ids: np.ndarray, absent: np.ndarray, tar
     bias, far = _bias(p["R"], back, step)
     a = _softmax(q @ k.transpose(0, 1, 3, 2) + bias + np.where(absent, _BIG, np.float32(0))[:, None, None, :])
     c = (a @ v).transpose(0, 2, 1, 3).reshape(len(ids), step, dim)
-    h = (p["U"][ids[:, back:]] + c @ p["O"])[scored]
+    now, last = ids[:, back:], ids[:, back - 1:-1]
+    pa, pb = p["A"][now], p["B"][last]
+    h = (p["U"][now] + p["P"][last] + pa * pb + c @ p["O"])[scored]
     y = target[scored]
     n = len(y)
     group, member = np.divmod(y, width)
@@ -199,7 +212,8 @@ def gradients(p: dict[str, np.ndarray], ids: np.ndarray, absent: np.ndarray, tar
 
     full = np.zeros((*scored.shape, dim), np.float32)
     full[scored] = dh
-    _add_rows(grad["U"], ids[:, back:].ravel(), full.reshape(-1, dim))
+    for name, at, rows in (("U", now, full), ("P", last, full), ("A", now, full * pb), ("B", last, full * pa)):
+        _add_rows(grad[name], at.ravel(), rows.reshape(-1, dim))
     grad["O"] = c.reshape(-1, dim).T @ full.reshape(-1, dim)
     dc = _heads(full @ p["O"].T)
     dv = a.transpose(0, 1, 3, 2) @ dc
@@ -225,7 +239,7 @@ def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 
 
 def train(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, back: int, step: int, steps: int, batch: int = 256,
-          rate: float = 0.01, seed: int = 5) -> list[float]:
+          rate: float = 0.01, decay: float = 0.3, seed: int = 5) -> list[float]:
     """Adam in place over windows of texts (``ids`` holds, for each text, one id more than its
     length: what stands before each position, and the last target)."""
     text, first = window_list(lengths, step)
@@ -245,5 +259,5 @@ def train(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, back:
         for k, w in p.items():
             m[k] += 0.1 * (g[k] - m[k])
             v[k] += 0.01 * (g[k] * g[k] - v[k])
-            w -= (lr / (1 - 0.9**t) * m[k] / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+            w -= (lr * (m[k] / (1 - 0.9**t) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8) + decay * w)).astype(np.float32)
     return losses

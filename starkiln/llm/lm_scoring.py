@@ -33,7 +33,7 @@ DIM, BACK, STEP = 32, 8, 24
 #: Words of a training segment; segments of the first training on the driver (documented bound);
 #: segments of a task in the second.
 SEGMENT_WORDS, FIRST_SEGMENTS, TASK_SEGMENTS = 24, 16_384, 32_768
-FIRST_STEPS = 400
+FIRST_STEPS = 600
 END = 50256
 #: Positions scored at once.
 AT_ONCE = 100_000
