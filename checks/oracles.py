@@ -392,6 +392,11 @@ ORACLES["fn_24_28"] = q("""select o_orderkey, date_trunc('month', o_orderdate) a
   date_diff('day', o_orderdate, timestamp '2000-01-01') as days_to_2000,
   date_diff('quarter', o_orderdate, timestamp '2000-01-01') as quarters_to_2000,
   date_diff('hour', o_orderdate, timestamp '2000-01-01 12:30:00') as hours_to_2000,
+  cast(date_diff('day', date_trunc('week', o_orderdate), date_trunc('week', timestamp '2000-01-01')) // 7 as bigint) as weeks_to_2000,
+  date_diff('minute', o_orderdate, timestamp '2000-01-01 12:30:30') as minutes_to_2000,
+  date_diff('second', o_orderdate, timestamp '2000-01-01 12:30:30') as seconds_to_2000,
+  date_diff('microsecond', o_orderdate, timestamp '9999-12-30 00:00:00.000001') as micros_to_9999,
+  date_trunc('week', o_orderdate) as order_week, cast(cast(o_orderdate as date) + interval 14 day as date) as due_date,
   last_day(o_orderdate) as month_end,
   cast(date_trunc('quarter', o_orderdate) + interval 3 month - interval 1 day as date) as quarter_end,
   cast(date_trunc('year', o_orderdate) + interval 12 month - interval 1 day as date) as year_end,
@@ -465,3 +470,48 @@ ORACLES["dq_13_custom"] = q(f"select max(_loaded_at) as max_loaded_at, {T2} as s
                             f"where VendorID <> 1")
 ORACLES["scd_01_split"] = ORACLES["scd_01"]
 ORACLES["src_01_load"] = q("select * exclude (_loaded_at) from raw_trips")
+
+
+# -- fixtures on which a broken operator fails
+_LINES = "(select l_orderkey || '-' || l_linenumber as trip_key from lineitem)"
+_TWICE = f"(select trip_key, count(*) as n_records from {_LINES} group by 1 having count(*) > 1)"
+ORACLES["dq_02_duplicates"] = f"select trip_key as unique_field, n_records from {_TWICE}"
+ORACLES["dq_07_custom_duplicates"] = (
+    "select cast(coalesce(sum(n_records), 0) as bigint) as failures, coalesce(sum(n_records), 0) > 10 as should_warn, "
+    f"coalesce(sum(n_records), 0) > 100000000 as should_error from {_TWICE}")
+ORACLES["agg_11_duplicates"] = f"""
+select cast(sum(n) as bigint) as total_rows, cast(0 as bigint) as null_keys, count(*) as distinct_keys,
+  count(case when n > 1 then 1 end) as colliding_keys,
+  cast(coalesce(sum(case when n > 1 then n end), 0) as bigint) as rows_in_collisions,
+  round((sum(n) - count(*)) * 100.0 / sum(n), 4) as collision_pct
+from (select trip_key, count(*) as n from {_LINES} group by 1)"""
+ORACLES["scd_03_updated_at"] = q(f"""
+select h1.c_custkey, h1.c_name, h1.c_nationkey, h1.c_acctbal, h1.c_mktsegment, h1.updated_at, h1.scd_id, h1.scd_updated_at,
+  h1.valid_from, case when v2.c_acctbal is distinct from h1.c_acctbal and v2.c_custkey is not null then v2.updated_at
+                 else h1.valid_to end as valid_to
+from h1 left join v2 on h1.c_custkey = v2.c_custkey
+union all
+select v2.c_custkey, v2.c_name, v2.c_nationkey, v2.c_acctbal, v2.c_mktsegment, v2.updated_at,
+  md5({_h('v2.c_custkey')} || '|' || {_h('v2.updated_at')}), v2.updated_at, v2.updated_at, cast(null as timestamp)
+from v2 left join h1 on h1.c_custkey = v2.c_custkey
+where h1.c_custkey is null or v2.c_acctbal is distinct from h1.c_acctbal""",
+                                 CUST_V + f""",
+h1 as (select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, updated_at,
+  md5({_h('c_custkey')} || '|' || {_h(T1)}) as scd_id, {T1} as scd_updated_at, {T1} as valid_from,
+  cast(null as timestamp) as valid_to from v1)""")
+ORACLES["scd_03_all"] = ORACLES["scd_03"]  # only the balance ever changes here
+ORACLES["src_08_load"] = q("""
+select 'trips_' || strftime(tpep_pickup_datetime, '%Y-%m') || '.parquet' as file, count(*) as n_rows,
+  cast(sum("VendorID") as bigint) as vendor_sum, max(tpep_pickup_datetime) as last_pickup from raw_trips group by 1""")
+ORACLES["inc_03_exclude_columns"] = q("""
+select t.o_orderkey, t.o_custkey, t.o_orderstatus,
+  case when d.o_orderkey is not null then d.o_totalprice else t.o_totalprice end as o_totalprice,
+  t.o_orderdate, t.o_orderpriority
+from orders t left join o_delta d on t.o_orderkey = d.o_orderkey
+union all select * from o_delta where o_orderkey not in (select o_orderkey from orders)""", O_DELTA)
+ORACLES["inc_06_default"] = ORACLES["inc_03"]
+ORACLES["inc_08_append_new_columns_stored"] = ORACLES["inc_08_append_new_columns"]
+ORACLES["inc_08_sync_all_columns_stored"] = ORACLES["inc_08_sync_all_columns"]
+ORACLES["str_02_incremental"] = ORACLES["inc_01"]
+ORACLES["str_02_stream"] = """select o_orderkey, o_custkey, o_orderstatus,
+  case when o_orderstatus = 'F' then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderdate, o_orderpriority from orders"""

@@ -35,8 +35,13 @@ def _as_ts(c: Column) -> Column:
     return c.cast("timestamp")
 
 
+def _div(a: Column, n: int) -> Column:
+    """Integer quotient, rounded down (a double would lose microseconds of far dates)."""
+    return F.call_function("div", a - F.pmod(a, F.lit(n)), F.lit(n))
+
+
 def _floor_units(c: Column, micros_per_unit: int) -> Column:
-    return F.floor(F.unix_micros(_as_ts(c)) / F.lit(micros_per_unit))
+    return _div(F.unix_micros(_as_ts(c)), micros_per_unit)
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
@@ -57,7 +62,7 @@ def datediff(part: str, start: str | Column, end: str | Column) -> Column:
         return F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
     if p == "week":
         wa, wb = F.date_trunc("week", _as_ts(a)), F.date_trunc("week", _as_ts(b))
-        return (F.datediff(F.to_date(wb), F.to_date(wa)) / F.lit(7)).cast("bigint")
+        return _div(F.datediff(F.to_date(wb), F.to_date(wa)).cast("bigint"), 7)
     if p == "month":
         return ((F.year(b) * 12 + F.month(b)) - (F.year(a) * 12 + F.month(a))).cast("bigint")
     if p == "quarter":
@@ -66,19 +71,24 @@ def datediff(part: str, start: str | Column, end: str | Column) -> Column:
 
 
 def dateadd(part: str, n: int | Column, c: str | Column) -> Column:
-    """Add ``n`` parts; month arithmetic clamps to month end (Jan 31 + 1 month = Feb 29/28)."""
+    """Add ``n`` parts; month arithmetic clamps to month end (Jan 31 + 1 month = Feb 29/28).
+    A naive timestamp stays naive, and a date stays a date for parts of a day or more."""
     p = _part(part)
-    n = F.lit(n) if isinstance(n, int) else n
+    n = (F.lit(n) if isinstance(n, int) else n).cast("int")
     c = col_of(c)
-    if p == "week":
-        return F.timestamp_add("DAY", n * 7, c)
-    if p == "quarter":
-        return F.timestamp_add("MONTH", n * 3, c)
+    months = {"month": 1, "quarter": 3, "year": 12}.get(p)
+    if months:
+        return c + F.make_ym_interval(F.lit(0), n * months)
+    if p in ("day", "week"):
+        return c + F.make_dt_interval(n * (7 if p == "week" else 1)).cast("interval day")
     return F.timestamp_add(_PARTS[p], n, c)
 
 
 def date_trunc(part: str, c: str | Column) -> Column:
-    return F.date_trunc(_PARTS[_part(part)].lower(), col_of(c))
+    """Start of the part, in the type of ``c`` for timestamps with and without a zone."""
+    c = col_of(c)
+    zoned = _as_ts(c)
+    return c - (zoned - F.date_trunc(_PARTS[_part(part)].lower(), zoned))
 
 
 def last_day(c: str | Column, part: str = "month") -> Column:

@@ -50,11 +50,14 @@ def date_spine(spark: SparkSession, part: str, start, end, name: str | None = No
         end = dt.date.fromisoformat(end) if len(end) <= 10 else dt.datetime.fromisoformat(end)
     name = name or f"date_{part}"
     n = max(_count_parts(part, start, end) + 1, 0)
-    base = F.lit(start)
+    def fixed(x):  # text, so that the driver host's time zone has no say in a timestamp
+        return F.lit(x) if type(x) is dt.date else F.lit(x.isoformat(sep=" ")).cast("timestamp")
+
+    base = fixed(start)
     out = spark.range(0, n).select(F.timestamp_add(_STEP[part], F.col("id").cast("int"), base).alias(name))
     if type(start) is dt.date and part in ("day", "week", "month", "quarter", "year"):
         out = out.select(F.col(name).cast("date").alias(name))
-    return out.filter(F.col(name) < F.lit(end))
+    return out.filter(F.col(name) < fixed(end))
 
 
 def spine_between(spark: SparkSession, bounds: DataFrame, lo: str, hi: str, part: str = "day",

@@ -6,8 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from .joins import bounded_broadcast
+from pyspark.sql import types as T
 
 
 def in_window(df: DataFrame, ts: str, lo, hi) -> DataFrame:
@@ -15,28 +14,37 @@ def in_window(df: DataFrame, ts: str, lo, hi) -> DataFrame:
     return df.filter((F.col(ts) >= F.lit(lo)) & (F.col(ts) < F.lit(hi)))
 
 
-def latest_batch(df: DataFrame, part: str = "_source_file", ts: str = "_loaded_at",
-                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def latest_batch(df: DataFrame, part: str = "_source_file", ts: str = "_loaded_at") -> DataFrame:
     """Keep the rows whose ``ts`` equals the max ``ts`` of their ``part`` (latest batch wins).
 
     Equivalent to ``max(ts) over (partition by part)`` + filter, planned without a
-    window: the per-file max is a partial aggregate (one row per file), proved
-    small and broadcast into a semi join, so the big side is never shuffled and a
-    file holding a third of the rows costs no more than any other file.
+    window: the per-file max is a partial aggregate (one row per file and task before the
+    shuffle) and a semi join brings it back, so no task has to sort a hot file.
     """
     latest = df.groupBy(part).agg(F.max(ts).alias("__max_ts"))
-    latest, _ = bounded_broadcast(latest, max_broadcast_rows, cache=True)
     # PARTITION BY groups NULL file names together, so the file key compares NULL-safely
     cond = df[part].eqNullSafe(latest[part]) & (df[ts] == latest["__max_ts"])
     return df.join(latest, cond, "left_semi")
 
 
-def watermark_value(target: DataFrame | None, col: str = "_loaded_at", default: str = "1900-01-01"):
-    """``coalesce(max(col), default)`` of the target as a python value (one row reaches the driver)."""
+def literal_of(text: str, kind: T.DataType) -> Column:
+    """A date or time given as text, as a literal of a column's own type.  Text never passes
+    through the driver host's time zone, as a Python datetime would."""
+    return F.lit(text).cast(kind)
+
+
+def watermark_value(target: DataFrame | None, col: str = "_loaded_at", default: str = "1900-01-01",
+                    kind: T.DataType | None = None) -> Column:
+    """``coalesce(max(col), default)`` of the target as a literal of the column's type (one row
+    reaches the driver: as microseconds for a timestamp, else as text)."""
+    kind = kind or (target.schema[col].dataType if target is not None else T.TimestampType())
     if target is None:
-        return F.lit(default).cast("timestamp")
-    v = target.agg(F.max(col).alias("m")).first()["m"]
-    return F.lit(default).cast("timestamp") if v is None else F.lit(v)
+        return literal_of(default, kind)
+    top = F.max(col)
+    v = target.agg((F.unix_micros(top) if isinstance(kind, T.TimestampType) else top.cast("string")).alias("m")).first()["m"]
+    if v is None:
+        return literal_of(default, kind)
+    return F.timestamp_micros(F.lit(v)) if isinstance(kind, T.TimestampType) else literal_of(v, kind)
 
 
 def since_watermark(src: DataFrame, target: DataFrame | None, col: str = "_loaded_at",
@@ -50,11 +58,11 @@ def since_watermark(src: DataFrame, target: DataFrame | None, col: str = "_loade
     max, so a batch committed late with an older timestamp is not skipped.
     """
     if per_part is None:
-        return src.filter(F.col(col) > watermark_value(target, col, default))
+        kind = src.schema[col].dataType if target is None else None
+        return src.filter(F.col(col) > watermark_value(target, col, default, kind))
     if target is None:
         return src
     seen = target.groupBy(per_part).agg(F.max(col).alias("__wm"))
-    seen, _ = bounded_broadcast(seen, cache=True)
     j = src.join(seen, src[per_part] == seen[per_part], "left")
     return j.filter(seen["__wm"].isNull() | (src[col] > seen["__wm"])).select(src["*"])
 

@@ -8,8 +8,7 @@ delta, reconciles schemas, and stores the new state the cheapest correct way:
   dynamic partition overwrite -- the target is never read, only the touched
   partitions are rewritten;
 * other keys: ``target anti-join distinct delta keys  UNION ALL  delta``
-  written as a new table version.  The key list is broadcast only when proved
-  small; otherwise it is a shuffle anti join (AQE splits skewed keys).
+  written as a new table version (a plain anti join).
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import schema_change as SC
 from . import tables as TB
-from .joins import bounded_broadcast
+from .filters import literal_of
 
 STRATEGIES = ("append", "delete+insert", "merge", "insert_overwrite", "microbatch")
 
@@ -53,8 +52,7 @@ def apply_append(target: DataFrame, delta: DataFrame) -> DataFrame:
     return target.unionByName(delta.select(*target.columns))
 
 
-def apply_delete_insert(target: DataFrame, delta: DataFrame, unique_key, predicates=None,
-                        max_broadcast_keys: int = 1_000_000) -> DataFrame:
+def apply_delete_insert(target: DataFrame, delta: DataFrame, unique_key, predicates=None) -> DataFrame:
     """Delete target rows whose key tuple is among the delta's distinct keys (and match every
     predicate), then insert *all* delta rows, duplicates included.  No key -> insert only.
     Keys compare with ``=``: a NULL key is never deleted."""
@@ -63,7 +61,6 @@ def apply_delete_insert(target: DataFrame, delta: DataFrame, unique_key, predica
     if not keys:
         return target.unionByName(d)
     kdf = delta.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
-    kdf, _ = bounded_broadcast(kdf, max_broadcast_keys, cache=True)
     cond = None
     for i, k in enumerate(keys):
         c = target[k] == kdf[f"__k{i}"]
@@ -95,17 +92,14 @@ def duplicate_keys(delta: DataFrame, unique_key) -> DataFrame:
 
 
 def apply_merge(target: DataFrame, delta: DataFrame, unique_key, update_columns=None, exclude_columns=None,
-                predicates=None, check_duplicates: bool = True,
-                max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                predicates=None, check_duplicates: bool = True) -> DataFrame:
     """Upsert: matched target rows take the delta's values for the update columns; unmatched
     delta rows are inserted; duplicate delta keys are an error.  No key -> insert only.
 
     Planned without a full outer join:
 
-    * ``target LEFT JOIN delta`` applies the updates.  The delta (unique keys,
-      usually a small batch) is broadcast once its row count is proved, so the
-      target is scanned but never shuffled; beyond the bound it is a shuffle
-      left join, where AQE splits a hot target key.
+    * ``target LEFT JOIN delta`` applies the updates.  A small delta is broadcast by
+      Spark, so the target is scanned but not shuffled; else it is a shuffle left join.
     * the delta keys that matched are found by a key-only semi join of the
       target (column-pruned scan), and the inserts are the delta rows outside them.
 
@@ -128,7 +122,6 @@ def apply_merge(target: DataFrame, delta: DataFrame, unique_key, update_columns=
     tp = F.coalesce(p, F.lit(False)) if p is not None else F.lit(True)
 
     s = d_keyed.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__s"))
-    s, _ = bounded_broadcast(s, max_broadcast_rows, cache=True)
     t = t_keyed.withColumn("__tp", tp)
     cond = t["__tp"]
     for k in keys:
@@ -195,50 +188,32 @@ def batch_windows(start, end, batch_size: str = "day") -> list[tuple[dt.datetime
     return out
 
 
+def event_range(df: DataFrame, event_time: str, start, end, batch_size: str) -> Column | None:
+    """``start <= event_time < end`` in the column's own type, or None for an empty range."""
+    wins = batch_windows(start, end, batch_size)
+    if not wins:
+        return None
+    kind = df.schema[event_time].dataType
+    lo, hi = (literal_of(x.isoformat(sep=" "), kind) for x in (wins[0][0], wins[-1][1]))
+    return (F.col(event_time) >= lo) & (F.col(event_time) < hi)
+
+
 def apply_microbatch(target: DataFrame, delta: DataFrame, event_time: str, start, end,
                      batch_size: str = "day") -> DataFrame:
     """For every batch window in ``[start, end)``: delete target rows whose ``event_time`` falls in it
     and insert the delta rows that do.  The windows tile ``[start, end)``, so the combined
     effect is one range replacement; it is planned as a single pass."""
-    wins = batch_windows(start, end, batch_size)
-    if not wins:
+    old = event_range(target, event_time, start, end, batch_size)
+    if old is None:
         return target
-    lo, hi = F.lit(wins[0][0]).cast("timestamp"), F.lit(wins[-1][1]).cast("timestamp")
-    et = F.col(event_time).cast("timestamp")
-    in_range = (et >= lo) & (et < hi)
-    kept = target.filter(~F.coalesce(in_range, F.lit(False)))
-    return kept.unionByName(delta.select(*target.columns).filter(in_range))
+    kept = target.filter(~F.coalesce(old, F.lit(False)))
+    return kept.unionByName(delta.select(*target.columns).filter(event_range(delta, event_time, start, end, batch_size)))
 
 
 # -- materialization -------------------------------------------------------------
-def scope_to_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str],
-                        max_literal: int = 10_000) -> DataFrame:
-    """Target rows in the partitions listed by ``touched`` (a proven-small frame).
-
-    Up to ``max_literal`` partition specs become a literal predicate on the
-    partition columns, which the scan applies as a static partition filter (only
-    those directories are listed and read).  Longer lists use a semi join on the
-    partition columns (NULL-safe, as ``PARTITION BY`` groups NULLs).
-    """
-    specs = touched.select(*parts).limit(max_literal + 1).collect()
-    if len(specs) <= max_literal:
-        if not specs:
-            return target.filter(F.lit(False))
-        if len(parts) == 1:
-            vals = [r[0] for r in specs]
-            c = F.col(parts[0])
-            pred = c.isin([v for v in vals if v is not None])
-            if any(v is None for v in vals):
-                pred = pred | c.isNull()
-            return target.filter(pred)
-        pred = None
-        for r in specs:
-            conj = None
-            for p_, v in zip(parts, r):
-                e = F.col(p_).isNull() if v is None else (F.col(p_) == F.lit(v))
-                conj = e if conj is None else conj & e
-            pred = conj if pred is None else pred | conj
-        return target.filter(pred)
+def scope_to_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Target rows in the partitions listed by ``touched``: a NULL-safe semi join on the partition
+    columns (``PARTITION BY`` groups NULLs).  A broadcast list prunes the scan to its partitions."""
     cond = None
     for p_ in parts:
         e = target[p_].eqNullSafe(touched[p_])
@@ -250,38 +225,37 @@ def _range_scoped_rewrite(spark, name, target, delta, parts, strategy, predicate
     """Rewrite only the partitions that a microbatch range / overwrite predicate touches.
 
     Affected partitions = partitions of the target rows the strategy deletes plus
-    partitions of the delta rows it inserts (a proven-small list).  They are
-    rewritten from a frozen result; any of them left without rows is cleared.
-    Returns None (caller falls back to a full rewrite) when the list is large or
-    a NULL partition value is involved.
+    partitions of the delta rows it inserts.  They are rewritten from a frozen result; those
+    left without rows are cleared (only their names, which the catalog lists anyway, reach
+    the driver).  Returns None (a full rewrite follows) when a NULL partition is left empty,
+    which no partition spec can name.
     """
     if strategy == "microbatch":
-        wins = batch_windows(opts["begin"], opts["end"], opts.get("batch_size", "day"))
-        if not wins:
+        args = opts["event_time"], opts["begin"], opts["end"], opts.get("batch_size", "day")
+        hit = event_range(target, *args)
+        if hit is None:
             return {"mode": "noop", "rows_inserted": 0}
-        et = F.col(opts["event_time"]).cast("timestamp")
-        hit = (et >= F.lit(wins[0][0]).cast("timestamp")) & (et < F.lit(wins[-1][1]).cast("timestamp"))
-        ins = delta.filter(hit)
+        ins = delta.filter(event_range(delta, *args))
     else:
-        hit = _pred(predicates)
-        ins = delta
-    hit = F.coalesce(hit, F.lit(False))
-    touched = target.filter(hit).select(*parts).unionByName(ins.select(*parts)).distinct()
-    touched, small = bounded_broadcast(touched, opts.get("max_touched_partitions", 10_000), cache=True)
-    specs = [r.asDict() for r in touched.collect()] if small else None
-    if specs is None or any(v is None for sp in specs for v in sp.values()):
-        return None
+        hit, ins = _pred(predicates), delta
+    touched = target.filter(F.coalesce(hit, F.lit(False))).select(*parts).unionByName(ins.select(*parts)).distinct()
+    touched = stable(touched)
     scope = scope_to_partitions(target, touched, parts)
     if strategy == "microbatch":
-        new = apply_microbatch(scope, delta, opts["event_time"], opts["begin"], opts["end"],
-                               opts.get("batch_size", "day"))
+        new = apply_microbatch(scope, delta, *args)
     else:
         new = apply_insert_overwrite(scope, delta, predicates, opts.get("columns"), whole_table=False)
     frozen = stable(new)
-    written = {tuple(r) for r in frozen.select(*parts).distinct().collect()}  # within the proven-small list
-    if written:
+    full = frozen.select(*parts).distinct()
+    cond = F.lit(True)
+    for p_ in parts:
+        cond = cond & touched[p_].eqNullSafe(full[p_])
+    emptied = [r.asDict() for r in touched.join(full, cond, "left_anti").collect()]
+    if any(v is None for sp in emptied for v in sp.values()):
+        return None
+    if not frozen.isEmpty():
         TB.overwrite_partitions(frozen, name, parts)
-    TB.clear_partitions(spark, name, [sp for sp in specs if tuple(sp[p_] for p_ in parts) not in written])
+    TB.clear_partitions(spark, name, emptied)
     return {"mode": "partition_rewrite", "rows_inserted": n}
 
 
@@ -308,27 +282,22 @@ def stable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def reads_table(spark: SparkSession, df: DataFrame, name: str) -> bool:
+    """Whether the plan of ``df`` scans files of table ``name``."""
+    at = TB.location(spark, name).split(":", 1)[-1].replace("//", "/").rstrip("/") + "/"
+    return any(at in f.split(":", 1)[-1].replace("//", "/") for f in df.inputFiles())
+
+
 def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+insert", unique_key=None,
                 on_schema_change: str = "ignore", predicates=None, full_refresh: bool = False,
                 partition_by: Sequence[str] = (), root: str | None = None, **opts) -> dict:
     """Build or update table ``name`` from ``model`` (a DataFrame, or ``fn(spark, is_incremental) -> DataFrame``).
 
-    Returns ``{"mode": ..., "rows_inserted": n}``.  Frames cached for broadcast proofs
-    during the call are released when it returns (a streaming refresh calls this once
-    per micro-batch).
+    Returns ``{"mode": ..., "rows_inserted": n}``.  Commits: ``append`` and a whole-partition
+    overwrite are one write; a table rewrite is one new version and one switch; a scoped
+    rewrite replaces its partitions in one write and then clears those left empty, so a
+    failure between the two leaves rows that the next run clears.
     """
-    from .joins import cache_mark, release_cached
-
-    mark = cache_mark()
-    try:
-        return _incremental(spark, name, model, strategy, unique_key, on_schema_change, predicates, full_refresh,
-                            partition_by, root, **opts)
-    finally:
-        release_cached(mark)
-
-
-def _incremental(spark: SparkSession, name: str, model, strategy: str, unique_key, on_schema_change: str,
-                 predicates, full_refresh: bool, partition_by: Sequence[str], root: str | None, **opts) -> dict:
     inc = is_incremental(spark, name, full_refresh)
     df = model(spark, inc) if callable(model) else model
     if not inc:
@@ -338,56 +307,62 @@ def _incremental(spark: SparkSession, name: str, model, strategy: str, unique_ke
         return {"mode": "full", "rows_inserted": spark.table(name).count()}
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown incremental strategy {strategy!r}")
-    delta = stable(df)
     target = spark.table(name)
+    # what is computed from the target is frozen before the target changes; other deltas are
+    # frozen further down, and only by strategies that read them more than once
+    delta = df
+    if strategy in ("append", "delete+insert") and reads_table(spark, df, name):
+        delta = stable(df)
     target2, delta = SC.reconcile(target, delta, on_schema_change)
     parts = TB.partition_columns(spark, name)
     keys = _keys(unique_key)
     nn = F.lit(True)
     for k in keys:
         nn = nn & F.col(k).isNotNull()
-    counts = delta.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~nn, 1)).alias("null_keys")).first()
-    n, null_keys = counts["n"], counts["null_keys"]
     schema_changed = target2.columns != target.columns or target2.schema != target.schema
-    if schema_changed and on_schema_change == "append_new_columns" and strategy == "append":
-        added = [f for f in target2.schema.fields if f.name not in target.columns]
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
-        TB.append(delta, name)
-        return {"mode": "append", "rows_inserted": n}
-    if not schema_changed:
-        if strategy == "append":
+    whole = (not schema_changed and strategy == "delete+insert" and keys and parts and sorted(keys) == sorted(parts)
+             and not predicates)
+    adding = strategy == "append" and (not schema_changed or on_schema_change == "append_new_columns")
+    if adding or whole:
+        # a pass over the key columns only; nothing is written when nothing is new
+        n, null_keys = delta.agg(F.count(F.lit(1)), F.count(F.when(~nn, 1))).first()
+    if adding:
+        if schema_changed:
+            added = [f for f in target2.schema.fields if f.name not in target.columns]
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+        if n:
             TB.append(delta, name)
-            return {"mode": "append", "rows_inserted": n}
-        if strategy == "delete+insert" and keys and parts and sorted(keys) == sorted(parts) and not predicates:
-            if n > null_keys:
-                TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name, parts)
-            if null_keys:
-                TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
-            return {"mode": "partition_overwrite", "rows_inserted": n}
+        return {"mode": "append", "rows_inserted": n}
+    if whole:
+        if n > null_keys:
+            TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name, parts)
+        if null_keys:
+            TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
+        return {"mode": "partition_overwrite", "rows_inserted": n}
+    delta = stable(delta)
+    n = delta.count()
     scoped = (not schema_changed and parts and keys and strategy in ("delete+insert", "merge")
               and {p.lower() for p in parts} <= {k.lower() for k in keys})
     if scoped:
         # Every row the strategy can change shares its partition values with a delta row, so only
         # the delta's partitions are read (semi join -> dynamic partition pruning) and rewritten.
-        touched = delta.select(*parts).distinct()
-        touched, small = bounded_broadcast(touched, opts.get("max_touched_partitions", 100_000), cache=True)
-        if small:
-            t_scope = scope_to_partitions(target2, touched, parts)
-            if strategy == "delete+insert":
-                new = apply_delete_insert(t_scope, delta, keys, predicates)
-            else:
-                new = apply_merge(t_scope, delta, keys, opts.get("merge_update_columns"),
-                                  opts.get("merge_exclude_columns"), predicates)
-            TB.overwrite_partitions(stable(new), name, parts)  # frozen first: never read what is overwritten
-            return {"mode": "partition_rewrite", "rows_inserted": n}
+        t_scope = scope_to_partitions(target2, delta.select(*parts).distinct(), parts)
+        if strategy == "delete+insert":
+            new = apply_delete_insert(t_scope, delta, keys, predicates)
+        else:
+            new = apply_merge(t_scope, delta, keys, opts.get("merge_update_columns"),
+                              opts.get("merge_exclude_columns"), predicates)
+        TB.overwrite_partitions(stable(new), name, parts)  # frozen first: never read what is overwritten
+        return {"mode": "partition_rewrite", "rows_inserted": n}
     if not schema_changed and parts and strategy == "microbatch" and opts.get("per_batch"):
         # one scoped rewrite per batch window: a failure loses only its batch, each job is one window
         done = {"mode": "partition_rewrite", "rows_inserted": n, "batches": 0}
         for lo, hi in batch_windows(opts["begin"], opts["end"], opts.get("batch_size", "day")):
             o = {**opts, "begin": lo, "end": hi}
-            r = _range_scoped_rewrite(spark, name, spark.table(name), delta, parts, strategy, predicates, o, n)
-            if r is None:
-                raise ValueError("per_batch microbatch needs a small, non-NULL set of touched partitions per batch")
+            now = spark.table(name)
+            if _range_scoped_rewrite(spark, name, now, delta, parts, strategy, predicates, o, n) is None:
+                TB.write_version(apply_microbatch(now, delta, opts["event_time"], lo, hi, opts.get("batch_size", "day")),
+                                 name, root, parts)
             done["batches"] += 1
         return done
     if not schema_changed and parts and (strategy == "microbatch" or (

@@ -1,13 +1,9 @@
-"""Join helpers.
-
-``bounded_broadcast`` is the only way the library broadcasts: it first proves a
-row bound by counting at most ``max_rows + 1`` rows of the (already small,
-usually aggregated) frame.  Within the bound the frame is hinted for
-broadcast; beyond it the frame is returned unhinted and the join stays a
-shuffle join, where AQE's skew handling splits hot keys.  ``cache=True`` keeps
-the proven-small result in executor memory so the broadcast does not
-recompute an expensive aggregate (a lost cache block is recomputed from
-lineage, so executor loss cannot change the result).
+"""Join helpers: plain equi-joins.
+
+Nothing here decides how a join runs: Spark broadcasts a side whose size is below its
+threshold (file sizes when planning, measured shuffle sizes at run time) and otherwise
+shuffles, where adaptive execution splits hot keys.  Nothing is cached, so a lookup that
+has changed on disk is seen by the next query.
 """
 
 from __future__ import annotations
@@ -17,37 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-_CACHED: list[DataFrame] = []  # frames cached by bounded_broadcast, released by release_cached
-
-
-def cache_mark() -> int:
-    return len(_CACHED)
-
-
-def release_cached(mark: int = 0) -> None:
-    """Unpersist the frames cached since ``mark`` (a later use just recomputes them)."""
-    while len(_CACHED) > mark:
-        _CACHED.pop().unpersist()
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      cache: bool = False, keep: bool = False) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcast?)`` -- broadcast-hinted only if ``df`` has <= ``max_rows`` rows.
-
-    ``keep=True`` leaves a cached frame out of ``release_cached`` (for lookups such as a
-    dimension, whose plan is the same on every build and shares one cache entry).
-    """
-    if cache:
-        df = df.cache()
-        if not keep:
-            _CACHED.append(df)
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        return df, False
-    return F.broadcast(df), True
-
 
 def _keys(k: str | Sequence[str]) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
@@ -63,22 +28,15 @@ def key_condition(left: DataFrame, right: DataFrame, left_keys: Sequence[str], r
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str | Sequence[str],
-            parent_key: str | Sequence[str] | None = None,
-            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (anti join; duplicates kept).
-
-    The distinct parent keys are broadcast when proved small (the usual
-    dimension case), so the child is never shuffled; otherwise a shuffle anti
-    join, where AQE splits a hot child key.
-    """
+            parent_key: str | Sequence[str] | None = None) -> DataFrame:
+    """Child rows whose non-NULL key has no parent row (anti join; duplicates kept)."""
     ck = _keys(child_key)
     pk = _keys(parent_key) if parent_key is not None else ck
     not_null = None
     for k in ck:
         not_null = F.col(k).isNotNull() if not_null is None else not_null & F.col(k).isNotNull()
     c = child.filter(not_null)
-    p = parent.select(*[F.col(a).alias(f"__pk{i}") for i, a in enumerate(pk)]).distinct()
-    p, _ = bounded_broadcast(p, max_broadcast_rows, cache=True)
+    p = parent.select(*[F.col(a).alias(f"__pk{i}") for i, a in enumerate(pk)])
     cond = key_condition(c, p, ck, [f"__pk{i}" for i in range(len(pk))])
     return c.join(p, cond, "left_anti")
 

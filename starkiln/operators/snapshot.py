@@ -2,9 +2,10 @@
 
 One call turns ``(source, history)`` into the next history.  The change set is
 derived from a *single* full outer join of the source with the open history
-rows on the key (instead of separate insert / update / delete joins), and rows
-with a NULL key -- which can never match -- bypass the join so a hot NULL key
-cannot pile up in one shuffle partition.
+rows on the key: a joined row carries the one to three history rows that follow from
+it (the open row kept or closed, a new version, a deletion record) and is exploded into
+them, so the join runs once.  Rows with a NULL key -- which can never match -- bypass the
+join, so a hot NULL key cannot pile up in one shuffle partition.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from ..functions.scalar import scd_hash
 
 META = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 DELETED = "is_deleted"
+#: Partition column of the closed part of a split history: the open version its rows were closed from.
+CLOSED_FROM = "_closed_from"
 
 
 def _keys(k) -> list[str]:
@@ -49,7 +52,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
       is older than the source ``updated_at``; the new version is stamped with it.
     * ``strategy='check'``: a key changed iff any ``check_cols`` value differs
       NULL-safely (a check column missing from the history marks every row
-      changed); the new version is stamped with ``now``.
+      changed); the new version is stamped with ``updated_at`` when given, else ``now``.
     * changed keys: the open row is closed (``valid_to`` = new stamp) and a new
       open row is inserted; new keys are inserted.
     * ``hard_deletes``: ``ignore`` | ``invalidate`` (close open rows whose key left
@@ -78,7 +81,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     now_c = _now(now)
     vt_cur = _valid_to_current(valid_to_current)
     src_cols = source.columns
-    stamp_src = F.col(updated_at).cast("timestamp") if strategy == "timestamp" else now_c
+    stamp_src = F.col(updated_at).cast("timestamp") if updated_at else now_c
 
     def fresh(df: DataFrame, stamp: Column) -> DataFrame:
         out = df.select(*src_cols, scd_hash(*keys, stamp).alias("scd_id"), stamp.alias("scd_updated_at"),
@@ -129,25 +132,38 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     changed = F.coalesce(changed, F.lit(False))
     is_live = (F.col(f"__c_{DELETED}") != F.lit("True")) if hard_deletes == "new_record" else F.lit(True)
     gone = only_c & (F.lit(hard_deletes != "ignore")) & F.coalesce(is_live, F.lit(True))
-    new_stamp = (F.col(f"__s_{updated_at}").cast("timestamp") if strategy == "timestamp" else now_c)
+    new_stamp = F.col(f"__s_{updated_at}").cast("timestamp") if updated_at else now_c
 
+    # the columns and types of the next history, as a union of both sides has them (analysis only)
+    shape = fresh(source.limit(0), stamp_src).unionByName(history.limit(0), allowMissingColumns=True)
+    order = src_cols + [x for x in hist_cols if x not in src_cols and x not in META + [DELETED]] + META
+    if DELETED in shape.columns:
+        order.append(DELETED)
+    kinds = {f.name: f.dataType for f in shape.schema.fields}
+
+    def row(given: dict) -> Column:
+        return F.struct(*[given.get(x, F.lit(None)).cast(kinds[x]).alias(x) for x in order])
+
+    def when(cond: Column, given: dict) -> Column:
+        return F.when(F.coalesce(cond, F.lit(False)), row(given))
+
+    old = {x: F.col(f"__c_{x}") for x in hist_cols}
     # 1) open history rows, possibly closed now
     close_at = F.when(both & changed, new_stamp).when(gone, now_c)
-    kept_open = j.filter(F.col("__c").isNotNull()).select(
-        *[(F.coalesce(close_at, F.col("__c_valid_to")) if x == "valid_to" else F.col(f"__c_{x}")).alias(x)
-          for x in hist_cols])
+    emit = [when(F.col("__c").isNotNull(), {**old, "valid_to": F.coalesce(close_at, F.col("__c_valid_to"))})]
     # 2) new versions: new keys, and changed keys
-    ins_src = j.filter(only_s | (both & changed)).select(*[F.col(f"__s_{x}").alias(x) for x in src_cols])
-    inserts = fresh(ins_src, stamp_src)
-    parts = [closed, kept_open, inserts, fresh(s_null, stamp_src)]
+    version = {x: F.col(f"__s_{x}") for x in src_cols} | {
+        "scd_id": scd_hash(*[F.col(f"__s_{k}") for k in keys], new_stamp), "scd_updated_at": new_stamp,
+        "valid_from": new_stamp, "valid_to": vt_cur}
+    if hard_deletes == "new_record":
+        version[DELETED] = F.lit("False")
+    emit.append(when(only_s | (both & changed), version))
     # 3) deletion records (new_record): an open row marking the key as deleted
     if hard_deletes == "new_record":
-        dele = j.filter(gone).select(
-            *[F.col(f"__c_{x}").alias(x) for x in hist_cols if x not in META + [DELETED]],
-            scd_hash(F.col("__c_scd_id"), now_c).alias("scd_id"),
-            now_c.alias("scd_updated_at"), now_c.alias("valid_from"),
-            F.col("__c_valid_to").alias("valid_to"), F.lit("True").alias(DELETED))
-        parts.append(dele)
+        emit.append(when(gone, {**old, "scd_id": scd_hash(F.col("__c_scd_id"), now_c), "scd_updated_at": now_c,
+                                "valid_from": now_c, DELETED: F.lit("True")}))
+    joined = j.select(F.explode(F.filter(F.array(*emit), lambda x: x.isNotNull())).alias("r")).select("r.*")
+    parts = [closed, joined, fresh(s_null, stamp_src)]
     # NULL-key open rows never match the source
     if hard_deletes != "ignore":
         parts.append(c_null.withColumn("valid_to", F.coalesce(
@@ -158,9 +174,6 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    order = src_cols + [x for x in hist_cols if x not in src_cols and x not in META + [DELETED]] + META
-    if DELETED in out.columns:
-        order.append(DELETED)
     return out.select(*order)
 
 
@@ -170,10 +183,11 @@ def snapshot_table(spark, name: str, source: DataFrame, unique_key, root: str |
 
     * ``layout="single"``: the next history replaces table ``name`` as a new
       version (the version being read is never overwritten).
-    * ``layout="split"``: closed versions live in ``{name}__closed`` (append-only),
-      open versions in ``{name}__open`` (rewritten each run) and ``name`` is a view
+    * ``layout="split"``: closed versions live in ``{name}__closed`` (one partition per
+      run), open versions in ``{name}__open`` (rewritten each run) and ``name`` is a view
       over both.  Closed rows never change, so a run reads and writes only the open
-      rows plus what it closes: O(current keys + changes), not O(history).
+      rows plus what it closes: O(current keys + changes), not O(history).  A run that
+      failed on the way can be repeated.
     The next history is frozen once before it is written, so ``now`` and every
     other input are evaluated a single time.
     """
@@ -195,13 +209,17 @@ def snapshot_table(spark, name: str, source: DataFrame, unique_key, root: str |
     is_open = F.col(valid_to).isNull()
     if opts.get("valid_to_current") is not None:
         is_open = is_open | (F.col(valid_to) == F.lit(opts["valid_to_current"]).cast("timestamp"))
-    closed_now = nxt.filter(~is_open)
+    # What a run closes is kept under the open version it was closed from.  If a run fails after
+    # that write, the next one starts from the same open version and replaces the same partition.
+    source_version = "initial" if history is None else TB.location(spark, open_t).rstrip("/").rsplit("/", 1)[-1]
+    closed_now = nxt.filter(~is_open).withColumn(CLOSED_FROM, F.lit(source_version))
     if TB.kind(spark, closed_t) != "table":
-        TB.write_version(closed_now, closed_t, root)
+        TB.write_version(closed_now, closed_t, root, partition_by=[CLOSED_FROM])
     elif set(closed_now.columns) == set(spark.table(closed_t).columns):
-        TB.append(closed_now, closed_t)
+        TB.overwrite_partitions(closed_now, closed_t, [CLOSED_FROM])
     else:  # the history gained columns: rewrite the closed part once with the new layout
-        TB.write_version(spark.table(closed_t).unionByName(closed_now, allowMissingColumns=True), closed_t, root)
+        before = spark.table(closed_t).filter(F.col(CLOSED_FROM) != source_version)
+        TB.write_version(before.unionByName(closed_now, allowMissingColumns=True), closed_t, root, partition_by=[CLOSED_FROM])
     TB.write_version(nxt.filter(is_open), open_t, root)
     cols = ", ".join(f"`{c}`" for c in spark.table(open_t).columns)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {cols} FROM {closed_t} UNION ALL SELECT {cols} FROM {open_t}")

@@ -2,9 +2,9 @@
 
 Plain Parquet tables take no DELETE, MERGE, DROP COLUMN or type change, so a
 table rewrite writes a *new version directory* and then repoints the catalog
-table at it (``ALTER TABLE ... SET LOCATION``); readers see the old version or
-the new one, never a half-written directory, and the path being read is never
-overwritten.  When only some partitions change, Spark's dynamic partition
+table at it (``ALTER TABLE ... SET LOCATION``, or a new definition of the external table if
+it is partitioned or its schema changes); readers see the old version or the new one, never a
+half-written directory, and the path being read is never overwritten.  When only some partitions change, Spark's dynamic partition
 overwrite rewrites just those partitions in place instead.
 """
 
@@ -91,12 +91,13 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     cols = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
     same_layout = existing and [(f.name, f.dataType) for f in spark.table(name).schema.fields] == \
         [(f.name, f.dataType) for f in cols.schema.fields] and partition_columns(spark, name) == list(partition_by)
-    if same_layout:
+    if same_layout and not partition_by:
         # readers see the old version or the new one, never a partial directory
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     else:
         if existing:
-            # a new schema or partition spec needs a new table definition (external: no data is deleted)
+            # a new schema needs a new table definition, and so do partitions: each has its own
+            # location in the catalog, which SET LOCATION leaves as it is (external: no data is deleted)
             spark.sql(f"DROP TABLE {name}")
         spark.sql(f"CREATE TABLE {name} ({_ddl(cols)}) USING parquet{part} LOCATION '{path}'")
     if partition_by:

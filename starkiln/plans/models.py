@@ -1,8 +1,7 @@
 """Staging and mart models as lazy DataFrame plans.
 
 ``stg_trips`` -> ``fct_trips`` is one narrow pipeline (projection + filters +
-two dimension lookups); the only data movement is the broadcast of the small,
-row-count-checked zone dimension.  Filters on the renamed columns are pushed by
+two dimension lookups); the only data movement is the broadcast of the small zone dimension.  Filters on the renamed columns are pushed by
 Catalyst through the aliases down to the Parquet scan.
 """
 
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import dayname, is_weekend, seconds_between
 from ..functions.scalar import float_to_int, iff, payment_method, rate_type, safe_divide, surrogate_key
 from ..operators.filters import latest_batch
-from ..operators.joins import bounded_broadcast
 from ..schemas import FCT_TRIPS_COLUMNS
 
 # Staging keeps pickups of calendar 2024 (half-open window).
@@ -80,15 +78,14 @@ def trip_key() -> F.Column:
                          "pickup_zone_id", ("total_amount", "amount"))
 
 
-def fct_trips(trips: DataFrame, zones: DataFrame, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def fct_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """The 30-column trip fact: trips left-joined to the zone dimension twice.
 
-    The dimension is broadcast only after its row count is proved to be at most
-    ``max_broadcast_rows``; otherwise both lookups become shuffle joins (AQE
-    splits skewed zones).  Unknown zones keep the fact row (LEFT joins).
+    Spark broadcasts the dimension while its size is below the threshold; otherwise both
+    lookups are shuffle joins (adaptive execution splits skewed zones).  Unknown zones keep
+    the fact row (LEFT joins).
     """
-    z, _ = bounded_broadcast(zones.select("zone_id", "borough", "zone_name"), max_broadcast_rows, cache=True,
-                             keep=True)
+    z = zones.select("zone_id", "borough", "zone_name")
     pu = z.select(F.col("zone_id").alias("__pu_id"), F.col("borough").alias("pickup_borough"),
                   F.col("zone_name").alias("pickup_zone"))
     do = z.select(F.col("zone_id").alias("__do_id"), F.col("borough").alias("dropoff_borough"),

@@ -259,7 +259,7 @@ from ..operators import quality as Q  # noqa: E402
 from ..operators import schema_change as SCH  # noqa: E402
 from ..operators import sinks as SK  # noqa: E402
 from ..operators import snapshot as SCD  # noqa: E402
-from ..schemas import ACCEPTED_BOROUGHS, FCT_TRIPS_COLUMNS  # noqa: E402
+from ..schemas import ACCEPTED_BOROUGHS, FCT_TRIPS_COLUMNS, FCT_TRIPS_CONTRACT  # noqa: E402
 from ..session import ensure_checkpoint_dir, scratch_path  # noqa: E402
 from ..sources import ingest as ING  # noqa: E402
 from ..sources import seeds as SEED  # noqa: E402
@@ -299,7 +299,7 @@ def src_01(spark, d):
 @register("src_02")
 def src_02(spark, d):
     ev = D.table(spark, d, "events").select("event_id")
-    return ING.with_lineage(ev, loaded_at=F.lit(REPORT_TIME).cast("timestamp"))
+    return ING.with_lineage(ev, loaded_at=F.lit(REPORT_TIME).cast("timestamp"), landing_root=d)
 
 
 @register("src_03")
@@ -308,7 +308,12 @@ def src_03(spark, d):
     cut = F.col("tpep_pickup_datetime") < F.lit("2024-01-16").cast("timestamp_ntz")
     old = land.filter(cut)
     new = land.filter(~cut).withColumnRenamed("Airport_fee", "airport_fee")
-    both = old.unionByName(new, allowMissingColumns=True)  # case-insensitive: the spellings fold
+    # both spellings side by side, by position: the operator has to fold them
+    names = [c for c in land.columns if c != "Airport_fee"]
+    fee, none = F.col("fee"), F.lit(None).cast("double")
+    both = old.withColumnRenamed("Airport_fee", "fee").select(*names, fee.alias("a"), none.alias("b")).unionByName(
+        new.withColumnRenamed("airport_fee", "fee").select(*names, none.alias("a"), fee.alias("b")))
+    both = both.toDF(*names, "Airport_fee", "airport_fee")
     return ING.ingest_trips(both).select("tpep_pickup_datetime", "tpep_dropoff_datetime", "VendorID", "Airport_fee")
 
 
@@ -705,8 +710,7 @@ def dq_10(spark, d):
 @register("dq_12")
 def dq_12(spark, d):
     f = fct(spark, d)
-    declared = [(x.name, x.dataType.simpleString()) for x in f.schema.fields]
-    return Q.assert_contract(f.select(*reversed(f.columns)), declared)
+    return Q.assert_contract(f.select(*reversed(f.columns)), FCT_TRIPS_CONTRACT)
 
 
 @register("dq_13")
@@ -792,7 +796,7 @@ def fn_24_28(spark, d):
     od = F.col("o_orderdate")
     return o.select(
         "o_orderkey",
-        DT.date_trunc("month", od).cast("timestamp_ntz").alias("order_month"),
+        DT.date_trunc("month", od).alias("order_month"),
         DT.dateadd("month", 1, od).alias("plus_month"),
         DT.dateadd("day", -3, od).alias("minus_3_days"),
         DT.datediff("year", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("years_to_2000"),
@@ -800,6 +804,12 @@ def fn_24_28(spark, d):
         DT.datediff("day", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("days_to_2000"),
         DT.datediff("quarter", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("quarters_to_2000"),
         DT.datediff("hour", od, F.lit("2000-01-01 12:30:00").cast("timestamp_ntz")).alias("hours_to_2000"),
+        DT.datediff("week", od, F.lit("2000-01-01").cast("timestamp_ntz")).alias("weeks_to_2000"),
+        DT.datediff("minute", od, F.lit("2000-01-01 12:30:30").cast("timestamp_ntz")).alias("minutes_to_2000"),
+        DT.datediff("second", od, F.lit("2000-01-01 12:30:30").cast("timestamp_ntz")).alias("seconds_to_2000"),
+        DT.datediff("microsecond", od, F.lit("9999-12-30 00:00:00.000001").cast("timestamp_ntz")).alias("micros_to_9999"),
+        DT.date_trunc("week", od).alias("order_week"),
+        DT.dateadd("week", 2, F.to_date(od)).alias("due_date"),
         DT.last_day(od, "month").alias("month_end"),
         DT.last_day(od, "quarter").alias("quarter_end"),
         DT.last_day(od, "year").alias("year_end"),
@@ -848,19 +858,32 @@ def gen_03(spark, d):
 
 
 # -- 2.13 streaming ---------------------------------------------------------------------
+def _write_parts(trips, landing: str):
+    """Several part files per source file; the returned call lands the late ones."""
+    part = F.pmod(F.xxhash64("tpep_pickup_datetime", "PULocationID"), F.lit(3))
+
+    def write(rows):
+        rows.repartition(2).write.mode("append").partitionBy("_source_file").parquet(landing)
+
+    write(trips.filter(part != 0))
+    return lambda: write(trips.filter(part == 0))
+
+
 @register("str_01")
 def str_01(spark, d):
     base = _scratch(spark, "stream")
     landing = f"{base}/landing"
-    D.landing_trips(spark, d).write.partitionBy("_source_file").parquet(landing)
+    late = _write_parts(D.landing_trips(spark, d), landing)
     schema = spark.read.parquet(landing).schema
     name = _tname("raw_trips_stream")
     from ..streaming import stream_ingest
 
-    for _ in range(2):  # the second run finds no new files: nothing changes
+    for step in range(3):  # several triggers; then late part files of known source files; then nothing new
+        if step == 1:
+            late()
         stream_ingest(spark, landing, name, f"{base}/checkpoint", schema, root=f"{base}/wh",
-                      source_file_col="_source_file")
-    return spark.table(name)
+                      source_file_col="_source_file", max_files_per_trigger=20)
+    return spark.table(name).drop("_source_path")
 
 
 @register("str_02")
@@ -995,12 +1018,122 @@ def scd_01_split(spark, d):
 
 @register("src_01_load")
 def src_01_load(spark, d):
-    """The load job over a landing folder of trip files: first load, a repeated load (skipped),
-    and a forced replace of every file (idempotent); the raw table is read back."""
+    """The load job over a landing folder with several part files per source file: first load, a
+    load after late part files of known source files, a repeated load (nothing new), and a
+    forced replace of every file (idempotent); the raw table is read back."""
     base = _scratch(spark, "load")
-    D.landing_trips(spark, d).drop("_loaded_at").write.partitionBy("_source_file").parquet(f"{base}/landing")
+    late = _write_parts(D.landing_trips(spark, d).drop("_loaded_at"), f"{base}/landing")
     name = _tname("raw_trips_loaded")
-    args = dict(root=f"{base}/wh", source_file_col="_source_file")
-    for force in (False, False, True):
-        ING.load_files(spark, f"{base}/landing", name, force=force, replace=True, **args)
-    return spark.table(name).drop("_loaded_at")
+    args = dict(root=f"{base}/wh", source_file_col="_source_file", replace=True)
+    for step in range(4):
+        if step == 1:
+            late()
+        ING.load_files(spark, f"{base}/landing", name, force=step == 3, **args)
+    return spark.table(name).drop("_loaded_at", "_source_path")
+
+
+# -- fixtures on which a broken operator fails -------------------------------------------
+def _lines(spark, d):
+    """Order lines under the key of a line; the key repeats in this data."""
+    return D.table(spark, d, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trip_key"), "l_quantity")
+
+
+@register("dq_02_duplicates")
+def dq_02_duplicates(spark, d):
+    return Q.unique(_lines(spark, d), "trip_key")
+
+
+@register("dq_07_custom_duplicates")
+def dq_07_custom_duplicates(spark, d):
+    return Q.verdict(Q.unique(_lines(spark, d), "trip_key"), fail_calc="coalesce(sum(n_records), 0)",
+                     warn_if="> 10", error_if="> 100000000")
+
+
+@register("agg_11_duplicates")
+def agg_11_duplicates(spark, d):
+    return AN.key_collision_rate(_lines(spark, d))
+
+
+@register("scd_03_updated_at")
+def scd_03_updated_at(spark, d):
+    """Check strategy with an ``updated_at`` column: versions carry the source's stamp."""
+    return _two_runs(spark, d, strategy="check", updated_at="updated_at", check_cols=["c_acctbal", "c_name"])
+
+
+@register("scd_03_all")
+def scd_03_all(spark, d):
+    h1 = SCD.snapshot(customer_v1(spark, d).drop("updated_at"), None, "c_custkey", "check", now=SNAPSHOT_T1)
+    return SCD.snapshot(customer_v2(spark, d).drop("updated_at"), h1, "c_custkey", "check", check_cols="all",
+                        now=SNAPSHOT_T2)
+
+
+@register("src_08_load")
+def src_08_load(spark, d):
+    """The backfill: month files written to a landing folder, the chosen months read back."""
+    base = _scratch(spark, "months")
+    land = D.landing_trips(spark, d).drop("_source_file", "_loaded_at")
+    b = land.agg(F.date_format(F.min("tpep_pickup_datetime"), "yyyy-MM").alias("lo"),
+                 F.date_format(F.max("tpep_pickup_datetime"), "yyyy-MM").alias("hi")).first()
+    months = ING.target_months(f"{b['lo']},{b['hi']}")
+    for m in months:
+        land.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM") == m).write.parquet(f"{base}/trips_{m}.parquet")
+    got = ING.load_months(spark, base, months)
+    return got.groupBy(F.split("_source_file", "/")[0].alias("file")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("VendorID").alias("vendor_sum"), F.max("tpep_pickup_datetime").alias("last_pickup"))
+
+
+@register("inc_03_exclude_columns")
+def inc_03_exclude_columns(spark, d):
+    return INC.apply_merge(D.table(spark, d, "orders"), _orders_delta(spark, d), "o_orderkey",
+                           exclude_columns=["o_orderpriority"])
+
+
+@register("inc_06_default")
+def inc_06_default(spark, d):
+    """The default strategy of a stored table, dispatched by the materialization."""
+    name = _tname("orders_default")
+    INC.incremental(spark, name, D.table(spark, d, "orders"), root=_scratch(spark, "wh"))
+    INC.incremental(spark, name, _orders_delta(spark, d), INC.default_strategy(), "o_orderkey")
+    return spark.table(name)
+
+
+def _schema_change_stored(spark, d, mode):
+    name = _tname("fct_evolved")
+    INC.incremental(spark, name, fct_target(spark, d), root=_scratch(spark, "wh"))
+    INC.incremental(spark, name, _changed_delta(spark, d), "append", on_schema_change=mode)
+    return spark.table(name)
+
+
+@register("inc_08_append_new_columns_stored")
+def inc_08_append_new_columns_stored(spark, d):
+    return _schema_change_stored(spark, d, "append_new_columns")
+
+
+@register("inc_08_sync_all_columns_stored")
+def inc_08_sync_all_columns_stored(spark, d):
+    return _schema_change_stored(spark, d, "sync_all_columns")
+
+
+@register("str_02_incremental")
+def str_02_incremental(spark, d):
+    from ..streaming import refresh
+
+    name = _tname("fct_refreshed")
+    refresh(spark, name, lambda s: fct_target(s, d), mode="full", root=_scratch(spark, "wh"))
+    refresh(spark, name, lambda s: fct_delta(s, d), mode="incremental", strategy="append")
+    return spark.table(name)
+
+
+@register("str_02_stream")
+def str_02_stream(spark, d):
+    """A table refreshed by a stream: new rows of a growing folder are merged by key."""
+    from ..streaming import refresh_stream
+
+    base, name = _scratch(spark, "lag"), _tname("orders_refreshed")
+    o = D.table(spark, d, "orders")
+    for part in (o, o.filter(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)):
+        part.write.mode("append").parquet(f"{base}/landing")
+        refresh_stream(spark.readStream.schema(o.schema).parquet(f"{base}/landing"), name, f"{base}/checkpoint",
+                       unique_key="o_orderkey", available_now=True)
+    return spark.table(name)

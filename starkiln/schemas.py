@@ -63,3 +63,37 @@ FCT_TRIPS_COLUMNS = [
 
 # Boroughs accepted by the dimension's declared test.
 ACCEPTED_BOROUGHS = ["Manhattan", "Brooklyn", "Queens", "Bronx", "EWR", "Staten Island", "Unknown", "N/A"]
+
+# The declared types of the trip fact, in its column order.
+FCT_TRIPS_CONTRACT = [
+    ("trip_key", "string"),
+    ("pickup_at", "timestamp_ntz"),
+    ("dropoff_at", "timestamp_ntz"),
+    ("pickup_date", "date"),
+    ("pickup_hour", "int"),
+    ("pickup_day_name", "string"),
+    ("is_weekend", "boolean"),
+    ("pickup_zone_id", "bigint"),
+    ("pickup_borough", "string"),
+    ("pickup_zone", "string"),
+    ("dropoff_zone_id", "bigint"),
+    ("dropoff_borough", "string"),
+    ("dropoff_zone", "string"),
+    ("is_intra_borough", "boolean"),
+    ("passenger_count", "int"),
+    ("trip_distance_miles", "double"),
+    ("trip_duration_seconds", "bigint"),
+    ("trip_duration_minutes", "double"),
+    ("avg_speed_mph", "double"),
+    ("fare_amount", "double"),
+    ("tip_amount", "double"),
+    ("tolls_amount", "double"),
+    ("congestion_surcharge", "double"),
+    ("airport_fee", "double"),
+    ("total_amount", "double"),
+    ("tip_pct_of_fare", "double"),
+    ("payment_method", "string"),
+    ("rate_type", "string"),
+    ("_source_file", "string"),
+    ("_loaded_at", "timestamp"),
+]

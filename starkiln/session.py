@@ -29,9 +29,8 @@ SCALE_CONF = {
     # larger post-shuffle partitions: rebalanced partitioned writes produce ~100 MB Parquet files
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
-    # no broadcast from planner size *estimates*; explicit broadcasts come from bounded_broadcast
-    # (a row-count proof) and AQE may still broadcast a side whose *measured* shuffle output is small
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # a side is broadcast when its files are this small, or when its *measured* shuffle output is
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -82,9 +81,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; create a private one only when unset (tests)."""
+    """Use the session's checkpoint dir; only a local session (tests) gets a private one when
+    it is unset, a cluster must name a shared folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d and not spark.sparkContext.getCheckpointDir():
+    if not d and not spark.sparkContext.getCheckpointDir() and spark.sparkContext.master.split("[")[0] == "local":
         d = tempfile.mkdtemp(prefix="starkiln-ckpt-")
     if d and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

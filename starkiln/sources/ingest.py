@@ -1,14 +1,17 @@
 """Trip-file ingest into the raw table (explicit projection + lineage).
 
-The raw table is an append-only Parquet table partitioned by ``_source_file``,
-so everything downstream that works per batch (reload checks, delete+insert,
-latest-batch filtering) prunes partitions instead of scanning the table.
+The raw table is a Parquet table partitioned by ``_source_file`` (what a row belongs to) and
+``_source_path`` (the physical file it came from, relative to the landing folder).  Two part
+files of one source file, or two files of one base name in different folders, are different
+paths: each is loaded once, and a repeated load replaces only what the same file wrote.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 from collections.abc import Iterable, Sequence
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,10 +42,26 @@ def coalesce_spellings(df: DataFrame, spellings: Sequence[str], out: str) -> Dat
     return d.select(*[d[c] for c in tmp if not c.startswith("__spelling")], folded.alias(out))
 
 
+def landing_path(landing_root: str) -> Column:
+    """Path of the scanned file below ``landing_root`` (the whole path if it lies elsewhere)."""
+    root = urlparse(landing_root).path.rstrip("/") + "/"
+    path = F.col("_metadata.file_path")
+    at = F.instr(path, root)
+    return F.when(at > 0, F.substr(path, at + F.lit(len(root)))).otherwise(path)
+
+
+def below_root(path: str, landing_root: str) -> str:
+    """``landing_path`` of a file name that is already on the driver."""
+    root = urlparse(landing_root).path.rstrip("/") + "/"
+    return path.split(root, 1)[1] if root in path else path
+
+
 def with_lineage(df: DataFrame, source_file: Column | str | None = None,
-                 loaded_at: Column | str | None = None) -> DataFrame:
-    """Add ``_source_file`` (default: the scanned file's name) and ``_loaded_at`` (default: now)."""
-    sf = F.col("_metadata.file_name") if source_file is None else (
+                 loaded_at: Column | str | None = None, landing_root: str | None = None) -> DataFrame:
+    """Add ``_source_file`` (default: the scanned file's path below ``landing_root``, or its whole
+    path) and ``_loaded_at`` (default: now)."""
+    default = landing_path(landing_root) if landing_root else F.col("_metadata.file_path")
+    sf = default if source_file is None else (
         F.col(source_file) if isinstance(source_file, str) else source_file)
     la = F.current_timestamp() if loaded_at is None else (
         F.col(loaded_at) if isinstance(loaded_at, str) else loaded_at)
@@ -57,7 +76,8 @@ def _as_raw_type(c: Column, name: str, field: T.StructField, src_type: T.DataTyp
 
 
 def ingest_trips(landing: DataFrame, raw_schema: T.StructType = RAW_TRIPS,
-                 source_file: Column | str | None = None, loaded_at: Column | str | None = None) -> DataFrame:
+                 source_file: Column | str | None = None, loaded_at: Column | str | None = None,
+                 source_path: Column | str | None = None) -> DataFrame:
     """Project a landing frame onto the fixed raw schema, explicitly and by name.
 
     * columns are mapped by an explicit list, not by position;
@@ -82,15 +102,26 @@ def ingest_trips(landing: DataFrame, raw_schema: T.StructType = RAW_TRIPS,
             return F.col(given) if isinstance(given, str) else given
         return df[name] if name in src_types else default
 
-    sf = pick(source_file, "_source_file", F.col("_metadata.file_name"))
+    sf = pick(source_file, "_source_file", F.col("_metadata.file_path"))
     la = pick(loaded_at, "_loaded_at", F.current_timestamp())
-    return df.select(*cols, sf.cast("string").alias("_source_file"), la.cast("timestamp").alias("_loaded_at"))
+    lineage = [sf.cast("string").alias("_source_file"), la.cast("timestamp").alias("_loaded_at")]
+    if source_path is not None:
+        lineage.append(pick(source_path, "_source_path", None).cast("string").alias("_source_path"))
+    return df.select(*cols, *lineage)
 
 
-def read_landing(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Scan landing Parquet files with their own (file) schema plus hidden file metadata."""
+def read_landing(spark: SparkSession, paths: str | Sequence[str], landing_root: str | None = None) -> DataFrame:
+    """Scan landing Parquet files with their own (file) schema plus the path they came from."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.parquet(*paths).select("*", F.col("_metadata.file_name").alias("_source_file"))
+    return with_lineage(spark.read.parquet(*paths), landing_root=landing_root or _root_of(paths)).drop("_loaded_at")
+
+
+def _root_of(paths: Sequence[str]) -> str:
+    """The landing folder: the path itself if there is one (and it is not a file), else the
+    deepest folder above all of them."""
+    if len(paths) == 1:
+        return posixpath.dirname(paths[0]) if paths[0].endswith(".parquet") else paths[0]
+    return posixpath.commonpath([urlparse(x).path for x in paths])
 
 
 def rows_loaded(raw: DataFrame, fname: str) -> DataFrame:
@@ -115,9 +146,7 @@ def load_if_absent(raw: DataFrame, landing: DataFrame, force: bool = False) -> D
     """Rows of ``landing`` whose ``_source_file`` is not in ``raw`` yet (all rows when forced)."""
     if force:
         return landing
-    have = raw.select("_source_file").distinct()
-    # The file list is tiny (one row per monthly file) and grows by 12 per year.
-    return landing.join(F.broadcast(have), "_source_file", "left_anti")
+    return landing.join(raw.select("_source_file").distinct(), "_source_file", "left_anti")
 
 
 def target_months(override: str | None = None, today: dt.date | None = None, lag: int = 2,
@@ -149,40 +178,54 @@ def load_months(spark: SparkSession, landing_dir: str, months: Iterable[str],
                 pattern: str = "trips_{month}.parquet", loaded_at: Column | None = None) -> DataFrame:
     """Backfill: the chosen month files scanned by one Spark job and projected into the raw schema."""
     paths = [f"{landing_dir.rstrip('/')}/{f}" for f in month_files(months, pattern)]
-    return ingest_trips(spark.read.parquet(*paths), loaded_at=loaded_at)
+    land = spark.read.parquet(*paths)
+    if "_source_file" in land.columns:
+        return ingest_trips(land, loaded_at=loaded_at)
+    return ingest_trips(land, source_file=landing_path(landing_dir), loaded_at=loaded_at)
 
 
 def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root: str | None = None,
                force: bool = False, replace: bool = False, source_file_col: str | None = None,
-               schema: T.StructType | None = None) -> DataFrame:
-    """The load job: landing files -> raw table (partitioned by ``_source_file``), with lineage.
-
-    * files already in the table are skipped unless ``force`` (the skip is a
-      broadcast anti join against the table's file list, one row per file);
-    * ``replace=False`` appends (a forced reload adds a later batch, resolved
-      downstream by the latest-batch rule); ``replace=True`` overwrites the
-      reloaded files' partitions, so repeating a load changes nothing;
+               schema: T.StructType | None = None, landing_root: str | None = None) -> DataFrame:
+    """The load job: landing files -> raw table (partitioned by ``_source_file, _source_path``).
+
+    * new files are resolved first, by their path below the landing folder against the
+      table's partition values, and only those are read; ``force`` reads all of them;
+    * ``_source_file`` is ``source_file_col`` (e.g. a partition column of the landing layout)
+      or else the path itself;
+    * ``replace=False`` with ``force`` adds a later batch (resolved downstream by the
+      latest-batch rule); otherwise each file's own partition is written, so repeating a load
+      after a failure changes nothing and no file touches what another one wrote;
     * any malformed value aborts the whole load (strict casts);
-    * returns the rows loaded per file (from the written table).
+    * returns the rows loaded per source file by this call, counted from the written table.
     """
     from ..operators import tables as TB
 
     paths = [paths] if isinstance(paths, str) else list(paths)
+    landing_root = landing_root or _root_of(paths)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    land = reader.parquet(*paths)
-    sf = F.col(source_file_col) if source_file_col else F.col("_metadata.file_name")
-    raw = ingest_trips(land, source_file=sf)
+    whole = reader.parquet(*paths)
     exists = TB.kind(spark, table) == "table"
-    if exists and not force:
-        raw = load_if_absent(spark.table(table), raw)
-    raw = raw.cache()  # one load time for every row, and the per-file report reads the same rows
-    report = raw.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows_loaded"))
-    report = spark.createDataFrame(report.collect(), report.schema)  # one row per file
-    if not exists:
-        TB.write_version(raw, table, root, partition_by=["_source_file"])
-    elif replace:
-        TB.overwrite_partitions(raw, table, ["_source_file"])
-    else:
-        TB.append(raw, table)
-    raw.unpersist()
-    return report
+    # the file list of the landing folder and the table's partition values: names, on the driver anyway
+    files = {below_root(f, landing_root): f for f in whole.inputFiles()}
+    known = {r[0] for r in spark.table(table).select("_source_path").distinct().collect()} if exists and not force else set()
+    new = sorted(set(files) - known)
+    names = spark.createDataFrame([(n,) for n in new], "_source_path string")
+    if new:
+        land = whole
+        if known & set(files):  # partition columns of the landing layout come from the folders above a file
+            some = spark.read.schema(whole.schema).option("basePath", landing_root)
+            land = some.parquet(*[files[n] for n in new])
+        path = landing_path(landing_root)
+        raw = ingest_trips(land, source_file=F.col(source_file_col) if source_file_col else path, source_path=path)
+        parts = ["_source_file", "_source_path"]
+        if not exists:
+            TB.write_version(raw, table, root, partition_by=parts)
+        elif force and not replace:
+            TB.append(raw, table)
+        else:
+            TB.overwrite_partitions(raw, table, parts)
+    elif not exists:
+        raise ValueError(f"no landing files below {paths}")
+    return spark.table(table).join(names, "_source_path", "left_semi").groupBy("_source_file").agg(
+        F.count(F.lit(1)).alias("rows_loaded"))

@@ -1,9 +1,9 @@
 """Exactly-once ingest of a landing folder of trip files.
 
 The file source records every file it has handed out in the checkpoint, so a
-file is processed once; each micro-batch is then written with delete+insert on
-``_source_file`` (dynamic partition overwrite), so a batch replayed after a
-failure rewrites the same partitions instead of duplicating rows.
+file is processed once; each micro-batch then overwrites the partitions of its own files
+(``_source_file, _source_path``), so a batch replayed after a failure rewrites what the same
+files wrote, and later part files of a known source file add to it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators import tables as TB
 from ..schemas import RAW_TRIPS
-from ..sources.ingest import ingest_trips
+from ..sources.ingest import ingest_trips, landing_path
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
@@ -25,21 +25,23 @@ def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint:
 
     ``checkpoint`` must be a durable shared path; it is the exactly-once ledger.
     ``source_file_col`` names a column (e.g. a partition column of the landing
-    layout) to use as ``_source_file`` instead of the scanned file's name.
+    layout) to use as ``_source_file`` instead of the file's path below ``landing_dir``.
     Returns the ``StreamingQuery``.
     """
     reader = spark.readStream.schema(landing_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    file_col = F.col(source_file_col) if source_file_col else F.col("_metadata.file_name")
-    stream = reader.parquet(landing_dir).select("*", file_col.alias("__file"))
+    path = landing_path(landing_dir)
+    file_col = F.col(source_file_col) if source_file_col else path
+    stream = reader.parquet(landing_dir).select("*", file_col.alias("__file"), path.alias("__path"))
+    parts = ["_source_file", "_source_path"]
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        raw = ingest_trips(batch, raw_schema, source_file="__file")
+        raw = ingest_trips(batch, raw_schema, source_file="__file", source_path="__path")
         if TB.kind(batch.sparkSession, table) is None:
-            TB.write_version(raw, table, root, partition_by=["_source_file"])
+            TB.write_version(raw, table, root, partition_by=parts)
         else:
-            TB.overwrite_partitions(raw, table)
+            TB.overwrite_partitions(raw, table, parts)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
