@@ -97,7 +97,6 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray], back: int, step: int):
         self.p, self.back, self.step = p, back, step
         dim = p["E"].shape[1]
-        self.now, self.last = np.hstack([p["U"], p["A"]]), np.hstack([p["P"], p["B"]])
         split = lambda w: [np.ascontiguousarray(x) for x in np.split(w, HEADS, axis=1)]
         self.q = split((p["E"] @ p["Q"]) / np.float32((dim // HEADS) ** 0.5))
         self.k = split(p["E"] @ p["K"])
@@ -108,14 +107,11 @@ class Scorer:
 
     def hidden(self, ids: np.ndarray, absent: np.ndarray) -> np.ndarray:
         """ids: windows of back + step tokens; absent: positions that aren't there."""
-        now, last = ids[:, self.back:], ids[:, self.back - 1:-1]
-        u, dim = np.take(self.now, now, axis=0), self.p["O"].shape[0] // HEADS
-        before = np.take(self.last, last, axis=0)
-        size = self.p["U"].shape[1]
-        h = u[:, :, size:]
-        h *= before[:, :, size:]
-        h += u[:, :, :size]
-        h += before[:, :, :size]
+        now, last, dim = ids[:, self.back:], ids[:, self.back - 1:-1], self.p["O"].shape[0] // HEADS
+        h = np.take(self.p["A"], now, axis=0)
+        h *= np.take(self.p["B"], last, axis=0)
+        h += np.take(self.p["U"], now, axis=0)
+        h += np.take(self.p["P"], last, axis=0)
         some = absent.any()
         here = (~absent).astype(np.float32)[:, None, :] if some else None
         for x in range(HEADS):  # every batch is one block of small products; weights are divided by their sum at the end
@@ -135,7 +131,7 @@ class Scorer:
         group, member = target // self.width, target % self.width
         z = h @ p["G"]
         z += p["g"]
-        out = z[np.arange(n), group] - _log_sum(z)
+        out = _log_prob(z, group)
         order = np.argsort(group.astype(np.int16), kind="stable")
         ends = np.cumsum(np.bincount(group, minlength=len(p["g"])))
         hs, ms, inner = np.take(h, order, axis=0), member[order], np.empty(n, np.float32)
@@ -143,17 +139,19 @@ class Scorer:
             if a < b:
                 z = hs[a:b] @ p["T"][g]
                 z += p["t"][g]
-                inner[a:b] = z[np.arange(b - a), ms[a:b]] - _log_sum(z)
+                inner[a:b] = _log_prob(z, ms[a:b])
         out[order] += inner
         return out
 
 
-def _log_sum(z: np.ndarray) -> np.ndarray:
-    total = np.exp(z) @ np.ones(z.shape[1], z.dtype)
-    if total.size and not (total.max() < np.inf and total.min() > 1e-30):
-        m = z.max(axis=1)
-        return m + np.log(np.exp(z - m[:, None]).sum(axis=1))
-    return np.log(total)
+def _log_prob(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one place; ``z`` is used up."""
+    if z.size and z.max() > _TOP:
+        z -= z.max(axis=1, keepdims=True)
+    out = z[np.arange(len(z)), at]
+    np.exp(z, out=z)
+    out -= np.log(z @ np.ones(z.shape[1], z.dtype))
+    return out
 
 
 def window_list(lengths: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:

@@ -29,10 +29,10 @@ from .common import stored
 
 #: Tokens with a place of their own in the model (the last place stands for all others), and groups.
 SIZE, GROUPS = 1024, 32
-DIM, BACK, STEP = 32, 8, 24
+DIM, BACK, STEP = 32, 8, 16
 #: Words of a training segment; segments of the first training on the driver (documented bound);
 #: segments of a task in the second.
-SEGMENT_WORDS, FIRST_SEGMENTS, TASK_SEGMENTS = 24, 16_384, 32_768
+SEGMENT_WORDS, FIRST_SEGMENTS, TASK_SEGMENTS = 16, 24_576, 32_768
 FIRST_STEPS = 600
 END = 50256
 #: Positions scored at once.
@@ -228,7 +228,7 @@ def train_model(segments: DataFrame, counts: np.ndarray, path: str) -> tuple[Voc
     lm.train(params, ids, lengths, BACK, STEP, FIRST_STEPS, rate=0.02)
     tasks = -(-segments.count() // TASK_SEGMENTS)
     if tasks:
-        dealt = segments.repartition(tasks, F.pmod(F.xxhash64("word"), F.lit(tasks)))
+        dealt = segments.repartition(tasks, "word", "lid")
         parts = dealt.mapInArrow(_task_training(vocab, params, path), "block int, sums binary, weight long")
         mean = parts.groupBy("block").applyInArrow(_add_blocks, "block int, mean binary").toArrow().sort_by("block")
         flat = np.frombuffer(b"".join(mean.column("mean").to_pylist()), np.float32)
