@@ -2,12 +2,12 @@
 
 The documents of a task stand one after the other as a stream of tokens, taken in blocks of
 whole documents.  Cuts are allowed at document ends, at sentence ends (at a penalty, as they
-truncate a document) and, inside a sentence too long to offer another way, every ``GRID``
-tokens (at a higher penalty).  With x the position and f the least cost up to a cut,
+truncate a document) and, inside a long sentence, every ``GRID`` tokens (at a higher penalty).  With x the position and f the least cost up to a cut,
 
     f(j) = penalty(j) + min over i, 0 < x(j) - x(i) <= window, of f(i) + pad(x(j) - x(i)),
 
-where pad(n) is 0 if n is a power of two and window - n otherwise.  The second kind is
+where pad(n) is 0 if n is a power of two and window - n otherwise, plus a constant for each
+sequence.  The second kind is
 window - x(j) + min(f(i) + x(i)) over a sliding window: a monotone queue gives it in constant
 time; for the first kind there are at most log2(window) + 1 positions to look at.
 
@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 
 WINDOW = 1024
 #: Cost, in tokens of padding, of cutting a document at a sentence end or inside a sentence.
-SENTENCE_PENALTY, INNER_PENALTY = 2.0, 16.0
-#: Distance of the cuts offered inside a long sentence.
-GRID = 64
+SENTENCE_PENALTY, INNER_PENALTY = 2.0, 4.0
+#: Cost, in tokens of padding, of one more sequence: keeps short ones (which need no padding
+#: at a power of two) for where they save more than that.
+SEQUENCE_COST = 256.0
+#: Sentences of more than ``LONG`` tokens also offer cuts every ``GRID`` tokens.
+LONG, GRID = 48, 16
 #: Tokens gathered before a block is packed (more if a document is longer).
 BLOCK_TOKENS = 1 << 18
 END_ID = 0
@@ -42,8 +45,8 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int, gri
     """Sorted cut positions and their penalties; no gap is wider than the window."""
     x = np.union1d(np.concatenate([[0], doc_ends]), sentence_ends)
     gaps = np.diff(x)
-    wide = np.flatnonzero(gaps > window // 4)
-    extra = [np.arange(x[k] + grid, x[k + 1], grid) for k in wide]
+    wide = np.flatnonzero(gaps > min(LONG, window))
+    extra = [np.arange(x[k] + min(grid, window), x[k + 1], min(grid, window)) for k in wide]
     inner = np.concatenate(extra) if extra else np.zeros(0, np.int64)
     x = np.union1d(x, inner)
     penalty = np.where(np.isin(x, inner), INNER_PENALTY, SENTENCE_PENALTY)
@@ -79,10 +82,10 @@ def cuts(x: np.ndarray, penalty: np.ndarray, window: int = WINDOW) -> np.ndarray
         while xs[queue[head]] < low:
             head += 1
         best = queue[head]
-        least = key[best] + window
+        least = key[best] + window + SEQUENCE_COST
         if also:
             for i in also:
-                if (cost := key[i] - xs[i] + at) < least:
+                if (cost := key[i] - xs[i] + at + SEQUENCE_COST) < least:
                     best, least = i, cost
         prev[j] = best
         key[j] = least = least + extra

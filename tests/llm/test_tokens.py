@@ -140,7 +140,7 @@ def brute_cuts(x, penalty, window):
             n = int(x[j] - x[i])
             if n <= window:
                 free = n & (n - 1) == 0 and (n >= window // 8 or j == len(x) - 1)
-                best = min(best, cost[i] + (0 if free else window - n))
+                best = min(best, cost[i] + packing.SEQUENCE_COST + (0 if free else window - n))
         cost.append(best + penalty[j])
     return cost[-1]
 
@@ -157,5 +157,5 @@ def test_cuts_are_the_best(steps):
     cost = sum(penalty[at[int(v)]] for v in c[1:])
     for k, n in enumerate(lengths.tolist()):
         free = n & (n - 1) == 0 and (n >= 4 or k == len(lengths) - 1)
-        cost += 0 if free else 32 - n
+        cost += packing.SEQUENCE_COST + (0 if free else 32 - n)
     assert math.isclose(cost, brute_cuts(x, penalty, 32))
