@@ -16,7 +16,7 @@ import re
 import numpy as np
 
 #: Units a worker process remembers; the table is emptied when it is full.
-REMEMBER = 1_000_000
+REMEMBER = 400_000
 #: White space beside a space.
 BESIDE = re.compile(r" \s|\s ")
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -10,7 +10,7 @@ One level is one job.  A task first names its own symbols locally (each distinct
 chunk of documents once), so that copies never travel: a block that a third of all documents
 share crosses the shuffle once per chunk.  Only these local dictionaries are dealt by symbol
 and sorted; what returns to the documents are integers, grouped by chunk, and a chunk is
-bounded by the size of an Arrow batch.
+bounded to 8 MB of text (or one longer document).
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from .common import spread_join, stored
 
 #: Bytes of a block.
 BLOCK = 4096
+#: Bytes of text named together before anything is shuffled.
+CHUNK = 8 << 20
 #: A run of white space that is not already one space.
 RUNS = re.compile(rb"[\t-\r][ \t-\r]*| [ \t-\r]+")
 
@@ -62,17 +64,19 @@ def _local(chunk: int, level: int, docs) -> pa.RecordBatch:
 
 def _cut(block: int):
     def cut(batches):
-        part, pos = TaskContext.get().partitionId(), 0
-        for k, b in enumerate(batches):
-            if not b.num_rows:
-                continue
-            chunk, docs = (part << 32) | k, []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                t = normalise(text or b"")
-                docs.append((pos, doc, hashlib.sha256(t).hexdigest(),
-                             [t[i:i + block] for i in range(0, max(len(t), 1), block)]))
-                pos += 1
-            yield _local(chunk, 0, docs)
+        part, pos, k = TaskContext.get().partitionId(), 0, 0
+        docs, size = [], 0
+        for b in batches:
+            for i in range(b.num_rows):
+                t = normalise(b.column(1)[i].as_py() or b"")
+                docs.append((pos, b.column(0)[i].as_py(), hashlib.sha256(t).hexdigest(),
+                             [t[j:j + block] for j in range(0, max(len(t), 1), block)]))
+                pos, size = pos + 1, size + len(t) + 100
+                if size >= CHUNK:
+                    yield _local((part << 32) | k, 0, docs)
+                    docs, size, k = [], 0, k + 1
+        if docs:
+            yield _local((part << 32) | k, 0, docs)
     return cut
 
 
