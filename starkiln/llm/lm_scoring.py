@@ -104,6 +104,7 @@ def _totals(path: str):
             first = np.flatnonzero(np.array([True, *(a != b for a, b in zip(words, words[1:]))]))
             size = np.diff(np.append(first, len(words)))
             ids = enc.unit_ids([words[i] for i in first.tolist()])
+            enc.units.clear()  # words come sorted: none comes again
             head = np.zeros(len(words), bool)
             head[first] = True
             return pa.RecordBatch.from_arrays(
