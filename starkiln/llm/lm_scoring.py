@@ -5,11 +5,11 @@
 2. The dictionaries are dealt by word and sorted: every word gets its corpus count and its
    subword ids once, however many chunks hold it.  A word that is in every document has one
    row per chunk, so no word is hot.
-3. A causal self-attention model over the subword ids learns from segments of all training
-   documents: first on the driver from a bounded sample, then in many tasks at once, each on
-   its own segments, whose parameters are averaged.
-4. Counts and subword ids go back to the chunks, where documents are scored: overlapping
-   windows, every position once.
+3. Counts and subword ids go back to the chunks, where every document becomes its ids.
+4. A causal self-attention model over the subword ids starts on the driver from a bounded
+   sample of segments, then learns every position of every training document, at any input
+   size: many tasks at once, each on the documents it reads, whose parameters are averaged.
+5. Documents are scored: overlapping windows, every position once.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ from .common import stored
 #: Tokens with a place of their own in the model (the last place stands for all others), and groups.
 SIZE, GROUPS = 1024, 32
 DIM, BACK, STEP = 32, 8, 16
-#: Words of a training segment; segments of the first training on the driver (documented bound);
-#: segments of a task in the second.
-SEGMENT_WORDS, FIRST_SEGMENTS, TASK_SEGMENTS = 16, 24_576, 32_768
+#: Positions of a segment; segments that the driver starts from (documented bound); segments a
+#: task holds at once while it learns all of its documents.
+SEGMENT, FIRST_SEGMENTS, TASK_SEGMENTS = 32, 24_576, 32_768
 FIRST_STEPS = 600
 END = 50256
 #: Positions scored at once.
 AT_ONCE = 100_000
-WORD, DOC, SEGMENT = 0, 1, 2
+WORD, DOC = 0, 1
 _SHAPE = "kind tinyint, chunk long, lid int, word binary, n long, pos int, doc_id long, held_out boolean, lids binary"
 _ARROW = pa.schema([("kind", pa.int8()), ("chunk", pa.int64()), ("lid", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
                     ("pos", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lids", pa.binary())])
@@ -58,38 +58,25 @@ def _rows(kind: int, chunk: int, rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([values[f.name] for f in _ARROW], schema=_ARROW)
 
 
-def _chunks(segments: int):
-    """Words by chunk, documents as word numbers, and ``segments`` segments of each training document."""
-
-    def run(batches):
-        part = TaskContext.get().partitionId() << 32
-        for k, b in enumerate(batches):
-            if not b.num_rows:
-                continue
-            docs, lid = b.column(0).to_pylist(), {}
-            held = [is_held_out(d) for d in docs]
-            lists, seg, flag, learn = [], [], [], []
-            for d, h, text in zip(docs, held, b.column(1).to_pylist()):
-                words = (text or b"").lower().split()
-                ids = np.array([lid.setdefault(w, len(lid)) for w in words], np.int32)
-                lists.append(ids.tobytes())
-                if not h:
-                    learn.append(ids)
-                    seen = set()
-                    for s in range(segments):
-                        at = xxhash.xxh64_intdigest(f"{d}/{s}") % max(1, len(words) - SEGMENT_WORDS // 2)
-                        if at not in seen:
-                            seen.add(at)
-                            seg.append(b" ".join(words[at:at + SEGMENT_WORDS]))
-                            flag.append((at == 0) + 2 * (at + SEGMENT_WORDS >= len(words)))
-            n = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32), minlength=len(lid))
-            chunk = part | k
-            if lid:
-                yield _rows(WORD, chunk, len(lid), lid=np.arange(len(lid), dtype=np.int32), word=list(lid), n=n)
-            yield _rows(DOC, chunk, len(docs), pos=np.arange(len(docs), dtype=np.int32), doc_id=docs, held_out=held, lids=lists)
-            if seg:
-                yield _rows(SEGMENT, chunk, len(seg), word=seg, lid=np.array(flag, np.int32))
-    return run
+def _chunks(batches):
+    """Words by chunk, and documents as word numbers."""
+    part = TaskContext.get().partitionId() << 32
+    for k, b in enumerate(batches):
+        if not b.num_rows:
+            continue
+        docs, lid = b.column(0).to_pylist(), {}
+        held = [is_held_out(d) for d in docs]
+        lists, learn = [], []
+        for h, text in zip(held, b.column(1).to_pylist()):
+            ids = np.array([lid.setdefault(w, len(lid)) for w in (text or b"").lower().split()], np.int32)
+            lists.append(ids.tobytes())
+            if not h:
+                learn.append(ids)
+        n = np.bincount(np.concatenate(learn) if learn else np.zeros(0, np.int32), minlength=len(lid))
+        chunk = part | k
+        if lid:
+            yield _rows(WORD, chunk, len(lid), lid=np.arange(len(lid), dtype=np.int32), word=list(lid), n=n)
+        yield _rows(DOC, chunk, len(docs), pos=np.arange(len(docs), dtype=np.int32), doc_id=docs, held_out=held, lids=lists)
 
 
 def _totals(path: str):
@@ -168,41 +155,61 @@ class Vocabulary:
         self.place = place[self.place]
 
 
-def _sequences(vocab: Vocabulary, path: str, words: list[bytes], flags: list[int]):
-    """Places of segments with the end token before a document's first and after its last."""
-    from .byte_bpe import encoder
+def _segments(ids: np.ndarray) -> list[np.ndarray]:
+    """A document's ids cut into consecutive segments: each position after the first id is the
+    target of one segment, whose first id is the last one of the segment before."""
+    return [ids[i:i + SEGMENT + 1] for i in range(0, len(ids) - 1, SEGMENT)]
 
-    enc, out, lengths = encoder(path), [], []
-    end = np.array([END])
-    for w, f in zip(words, flags):
-        ids = np.frombuffer(b"".join(enc.unit_ids(w.split())), "<u4").astype(np.int64)
-        ids = np.concatenate([end[:f & 1], ids, end[:f >> 1 & 1]])
-        if len(ids) > 1:
-            out.append(vocab.place[ids])
-            lengths.append(len(ids) - 1)
-    return np.concatenate(out) if out else np.zeros(0, np.int64), np.array(lengths, np.int64)
 
+def _sample(batches):
+    """The FIRST_SEGMENTS segments with the smallest hashes of what the task reads."""
+    h, kept = np.zeros(0, np.uint64), []
+    for b in batches:
+        new = [x.tobytes() for d in b.column(0).to_pylist() for x in _segments(np.frombuffer(d, "<u2"))]
+        if new:
+            h, kept = np.append(h, np.array([xxhash.xxh64_intdigest(x) for x in new], np.uint64)), kept + new
+            at = np.argsort(h, kind="stable")[:FIRST_SEGMENTS]
+            h, kept = h[at], [kept[i] for i in at.tolist()]
+    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64) ^ np.int64(-2**63)), pa.array(kept, pa.binary())], names=["h", "ids"])
 
-def _task_training(vocab: Vocabulary, params: dict, path: str):
-    """One pass over the task's segments; the parameters in blocks, with the windows seen as weight."""
+
+def _sequences(vocab: Vocabulary, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ids of texts (of two ids at least) one after the other, and their positions."""
+    return (vocab.place[np.concatenate(texts)] if texts else np.zeros(0, np.int64)), np.array([len(x) - 1 for x in texts], np.int64)
+
+
+def _task_training(vocab: Vocabulary, params: dict):
+    """One pass over every position of the task's documents, TASK_SEGMENTS segments at a time; the
+    parameters in blocks, with the positions seen as weight."""
 
     def run(batches):
-        words, flags = [], []
+        p, seen = {k: v.copy() for k, v in params.items()}, 0
+        held, size = [], 0
+        most = TASK_SEGMENTS * SEGMENT
+
+        def learn():
+            ids, lengths = _sequences(vocab, held)
+            lm.train(p, ids, lengths, BACK, STEP, steps=-(-len(lm.window_list(lengths, STEP)[0]) // 256), rate=0.004)
+            return int(lengths.sum())
+
         for b in batches:
-            words += b.column(0).to_pylist()
-            flags += b.column(1).to_pylist()
-        if not words:
-            return
-        order = sorted(range(len(words)), key=lambda i: words[i])  # the same whatever order they came in
-        ids, lengths = _sequences(vocab, path, [words[i] for i in order], [flags[i] for i in order])
-        p = {k: v.copy() for k, v in params.items()}
-        seen = len(lm.window_list(lengths, STEP)[0])
-        lm.train(p, ids, lengths, BACK, STEP, steps=-(-seen // 256), rate=0.004)
-        flat = np.concatenate([p[k].ravel() for k in sorted(p)]) * np.float32(seen)
-        blocks = [flat[i:i + 8192] for i in range(0, len(flat), 8192)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array([x.tobytes() for x in blocks], pa.binary()),
-             pa.array(np.full(len(blocks), seen, np.int64))], names=["block", "sums", "weight"])
+            for d in b.column(0).to_pylist():
+                ids, at = np.frombuffer(d, "<u2"), 0
+                while at < len(ids) - 1:  # a long document goes on in the next round
+                    x = ids[at:at + most - size + 1]
+                    held.append(x)
+                    at, size = at + len(x) - 1, size + len(x) - 1
+                    if size == most:
+                        seen += learn()
+                        held, size = [], 0
+        if held:
+            seen += learn()
+        if seen:
+            flat = np.concatenate([p[k].ravel() for k in sorted(p)]) * np.float32(seen)
+            blocks = [flat[i:i + 8192] for i in range(0, len(flat), 8192)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array([x.tobytes() for x in blocks], pa.binary()),
+                 pa.array(np.full(len(blocks), seen, np.int64))], names=["block", "sums", "weight"])
     return run
 
 
@@ -210,77 +217,88 @@ def _add_blocks(t):
     total = np.zeros(len(t.column("sums")[0].as_py()) // 4, np.float64)
     for x in t.column("sums").to_pylist():
         total += np.frombuffer(x, np.float32)
-    weight = max(1, int(np.sum(t.column("weight").to_numpy())))
-    return pa.table({"block": t.column("block")[:1], "mean": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())})
+    weight = int(np.sum(t.column("weight").to_numpy()))
+    return pa.table({"block": t.column("block")[:1], "mean": pa.array([(total / max(1, weight)).astype(np.float32).tobytes()], pa.binary()),
+                     "weight": pa.array([weight], pa.int64())})
 
 
-def train_model(segments: DataFrame, counts: np.ndarray, path: str) -> tuple[Vocabulary, dict[str, np.ndarray]]:
-    """segments: word (text), lid (flags).  The driver sees FIRST_SEGMENTS of them at most, all
-    of them are learned from in the tasks."""
+def train_model(texts: DataFrame, counts: np.ndarray) -> tuple[Vocabulary, dict[str, np.ndarray], int]:
+    """texts: ids of the training documents.  The driver starts from FIRST_SEGMENTS segments at
+    most, the tasks learn from every position; the last value is how many they were."""
     vocab = Vocabulary(counts)
-    first = segments.orderBy(F.xxhash64("word"), "word", "lid").limit(FIRST_SEGMENTS).toArrow()
-    words, flags = first.column(0).to_pylist(), first.column(1).to_pylist()
-    ids, lengths = _sequences(vocab, path, words, flags)
+    first = texts.mapInArrow(_sample, "h long, ids binary").orderBy("h", "ids").limit(FIRST_SEGMENTS).select("ids").toArrow()
+    start = [np.frombuffer(x, "<u2") for x in first.column(0).to_pylist()]
+    ids, lengths = _sequences(vocab, start)
     met = np.zeros((SIZE, SIZE))
     np.add.at(met, (ids[:-1], ids[1:]), 1)
     vocab.arrange(lm.group_tokens(met, GROUPS))
     params = lm.init(SIZE, GROUPS, DIM, BACK, STEP)
-    ids, lengths = _sequences(vocab, path, words, flags)
+    ids, lengths = _sequences(vocab, start)
     lm.train(params, ids, lengths, BACK, STEP, FIRST_STEPS, rate=0.02)
-    tasks = -(-segments.count() // TASK_SEGMENTS)
-    if tasks:
-        dealt = segments.repartition(tasks, "word", "lid")
-        parts = dealt.mapInArrow(_task_training(vocab, params, path), "block int, sums binary, weight long")
-        mean = parts.groupBy("block").applyInArrow(_add_blocks, "block int, mean binary").toArrow().sort_by("block")
-        flat = np.frombuffer(b"".join(mean.column("mean").to_pylist()), np.float32)
-        at = 0
-        for k in sorted(params):
-            n = params[k].size
-            params[k] = flat[at:at + n].reshape(params[k].shape).copy()
-            at += n
-    return vocab, params
-
-
-def _score(vocab: Vocabulary, params: dict, n_train: int, kinds: int, ends: int):
-    shape = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                       ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    parts = texts.mapInArrow(_task_training(vocab, params), "block int, sums binary, weight long")
+    mean = parts.groupBy("block").applyInArrow(_add_blocks, "block int, mean binary, weight long").toArrow().sort_by("block")
+    if not mean.num_rows:
+        return vocab, params, 0
+    flat = np.frombuffer(b"".join(mean.column("mean").to_pylist()), np.float32)
+    at = 0
+    for k in sorted(params):
+        n = params[k].size
+        params[k] = flat[at:at + n].reshape(params[k].shape).copy()
+        at += n
+    return vocab, params, mean.column("weight")[0].as_py()
+
+
+_TEXT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                   ("base_score", pa.float64()), ("ids", pa.binary())])
+
+
+def _texts(n_train: int, kinds: int, ends: int):
+    """The documents of a chunk as subword ids (two bytes each) between end tokens, and what is known by word."""
     floor = math.log10(n_train + kinds + 1)
     end_base = math.log10(ends + 1) - floor
+    end = np.array([END], "<u2").tobytes()
 
     def run(docs, words):
         """One chunk."""
-        scorer = lm.Scorer(params, BACK, STEP)
         order = np.argsort(words.column("lid").to_numpy())
         c = words.column("c").to_numpy()[order]
         col = words.column("ids").combine_chunks()
         col = (col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col).take(pa.array(order))
         raw, sizes = _flat(col)
-        starts = np.cumsum(sizes) - sizes
-        logs, extra = np.log10(c + 1.0) - floor, vocab.extra[raw]
-        place, bounds = vocab.place[raw], vocab.place[END]
-        lists = [np.frombuffer(x, np.int32) for x in docs.column("lids").to_pylist()]
-        n, known, base, score = [], [], [], np.zeros(len(lists))
-        for x in lists:
-            n.append(len(x) + 1)
-            known.append(int((c[x] > 0).sum()) + (ends > 0))
-            base.append(math.fsum(logs[x]) + end_base)
-        i = 0
-        while i < len(lists):
-            j, total = i, 0
-            while j < len(lists) and (j == i or total + int(sizes[lists[j]].sum()) < AT_ONCE):
-                total += int(sizes[lists[j]].sum())
-                j += 1
-            w = np.concatenate(lists[i:j])
+        raw, starts = raw.astype("<u2"), np.cumsum(sizes) - sizes
+        logs = np.log10(c + 1.0) - floor
+        n, known, base, out = [], [], [], []
+        for x in docs.column("lids").to_pylist():
+            w = np.frombuffer(x, np.int32)
             k = sizes[w]
             inner = np.repeat(starts[w] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
-            per = np.array([int(sizes[x].sum()) for x in lists[i:j]])
-            ids = np.full(len(inner) + 2 * len(per), bounds, np.int64)
-            doc = np.repeat(np.arange(len(per)), per)
-            ids[np.arange(len(inner)) + 2 * doc + 1] = place[inner]
-            score[i:j] = lm.score_texts(scorer, ids, per + 1) + np.bincount(doc, extra[inner], len(per))
-            i = j
+            n.append(len(w) + 1)
+            known.append(int((c[w] > 0).sum()) + (ends > 0))
+            base.append(math.fsum(logs[w]) + end_base)
+            out.append(end + raw[inner].tobytes() + end)
         return pa.table([docs.column("doc_id"), docs.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                         pa.array(np.full(len(n), n_train, np.int64)), pa.array(base, pa.float64()), pa.array(score / math.log(10))], schema=shape)
+                         pa.array(base, pa.float64()), pa.array(out, pa.binary())], schema=_TEXT)
+    return run
+
+
+def _score(vocab: Vocabulary, params: dict, n_train: int):
+    def run(batches):
+        scorer = lm.Scorer(params, BACK, STEP)
+        for b in batches:
+            lists, score = [np.frombuffer(x, "<u2") for x in b.column("ids").to_pylist()], np.zeros(b.num_rows)
+            i = 0
+            while i < len(lists):
+                j, total = i, 0
+                while j < len(lists) and (j == i or total + len(lists[j]) < AT_ONCE):
+                    total += len(lists[j])
+                    j += 1
+                raw, per = np.concatenate(lists[i:j]), np.array([len(x) for x in lists[i:j]])
+                score[i:j] = lm.score_texts(scorer, vocab.place[raw], per - 1) + np.bincount(np.repeat(np.arange(j - i), per), vocab.extra[raw], j - i)
+                i = j
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(k) for k in ("doc_id", "held_out", "n_tokens", "n_known")), pa.array(np.full(b.num_rows, n_train, np.int64)),
+                 b.column("base_score"), pa.array(score / math.log(10))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -295,8 +313,7 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     are ignored.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    segments = max(1, -(-FIRST_SEGMENTS // max(1, src.count())))
-    base = stored(src.mapInArrow(_chunks(segments), _SHAPE), "lm-chunks")
+    base = stored(src.mapInArrow(_chunks, _SHAPE), "lm-chunks")
     words = base.filter(F.col("kind") == WORD).select("chunk", "lid", "n", "word")
     totals = stored(words.repartition("word").sortWithinPartitions("word").mapInArrow(
         _totals(tokenizer_path), "chunk long, lid int, c long, ids binary, head boolean"), "lm-words")
@@ -307,8 +324,12 @@ def lm_scores(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
     for r in heads.select("c", "ids").mapInArrow(_id_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n  # at most one row per id of the tokenizer
     counts[END] = ends
-    vocab, params = train_model(base.filter(F.col("kind") == SEGMENT).select("word", "lid"), counts, tokenizer_path)
-    score = _score(vocab, params, int(whole.n or 0) + ends, whole.v + (ends > 0), ends)
+    n_train = int(whole.n or 0) + ends
     told = base.filter(F.col("kind") == DOC).select("chunk", "doc_id", "held_out", "lids")
-    return told.groupBy("chunk").cogroup(totals.select("chunk", "lid", "c", "ids").groupBy("chunk")).applyInArrow(
-        score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    texts = stored(told.groupBy("chunk").cogroup(totals.select("chunk", "lid", "c", "ids").groupBy("chunk")).applyInArrow(
+        _texts(n_train, whole.v + (ends > 0), ends),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, ids binary"), "lm-texts")
+    vocab, params, _ = train_model(texts.filter("NOT held_out").select("ids"), counts)
+    return texts.mapInArrow(
+        _score(vocab, params, n_train),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from pyspark.sql import functions as F
 
@@ -98,3 +99,21 @@ def test_scores(spark, monkeypatch):
     twice = [r.score for r in got if r.doc_id == 3]
     assert len(twice) == 2 and math.isclose(*twice, rel_tol=1e-4)
     assert lm_scoring.lm_scores(df.limit(0), P.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_every_position_of_every_training_document_is_learned(spark, monkeypatch):
+    for k, v in (("FIRST_STEPS", 5), ("FIRST_SEGMENTS", 4), ("TASK_SEGMENTS", 3)):  # fewer segments than documents
+        monkeypatch.setattr(lm_scoring, k, v)
+    texts = [np.arange(n, dtype="<u2") for n in (2, 31, 32, 33, 34, 65, 700, 2, 2, 2)]  # equal ones too
+    df = spark.createDataFrame([(bytearray(x.tobytes()),) for x in texts], "ids binary").repartition(2)
+    assert lm_scoring.train_model(df, np.ones(lm_scoring.END + 1))[2] == sum(len(x) - 1 for x in texts)
+
+    met, train = [], lm.train
+    monkeypatch.setattr(lm_scoring.lm, "train", lambda p, ids, lengths, *a, **b: met.append((ids, lengths)) or train(p, ids, lengths, *a, **b))
+    vocab = lm_scoring.Vocabulary(np.ones(lm_scoring.END + 1))
+    params = lm.init(lm_scoring.SIZE, lm_scoring.GROUPS, lm_scoring.DIM, lm_scoring.BACK, lm_scoring.STEP)
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in texts], pa.binary())], names=["ids"])
+    list(lm_scoring._task_training(vocab, params)([batch]))
+    got = [pair for ids, lengths in met for x in np.split(ids, np.cumsum(lengths + 1)[:-1]) for pair in zip(x[:-1].tolist(), x[1:].tolist())]
+    want = [pair for x in texts for pair in zip(vocab.place[x[:-1]].tolist(), vocab.place[x[1:]].tolist())]
+    assert sorted(got) == sorted(want) and max(lengths.sum() for _, lengths in met) <= 3 * lm_scoring.SEGMENT
