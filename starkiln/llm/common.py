@@ -43,6 +43,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread_by: Column, how: str = "inner",
                 parts: int = 4) -> DataFrame:
     """Join a side with hot keys to a side with one row per key.
