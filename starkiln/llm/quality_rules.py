@@ -17,6 +17,9 @@ while their files are below its threshold and shuffles beyond it.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +27,6 @@ from .common import let, stored
 
 #: White space between words, as in the contract of the query.
 SPACE = r"[\x20\x09-\x0D]"
-SYMBOLS = "#*$%&|<>"
 #: Character classes, taken one after the other out of the text; what is left is a class too.
 CLASSES = (r"[\p{Ll}]+", r"[\x20\x09-\x0D]+", r"[\p{Lu}]+", r"[0-9]+", r"[.,;:!?'\"()\-]+", r"[#*$%&|<>@^~=+_/\\{}\[\]`]+")
 #: Most common words of a language that have a bin of their own.
@@ -42,53 +44,71 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
 
 
-def plain_words_of(text: Column) -> Column:
-    """Lower-cased words without sentence marks, for the comparison with common words."""
-    return words_of(F.translate(F.lower(text), ".,;:!?", " " * 6))
-
+def repeated_words(df: DataFrame, words: str, out: str, width: int = 3) -> DataFrame:
+    """Column ``out``: words inside windows of ``width`` words that occur twice or more, first
+    included.
 
-def repeated_words(words: Column, width: int = 3) -> Column:
-    """Words inside windows of ``width`` words that occur twice or more, first included.
-
-    Windows are sorted by a hash and compared with their neighbours, word by word where the
-    hashes agree.  (Texts between which the sort would interleave two different windows of one
-    64-bit hash do not occur in practice: some 1e-11 for a text of 20,000 words.)
+    Leaves the words' hashes in ``_hashes``.  A window is one long: its hash above, its
+    position in the low bits (as many as the text needs).  Sorted, equal windows are neighbours; neighbours that agree in the hash are
+    compared word by word.  Should two different windows ever share a hash, that text is
+    counted again by sorting the words themselves, so the count is exact.
     """
-    def row(w: Column) -> Column:
-        starts = F.slice(w, 1, F.greatest(F.size(w) - F.lit(width - 1), F.lit(0)))
-        hashed = F.transform(starts, lambda _, i: F.struct(
-            F.xxhash64(*[F.get(w, i + F.lit(k)) for k in range(width)]).alias("h"), i.alias("p")))
-
-        def same(x: Column, y: Column) -> Column:
-            eq = x["h"] == y["h"]
-            for k in range(width):
-                eq = eq & (F.get(w, x["p"] + F.lit(k)) == F.get(w, y["p"] + F.lit(k)))
-            return F.coalesce(eq, F.lit(False))
-
-        twice = let(F.sort_array(hashed), lambda s: F.filter(
-            s, lambda x, i: same(x, F.get(s, i - F.lit(1))) | same(x, F.get(s, i + F.lit(1)))))
-        covered = F.flatten(F.transform(twice, lambda x: F.array(*[x["p"] + F.lit(k) for k in range(width)])))
-        return F.size(F.array_distinct(covered)).cast("long")
-
-    return let(words, row)
+    w, n = F.col(words), F.size(words)
+    starts = F.slice(w, 1, F.greatest(n - F.lit(width - 1), F.lit(0)))
+    df = df.withColumns({"_bits": F.length(F.bin(n)), "_hashes": F.transform(w, lambda x: F.xxhash64(x))})
+
+    def shifted(x: Column, down: bool) -> Column:  # by a column, which the functions of this name don't take
+        return F.call_function("shiftrightunsigned" if down else "shiftleft", x, F.col("_bits"))
+
+    first = F.slice(F.col("_hashes"), 1, F.greatest(n - F.lit(width - 1), F.lit(0)))
+    df = df.withColumn("_keys", F.sort_array(F.transform(first, lambda x, i: shifted(
+        F.xxhash64(x, *[F.get(F.col("_hashes"), i + F.lit(k)) for k in range(1, width)]), False).bitwiseOR(i.cast("long")))))
+    low = shifted(F.lit(-1).cast("long"), False)
+
+    def place(x: Column) -> Column:
+        return x.bitwiseAND(F.bitwise_not(low)).cast("int")
+
+    def one_hash(x: Column, y: Column) -> Column:
+        return shifted(x.bitwiseXOR(y), True) == 0
+
+    def words_agree(p: Column, q: Column) -> Column:
+        return reduce(and_, [F.get(w, p + F.lit(k)) == F.get(w, q + F.lit(k)) for k in range(width)])
+
+    # for each key: 1 if its neighbour above is the same window, -1 if it only has the same hash
+    keys = F.col("_keys")
+    df = df.withColumn("_next", F.zip_with(keys, F.slice(keys, 2, F.greatest(F.size(keys) - 1, F.lit(0))), lambda x, y: F.when(
+        F.coalesce(one_hash(x, y), F.lit(False)), F.when(words_agree(place(x), place(y)), 1).otherwise(-1)).otherwise(0)))
+    some = F.array_contains("_next", 1)
+    runs = F.filter(keys, lambda x, i: (F.get(F.col("_next"), i) == 1) | F.coalesce(F.get(F.col("_next"), i - F.lit(1)) == 1, F.lit(False)))
+    spread = lambda at: F.size(F.array_distinct(F.flatten(F.transform(at, lambda p: F.array(*[p + F.lit(k) for k in range(width)])))))
+    fast = F.when(some, spread(F.transform(runs, place))).otherwise(F.lit(0))
+    # the exact way round a shared hash: sort (words, position)
+    whole = let(F.sort_array(F.transform(starts, lambda x, i: F.struct(F.array(x, *[F.get(w, i + F.lit(k)) for k in range(1, width)]).alias("g"), i.alias("p")))),
+                lambda s: spread(F.transform(F.filter(s, lambda x, i: F.coalesce(x["g"] == F.get(s, i - F.lit(1))["g"], F.lit(False))
+                                                      | F.coalesce(x["g"] == F.get(s, i + F.lit(1))["g"], F.lit(False))), lambda x: x["p"])))
+    return df.withColumn(out, F.when(F.array_contains("_next", -1), whole).otherwise(fast).cast("long")).drop("_bits", "_keys", "_next")
 
 
 def class_counts(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Column ``out``: characters of each class, then all others.  Each class is cut out of
-    what the classes before it left, so later passes read little."""
+    """Column ``out``: characters of each class, then all others; with it ``word_chars`` and
+    ``n_symbols``.  Each class is cut out of what the classes before it left, so later passes
+    read little."""
     rest = text
     for i, c in enumerate(CLASSES):
         df = df.withColumn(f"_rest{i}", F.regexp_replace(F.col(rest), c, ""))
         rest = f"_rest{i}"
     left = [F.length(text), *[F.length(f"_rest{i}") for i in range(len(CLASSES))]]
     counts = [(a - b).cast("long") for a, b in zip(left, left[1:])] + [left[-1].cast("long")]
-    return df.withColumn(out, F.array(*counts)).drop(*[f"_rest{i}" for i in range(len(CLASSES))])
+    symbols = F.length("_rest4") - F.length(F.regexp_replace("_rest4", r"[#*$%&|<>]+", ""))  # what the classes before left of them
+    return df.withColumns({out: F.array(*counts), "word_chars": left[0].cast("long") - counts[1], "n_symbols": symbols.cast("long")}).drop(
+        *[f"_rest{i}" for i in range(len(CLASSES))])
 
 
-def bin_counts(words: Column, common: Column) -> Column:
-    """How often each of ``common`` comes in ``words``: bin 0 is every other word.  The bins of
-    all words are sorted together with one mark per bin, so a bin ends at its last mark."""
-    bins = F.transform(words, lambda w: F.array_position(common, w))
+def bin_counts(hashes: Column, common: Column) -> Column:
+    """How often each of ``common`` comes in ``hashes`` (hashes of words): bin 0 is every other
+    word.  The bins of all words are sorted together with one mark per bin, so a bin ends at
+    its last mark."""
+    bins = F.transform(hashes, lambda h: F.array_position(common, h))
     marked = F.sort_array(F.concat(bins, F.sequence(F.lit(0).cast("long"), F.size(common).cast("long"))))
     ends = let(marked, lambda s: F.filter(
         F.transform(s, lambda x, i: F.when(F.coalesce(F.get(s, i + F.lit(1)) != x, F.lit(True)), i + F.lit(1))),
@@ -98,13 +118,13 @@ def bin_counts(words: Column, common: Column) -> Column:
 
 
 def common_words(docs: DataFrame, lang: str, text: str, n: int = COMMON) -> DataFrame:
-    """``lang, common``: the ``n`` most frequent plain words of each language, ties by word."""
-    counts = docs.select(F.col(lang).alias("lang"), F.explode(plain_words_of(F.col(text))).alias("w")).groupBy("lang", "w").agg(
-        F.count("*").alias("c"))
+    """``lang, common``: hashes of the ``n`` most frequent words of each language, ties by word."""
+    each = docs.select(F.col(lang).alias("lang"), F.explode(F.split(F.col(text), SPACE + "+")).alias("w")).filter("w != ''")
+    counts = each.groupBy("lang", "w").agg(F.count("*").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "w"))
     best = counts.withColumn("r", rank).filter(F.col("r") <= n)
     return best.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("r", "w"))).alias("rw")).select(
-        "lang", F.col("rw.w").alias("common"))
+        "lang", F.transform("rw", lambda x: F.xxhash64(x["w"])).alias("common"))
 
 
 def shares(counts: Column) -> Column:
@@ -140,16 +160,14 @@ def jensen_shannon(p: Column, q: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, text: str = "_text") -> DataFrame:
-    """The counts that need no reference, as columns beside ``text``."""
+    """The counts that need no reference, and the words (``_words``), as columns beside ``text``."""
     df = docs.withColumn("_words", words_of(F.col(text)))
     lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return df.withColumns({
+    df = df.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.translate(F.col(text), " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(F.col(text), SYMBOLS, ""))).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(F.col("_words")),
-    }).drop("_words")
+    })
+    return class_counts(repeated_words(df, "_words", "n_repeat_words"), text, "_classes")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -170,8 +188,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     common = stored(common_words(src, "lang", "_text"), "common-words")
     met = base_counts(src.join(common, "lang", "left"))
-    met = met.withColumn("_bins", bin_counts(plain_words_of(F.col("_text")), F.coalesce("common", F.array().cast("array<string>"))))
-    met = class_counts(met, "_text", "_classes")
+    met = met.withColumn("_bins", bin_counts(F.col("_hashes"), F.coalesce("common", F.array().cast("array<bigint>"))))
     rows = stored(met.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                              (F.conv(F.substring(F.md5("_text"), 1, 2), 16, 10).cast("int") % BUCKETS).alias("bucket"),
                              "_classes", "_bins"), "rules")

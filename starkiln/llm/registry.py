@@ -156,8 +156,7 @@ ORACLES: dict[str, str] = {
                         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
                  FROM w LEFT JOIN rep USING (rid)),
-        plain AS (SELECT rid, lang, bucket, unnest(list_filter(string_split_regex(translate(lower(t), '.,;:!?', '      '), '[\x20\x09-\x0D]+'),
-                                                       lambda x: x <> '')) AS word FROM w),
+        plain AS (SELECT rid, lang, bucket, unnest(ws) AS word FROM w),
         common AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS bin FROM plain GROUP BY lang, word
                    QUALIFY bin <= 24),
         cut AS (SELECT rid, lang, bucket, length(regexp_replace(t, '\p{Ll}', '', 'g')) AS r1, length(t) AS r0,
