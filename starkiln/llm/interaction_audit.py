@@ -8,10 +8,11 @@ when a batch is counted:
 
 * a task first collapses its rows per text: rows above the smallest id it has seen of a text
   are duplicates for certain and leave as counts, the rest leaves as one candidate;
-* state keyed by text (SHA-256 of the whole text) remembers the smallest id so far and which
-  rows carry it.  A candidate above it is a duplicate; a smaller one becomes the minimum, and
-  the mask counted for the earlier one is retracted: minus one without the duplicate bit, plus
-  one with it;
+* state keyed by text (a 128-bit prefix of SHA-256 of the whole text) remembers the smallest
+  id so far and which rows carry it.  A candidate above it is a duplicate; a smaller one
+  becomes the minimum, and the mask counted for the earlier one is retracted: minus one
+  without the duplicate bit, plus one with it.  Some ``TEXTS`` texts share a state row, as a
+  call into Python per text would cost more than all else;
 * each micro-batch adds its signed counts to the part counters, one folder per batch, written
   in overwrite mode, so a batch replayed after a failure replaces its own counts.
 
@@ -20,7 +21,8 @@ The report is computed from the summed counters: every filter order, every step.
 
 from __future__ import annotations
 
-import json
+import pickle
+import zlib
 from collections import defaultdict
 from itertools import permutations
 
@@ -37,11 +39,13 @@ LETTERS = "ABCDE"
 #: The bit of the filter that needs the state.
 DUPLICATE = 1 << 4
 #: Parquet bytes of a micro-batch for each core of the cluster.
-BYTES_PER_CORE = 16 << 20
+BYTES_PER_CORE = 32 << 20
+#: Texts that share a state row, on average.
+TEXTS = 256
 
-ROW = "text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, is_dup boolean, n long"
+ROW = "slot long, text_key binary, part string, mask int, good boolean, toxic boolean, doc_id long, is_dup boolean, n long"
 DELTA = "part string, mask int, good boolean, toxic boolean, n long"
-STATE = "doc_id long, rows string"
+STATE = "texts binary"
 
 
 def text_mask(text: Column) -> Column:
@@ -56,65 +60,61 @@ def text_mask(text: Column) -> Column:
         n < 50, 100 * F.size(F.array_distinct(w)) < 65 * n, 100 * capitals > 5 * F.length(text), text.rlike("[#$%&*|]"))))
 
 
-def _collapse(batches):
-    """One Arrow batch at a time: one candidate per text (its smallest id), counts for the rest."""
+def _collapse(slots: int):
     names = [x.split()[0] for x in ROW.split(", ")]
-    for b in batches:
-        if not b.num_rows:
-            continue
-        least: dict = {}
-        rows = list(zip(*[b.column(i).to_pylist() for i in range(6)]))
-        for key, _, _, _, _, doc in rows:
-            if doc is not None and (key not in least or doc < least[key]):
-                least[key] = doc
-        counts: dict = defaultdict(int)
-        for key, part, mask, good, toxic, doc in rows:
-            if doc is None:
-                counts[key, part, mask, good, toxic, None, False] += 1
-            else:
-                dup = doc > least[key]
-                counts[key, part, mask, good, toxic, None if dup else doc, dup] += 1
-        cols = list(zip(*counts))
-        kinds = [pa.binary(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.bool_()]
-        yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(cols, kinds)], pa.array(counts.values(), pa.int64())], names=names)
+    kinds = [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.bool_(), pa.int64()]
+
+    def run(batches):
+        """One Arrow batch at a time: candidates (smallest id of a text, null ids), and counts of
+        certain duplicates, which need no text any more and are dealt by what they count."""
+        for b in batches:
+            if not b.num_rows:
+                continue
+            least: dict = {}
+            rows = list(zip(*[b.column(i).to_pylist() for i in range(6)]))
+            for key, _, _, _, _, doc in rows:
+                if doc is not None and (key not in least or doc < least[key]):
+                    least[key] = doc
+            counts: dict = defaultdict(int)
+            for key, part, mask, good, toxic, doc in rows:
+                if doc is None or doc > least[key]:
+                    what = (part, mask, good, toxic)
+                    counts[zlib.crc32(repr(what).encode()) % slots, None, *what, 0, doc is not None] += 1  # never a null id: pandas would make floats of all
+                else:
+                    counts[int.from_bytes(key[8:16], "big") % slots, key, part, mask, good, toxic, doc, False] += 1
+            cols = list(zip(*counts))
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(cols, kinds)], pa.array(counts.values(), pa.int64())], names=names)
+    return run
 
 
 def _track(key, frames, state):
-    """State of one text.  Returns signed counts by (part, mask, good, toxic)."""
-    least, held = state.get if state.exists else (None, "[]")
-    carry = {tuple(k): n for *k, n in json.loads(held)}  # rows that carry the smallest id
-    had = least
+    """State of the texts of one slot: text -> (smallest id, rows that carry it).  Returns signed
+    counts by (part, mask, good, toxic)."""
+    texts: dict = pickle.loads(state.get[0]) if state.exists else {}
     delta: dict = defaultdict(int)
-
-    def demote():
-        for k, n in carry.items():
-            delta[k] -= n
-            delta[k[0], k[1] | DUPLICATE, *k[2:]] += n
-        carry.clear()
-
+    changed = False
     for frame in frames:
-        for part, mask, good, toxic, doc, dup, n in zip(
-                frame["part"], frame["mask"].tolist(), frame["good"].tolist(), frame["toxic"].tolist(),
-                frame["doc_id"], frame["is_dup"].tolist(), frame["n"].tolist()):
+        for text, part, mask, good, toxic, doc, dup, n in zip(*[frame[c].tolist() for c in frame.columns[1:]]):
             k = (part, mask, good, toxic)
-            if dup:
-                delta[part, mask | DUPLICATE, good, toxic] += n
-            elif pd.isna(doc):
-                delta[k] += n
-            else:
-                doc = int(doc)
-                if least is not None and doc > least:
-                    delta[part, mask | DUPLICATE, good, toxic] += n
-                    continue
-                if least is not None and doc < least:
-                    demote()
-                least = doc
-                carry[k] = carry.get(k, 0) + n
-                delta[k] += n
-    if least is not None and (least != had or any(delta.values())):
-        state.update((least, json.dumps([[*k, n] for k, n in carry.items()])))
-    out = [(*k, n) for k, n in delta.items() if n]
-    yield pd.DataFrame(out, columns=["part", "mask", "good", "toxic", "n"])
+            late = (part, mask | DUPLICATE, good, toxic)
+            if text is None:  # certain duplicates, and rows without an id
+                delta[late if dup else k] += n
+                continue
+            least, carry = texts.get(text, (None, {}))
+            if least is not None and doc > least:
+                delta[late] += n
+                continue
+            if least is not None and doc < least:
+                for (p, m, g, t), c in carry.items():  # retract what was counted for the earlier minimum
+                    delta[p, m, g, t] -= c
+                    delta[p, m | DUPLICATE, g, t] += c
+                carry = {}
+            texts[text] = (doc, {**carry, k: carry.get(k, 0) + n})
+            delta[k] += n
+            changed = True
+    if changed:
+        state.update((pickle.dumps(texts, protocol=5),))
+    yield pd.DataFrame([(*k, n) for k, n in delta.items() if n], columns=["part", "mask", "good", "toxic", "n"])
 
 
 def part_counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -122,8 +122,8 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str
     """Run the stream over every file below ``path`` to its end: part, mask, good, toxic, n.
 
     ``labels``: doc_id, quality, toxic; of repeated ids any 1 counts.  The stream has a session
-    of its own (state in RocksDB, which spills to disk), and its ledger and counters lie in the
-    shared folder.
+    of its own (state in RocksDB, which spills to disk; a commit ships the changes only), and
+    its ledger and counters lie in the shared folder.
     """
     own = spark.newSession()
     for k in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.files.maxPartitionBytes"):
@@ -131,6 +131,7 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str
             own.conf.set(k, v)
     own.conf.set("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     marks = stored(labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")), "marks")
@@ -141,11 +142,12 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str
     # as a pattern that names only itself: the file source takes a plain path for a folder
     files = own.readStream.schema(schema).option("maxBytesPerTrigger", size).parquet(f"{path[:-1]}[{path[-1]}]")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = files.select(F.unhex(F.sha2(text.cast("binary"), 256)).alias("text_key"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
+    rows = files.select(F.unhex(F.left(F.sha2(text.cast("binary"), 256), F.lit(32))).alias("text_key"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
                         text_mask(text).alias("mask"), F.col(id_col).cast("long").alias("doc_id"))
     rows = rows.join(marks, rows["doc_id"] == marks["_id"], "left").select(
         "text_key", "part", "mask", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"), "doc_id")
-    signed = rows.mapInArrow(_collapse, ROW).groupBy("text_key").applyInPandasWithState(
+    slots = spark.read.parquet(path).count() // TEXTS + 1  # from the file footers
+    signed = rows.mapInArrow(_collapse(slots), ROW).groupBy("slot").applyInPandasWithState(
         _track, DELTA, STATE, "append", GroupStateTimeout.NoTimeout)
     out = scratch(spark, "part-counters")
 
