@@ -525,3 +525,10 @@ ORACLES["inc_08_sync_all_columns_stored"] = ORACLES["inc_08_sync_all_columns"]
 ORACLES["str_02_incremental"] = ORACLES["inc_01"]
 ORACLES["str_02_stream"] = """select o_orderkey, o_custkey, o_orderstatus,
   case when o_orderstatus = 'F' then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderdate, o_orderpriority from orders"""
+ORACLES["src_01_drift"] = q("select * exclude (_loaded_at) from raw_trips")
+_CHANGED = ("select * exclude (_loaded_at, _source_file), 'trips first.parquet' as _source_file from raw_trips "
+            "where tpep_pickup_datetime < timestamp '2024-01-16' union all "
+            "select * exclude (_loaded_at, _source_file) replace (total_amount + 1 as total_amount), 'trips 100%.parquet' as _source_file "
+            "from raw_trips where tpep_pickup_datetime >= timestamp '2024-01-16' and payment_type <> 0")
+ORACLES["src_05_changed"] = q(_CHANGED)
+ORACLES["str_01_changed"] = q(_CHANGED)

@@ -63,7 +63,8 @@ def since_watermark(src: DataFrame, target: DataFrame | None, col: str = "_loade
     if target is None:
         return src
     seen = target.groupBy(per_part).agg(F.max(col).alias("__wm"))
-    j = src.join(seen, src[per_part] == seen[per_part], "left")
+    # NULL files are one part, as GROUP BY has them
+    j = src.join(seen, src[per_part].eqNullSafe(seen[per_part]), "left")
     return j.filter(seen["__wm"].isNull() | (src[col] > seen["__wm"])).select(src["*"])
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import scd_hash
+from .incremental import duplicate_keys
 
 META = ["scd_id", "scd_updated_at", "valid_from", "valid_to"]
 DELETED = "is_deleted"
@@ -45,7 +46,8 @@ def _check_columns(source: DataFrame, keys: Sequence[str], check_cols, updated_a
 
 def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy: str = "timestamp",
              updated_at: str | None = None, check_cols="all", hard_deletes: str = "ignore",
-             valid_to_current=None, now=None, column_names: dict | None = None) -> DataFrame:
+             valid_to_current=None, now=None, column_names: dict | None = None,
+             check_duplicates: bool = True) -> DataFrame:
     """Next SCD2 history.
 
     * ``strategy='timestamp'``: a key changed iff its open row's ``valid_from``
@@ -53,6 +55,8 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     * ``strategy='check'``: a key changed iff any ``check_cols`` value differs
       NULL-safely (a check column missing from the history marks every row
       changed); the new version is stamped with ``updated_at`` when given, else ``now``.
+    * a key that comes twice in the source is an error once there is a history, as it is in a
+      merge (``check_duplicates=False`` leaves that out);
     * changed keys: the open row is closed (``valid_to`` = new stamp) and a new
       open row is inserted; new keys are inserted.
     * ``hard_deletes``: ``ignore`` | ``invalidate`` (close open rows whose key left
@@ -69,7 +73,7 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
         if history is not None:
             history = history.withColumnsRenamed({v: k for k, v in names.items()})
         out = snapshot(source, history, unique_key, strategy, updated_at, check_cols, hard_deletes,
-                       valid_to_current, now)
+                       valid_to_current, now, check_duplicates=check_duplicates)
         return out.withColumnsRenamed(names)
     keys = _keys(unique_key)
     if strategy not in ("timestamp", "check"):
@@ -91,6 +95,8 @@ def snapshot(source: DataFrame, history: DataFrame | None, unique_key, strategy:
     if history is None:
         return fresh(source, stamp_src)
 
+    if check_duplicates and not duplicate_keys(source, keys).isEmpty():
+        raise ValueError(f"snapshot source has duplicate rows for unique_key {keys}")
     hist_cols = history.columns
     if hard_deletes == "new_record" and DELETED not in hist_cols:
         history = history.withColumn(DELETED, F.lit("False"))

@@ -1137,3 +1137,83 @@ def str_02_stream(spark, d):
         refresh_stream(spark.readStream.schema(o.schema).parquet(f"{base}/landing"), name, f"{base}/checkpoint",
                        unique_key="o_orderkey", available_now=True)
     return spark.table(name)
+
+
+# -- files as they come: several vintages, changed files ------------------------------------
+def _write_file(df, path: str) -> None:
+    """``df`` as the one Parquet file ``path`` (an earlier file of the name is replaced)."""
+    spark = df.sparkSession
+    df.coalesce(1).write.parquet(f"{path}.dir")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(x.getPath() for x in fs.listStatus(hadoop.Path(f"{path}.dir")) if x.getPath().getName().endswith(".parquet"))
+    fs.mkdirs(hadoop.Path(path).getParent())
+    fs.delete(hadoop.Path(path), False)
+    fs.rename(part, hadoop.Path(path))
+    fs.delete(hadoop.Path(f"{path}.dir"), True)
+
+
+# First days of the second and the third vintage of the drift fixture.
+DRIFT_FROM = ("2024-01-11", "2024-01-21")
+
+
+@register("src_01_drift")
+def src_01_drift(spark, d):
+    """One load over files of three vintages: counts as doubles, as 64-bit integers with the other
+    spelling of the fee, and times as epoch microseconds."""
+    base, name = _scratch(spark, "drift"), _tname("raw_trips_drift")
+    land = D.landing_trips(spark, d).drop("_loaded_at")
+    at = [F.lit(x).cast("timestamp_ntz") for x in DRIFT_FROM]
+    ts = F.col("tpep_pickup_datetime")
+    micros = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    old, mid, new = land.filter(ts < at[0]), land.filter((ts >= at[0]) & (ts < at[1])), land.filter(ts >= at[1])
+    mid = mid.withColumns({c: F.col(c).cast("bigint") for c in ("passenger_count", "RatecodeID")})
+    for part in (old, mid.withColumnRenamed("Airport_fee", "airport_fee"), new.withColumns(micros)):
+        part.repartition("_source_file").write.mode("append").partitionBy("_source_file").parquet(f"{base}/landing")
+    ING.load_files(spark, f"{base}/landing", name, root=f"{base}/wh", source_file_col="_source_file")
+    return spark.table(name).drop("_loaded_at", "_source_path")
+
+
+# Files of the changed-file fixture hold trips up to, and from, this day.
+CHANGED_FROM = "2024-01-16"
+
+
+def _changed_landing(spark, d, base):
+    """Two files with a blank and a per cent sign in their names; the returned call replaces the
+    second one under its name, with fewer rows and other totals."""
+    land = D.landing_trips(spark, d).drop("_loaded_at", "_source_file")
+    late = F.col("tpep_pickup_datetime") >= F.lit(CHANGED_FROM).cast("timestamp_ntz")
+    _write_file(land.filter(~late), f"{base}/landing/trips first.parquet")
+    _write_file(land.filter(late), f"{base}/landing/trips 100%.parquet")
+
+    def replace():
+        fewer = land.filter(late & (F.col("payment_type") != 0))
+        _write_file(fewer.withColumn("total_amount", F.col("total_amount") + 1), f"{base}/landing/trips 100%.parquet")
+    return replace
+
+
+@register("src_05_changed")
+def src_05_changed(spark, d):
+    """A file replaced under its name is loaded again, an unchanged one is not."""
+    base, name = _scratch(spark, "changed"), _tname("raw_trips_changed")
+    replace = _changed_landing(spark, d, base)
+    ING.load_files(spark, f"{base}/landing", name, root=f"{base}/wh")
+    replace()
+    again = ING.load_files(spark, f"{base}/landing", name, root=f"{base}/wh").collect()
+    assert [r["_source_file"] for r in again] == ["trips 100%.parquet"], again
+    return spark.table(name).drop("_loaded_at", "_source_path")
+
+
+@register("str_01_changed")
+def str_01_changed(spark, d):
+    """The stream over the same folder: the replaced file takes the place of the earlier one."""
+    from ..streaming import stream_ingest
+
+    base, name = _scratch(spark, "changed-stream"), _tname("raw_trips_changed_stream")
+    replace = _changed_landing(spark, d, base)
+    schema = D.landing_trips(spark, d).drop("_loaded_at", "_source_file").schema
+    for step in range(2):
+        if step:
+            replace()
+        stream_ingest(spark, f"{base}/landing", name, f"{base}/checkpoint", schema, root=f"{base}/wh")
+    return spark.table(name).drop("_loaded_at", "_source_path")

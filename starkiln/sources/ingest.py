@@ -13,12 +13,15 @@ import posixpath
 from collections.abc import Iterable, Sequence
 from urllib.parse import urlparse
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import micros_to_ntz
 from ..schemas import RAW_TRIPS
+from . import ledger as LG
 
 # Spellings of the airport fee column seen across file vintages.
 AIRPORT_FEE_SPELLINGS = ["Airport_fee", "airport_fee"]
@@ -43,17 +46,9 @@ def coalesce_spellings(df: DataFrame, spellings: Sequence[str], out: str) -> Dat
 
 
 def landing_path(landing_root: str) -> Column:
-    """Path of the scanned file below ``landing_root`` (the whole path if it lies elsewhere)."""
-    root = urlparse(landing_root).path.rstrip("/") + "/"
-    path = F.col("_metadata.file_path")
-    at = F.instr(path, root)
-    return F.when(at > 0, F.substr(path, at + F.lit(len(root)))).otherwise(path)
-
-
-def below_root(path: str, landing_root: str) -> str:
-    """``landing_path`` of a file name that is already on the driver."""
-    root = urlparse(landing_root).path.rstrip("/") + "/"
-    return path.split(root, 1)[1] if root in path else path
+    """Path of the scanned file below ``landing_root`` (the whole path if it lies elsewhere), as
+    the file system names it."""
+    return LG.below(LG.decoded(F.col("_metadata.file_path")), landing_root)
 
 
 def with_lineage(df: DataFrame, source_file: Column | str | None = None,
@@ -176,12 +171,55 @@ def month_files(months: Iterable[str], pattern: str = "trips_{month}.parquet") -
 
 def load_months(spark: SparkSession, landing_dir: str, months: Iterable[str],
                 pattern: str = "trips_{month}.parquet", loaded_at: Column | None = None) -> DataFrame:
-    """Backfill: the chosen month files scanned by one Spark job and projected into the raw schema."""
+    """Backfill: the chosen month files, whatever their vintages, projected into the raw schema."""
     paths = [f"{landing_dir.rstrip('/')}/{f}" for f in month_files(months, pattern)]
-    land = spark.read.parquet(*paths)
-    if "_source_file" in land.columns:
-        return ingest_trips(land, loaded_at=loaded_at)
-    return ingest_trips(land, source_file=landing_path(landing_dir), loaded_at=loaded_at)
+
+    def project(land: DataFrame) -> DataFrame:
+        if "_source_file" in land.columns:
+            return ingest_trips(land, loaded_at=loaded_at)
+        return ingest_trips(land, source_file=landing_path(landing_dir), loaded_at=loaded_at)
+
+    return union_of([project(spark.read.schema(schema).parquet(*some)) for schema, some in vintages(spark, paths)])
+
+
+def union_of(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def vintages(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by schema: ``(schema, paths)`` with one physical type per column.
+
+    Spark merges the footers of a group in parallel, column spellings that differ in case
+    included; where two files disagree on a type the group is halved.  Files of a vintage stand
+    together when sorted by name, so this takes a few merges per vintage, not one per file.
+    Columns that only some files of a group have are NULL in the others.
+    """
+    reader = spark.read.option("mergeSchema", "true")
+    if base is not None:
+        reader = reader.option("basePath", base)
+
+    def split(some: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        try:
+            return [(reader.parquet(*some).schema, some)]
+        except (PySparkException, Py4JJavaError) as e:  # the merge runs in a job: its error, as it is
+            if len(some) == 1 or "CANNOT_MERGE" not in str(e):  # what is not a clash of types is an error
+                raise
+        half = len(some) // 2
+        return split(some[:half]) + split(some[half:])
+
+    out: list[tuple[dict, T.StructType, list[str]]] = []
+    for schema, some in split(sorted(paths)):
+        types = {f.name.lower(): f.dataType for f in schema.fields}
+        for i, (held, first, files) in enumerate(out):
+            if held == types:  # halves of one vintage come together again
+                out[i] = (held, first, files + some)
+                break
+        else:
+            out.append((types, schema, some))
+    return [(schema, some) for _, schema, some in out]
 
 
 def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root: str | None = None,
@@ -189,13 +227,18 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root
                schema: T.StructType | None = None, landing_root: str | None = None) -> DataFrame:
     """The load job: landing files -> raw table (partitioned by ``_source_file, _source_path``).
 
-    * new files are resolved first, by their path below the landing folder against the
-      table's partition values, and only those are read; ``force`` reads all of them;
+    * files to read are resolved first: those whose path below the landing folder, length and
+      modification time the table's ledger (:mod:`.ledger`) doesn't hold.  So a file replaced
+      under its name is read again and its rows take the place of the earlier ones; ``force``
+      reads all files;
+    * files of several vintages may come together: each group of files with the same column
+      types is read with its own schema and cast to the raw one (:func:`vintages`);
     * ``_source_file`` is ``source_file_col`` (e.g. a partition column of the landing layout)
       or else the path itself;
     * ``replace=False`` with ``force`` adds a later batch (resolved downstream by the
       latest-batch rule); otherwise each file's own partition is written, so repeating a load
-      after a failure changes nothing and no file touches what another one wrote;
+      after a failure changes nothing and no file touches what another one wrote.  The ledger
+      is written last: a load that failed before is done again;
     * any malformed value aborts the whole load (strict casts);
     * returns the rows loaded per source file by this call, counted from the written table.
     """
@@ -203,21 +246,21 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root
 
     paths = [paths] if isinstance(paths, str) else list(paths)
     landing_root = landing_root or _root_of(paths)
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    whole = reader.parquet(*paths)
     exists = TB.kind(spark, table) == "table"
-    # the file list of the landing folder and the table's partition values: names, on the driver anyway
-    files = {below_root(f, landing_root): f for f in whole.inputFiles()}
-    known = {r[0] for r in spark.table(table).select("_source_path").distinct().collect()} if exists and not force else set()
-    new = sorted(set(files) - known)
-    names = spark.createDataFrame([(n,) for n in new], "_source_path string")
-    if new:
-        land = whole
-        if known & set(files):  # partition columns of the landing layout come from the folders above a file
-            some = spark.read.schema(whole.schema).option("basePath", landing_root)
-            land = some.parquet(*[files[n] for n in new])
-        path = landing_path(landing_root)
-        raw = ingest_trips(land, source_file=F.col(source_file_col) if source_file_col else path, source_path=path)
+    files = LG.listing(spark, paths, landing_root)
+    if exists and not force:
+        if not spark.catalog.tableExists(LG.name_of(table)):  # a table of an earlier layout: take its files as they are
+            LG.record(files.join(spark.table(table).select("_source_path").distinct(), "_source_path", "left_semi"), table, root)
+        files = LG.to_read(files, table)
+    chosen = files.collect()  # what this call reads
+    names = spark.createDataFrame([(r["_source_path"],) for r in chosen], "_source_path string")
+    if chosen:
+        new = [LG.as_path(r["path"]) for r in chosen]
+        groups = [(schema, new)] if schema is not None else vintages(spark, new, landing_root)
+        path = landing_path(landing_root)  # partition columns of the landing layout come from the folders above a file
+        raw = union_of([ingest_trips(spark.read.schema(kind).option("basePath", landing_root).parquet(*some),
+                                     source_file=F.col(source_file_col) if source_file_col else path, source_path=path)
+                        for kind, some in groups])
         parts = ["_source_file", "_source_path"]
         if not exists:
             TB.write_version(raw, table, root, partition_by=parts)
@@ -225,6 +268,7 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root
             TB.append(raw, table)
         else:
             TB.overwrite_partitions(raw, table, parts)
+        LG.record(spark.createDataFrame(chosen, files.schema), table, root)
     elif not exists:
         raise ValueError(f"no landing files below {paths}")
     return spark.table(table).join(names, "_source_path", "left_semi").groupBy("_source_file").agg(

@@ -1,9 +1,11 @@
 """Exactly-once ingest of a landing folder of trip files.
 
 The file source records every file it has handed out in the checkpoint, so a
-file is processed once; each micro-batch then overwrites the partitions of its own files
+path is handed out once; each micro-batch then overwrites the partitions of its own files
 (``_source_file, _source_path``), so a batch replayed after a failure rewrites what the same
-files wrote, and later part files of a known source file add to it.
+files wrote, and later part files of a known source file add to it.  Each batch also enters
+its files in the table's ledger (path, length, modification time): a file that changed under
+its path, which the file source never hands out again, is loaded anew from there.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from pyspark.sql import types as T
 
 from ..operators import tables as TB
 from ..schemas import RAW_TRIPS
-from ..sources.ingest import ingest_trips, landing_path
+from ..sources import ledger as LG
+from ..sources.ingest import ingest_trips, landing_path, load_files
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
@@ -33,15 +36,27 @@ def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     path = landing_path(landing_dir)
     file_col = F.col(source_file_col) if source_file_col else path
-    stream = reader.parquet(landing_dir).select("*", file_col.alias("__file"), path.alias("__path"))
+    stream = reader.parquet(landing_dir).select(
+        "*", file_col.alias("__file"), path.alias("__path"), F.col("_metadata.file_size").alias("__length"),
+        F.col("_metadata.file_modification_time").alias("__modified"))
     parts = ["_source_file", "_source_path"]
 
+    def reload_changed(session: SparkSession) -> None:
+        changed = LG.changed(LG.listing(session, [landing_dir], landing_dir), table).select("path").collect()
+        if changed:
+            load_files(session, [LG.as_path(r["path"]) for r in changed], table, root, replace=True,
+                       source_file_col=source_file_col, schema=landing_schema, landing_root=landing_dir)
+
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         raw = ingest_trips(batch, raw_schema, source_file="__file", source_path="__path")
         if TB.kind(batch.sparkSession, table) is None:
             TB.write_version(raw, table, root, partition_by=parts)
         else:
             TB.overwrite_partitions(raw, table, parts)
+        LG.record(batch.select(F.col("__path").alias("_source_path"), F.col("__length").alias("length"),
+                               F.col("__modified").alias("modified")).distinct(), table, root)
+        if not available_now:
+            reload_changed(batch.sparkSession)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -51,4 +66,6 @@ def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     q = w.start()
     if available_now:
         q.awaitTermination()
+        if spark.catalog.tableExists(LG.name_of(table)):
+            reload_changed(spark)
     return q
