@@ -532,3 +532,4 @@ _CHANGED = ("select * exclude (_loaded_at, _source_file), 'trips first.parquet'
             "from raw_trips where tpep_pickup_datetime >= timestamp '2024-01-16' and payment_type <> 0")
 ORACLES["src_05_changed"] = q(_CHANGED)
 ORACLES["str_01_changed"] = q(_CHANGED)
+ORACLES["str_02_aggregate"] = ORACLES["agg_03"]

@@ -1217,3 +1217,40 @@ def str_01_changed(spark, d):
             replace()
         stream_ingest(spark, f"{base}/landing", name, f"{base}/checkpoint", schema, root=f"{base}/wh")
     return spark.table(name).drop("_loaded_at", "_source_path")
+
+
+@register("str_02_aggregate")
+def str_02_aggregate(spark, d):
+    """Airport economics kept up to date from partials per file: first build, then a wrong file
+    replaced and a new one added, then one removed.  Only the files concerned are read."""
+    from ..sources import ledger as LG
+    from ..streaming import Measure, maintain_aggregate
+
+    base, raw_t, name = _scratch(spark, "maintained"), _tname("raw_trips_agg"), _tname("airport_economics_kept")
+    landing = f"{base}/landing"
+    land = D.landing_trips(spark, d).drop("_loaded_at", "_source_file")
+    third = F.dayofmonth("tpep_pickup_datetime") % 3
+    files = {f"trips part {i}.parquet": land.filter(third == i) for i in range(3)}
+    measures = [Measure("trips", "count"), Measure("avg_miles", "avg", "trip_distance_miles", 2),
+                Measure("avg_minutes", "avg", "trip_duration_minutes", 1), Measure("avg_total", "avg", "total_amount", 2)]
+
+    def run() -> dict:
+        ING.load_files(spark, landing, raw_t, root=f"{base}/wh")
+        now = LG.listing(spark, [landing], landing).select(
+            F.col("_source_path").alias("_source_file"), F.concat_ws("/", "length", F.unix_micros("modified")).alias("version"))
+        f = M.fct_trips(M.stg_trips(spark.table(raw_t)), dim(spark, d)).filter(F.col("rate_type").isin("Standard", "JFK", "Newark"))
+        return maintain_aggregate(spark, name, f, "_source_file", ["rate_type"], measures, now, root=f"{base}/wh")
+
+    a, b, c = files
+    _write_file(files[a], f"{landing}/{a}")
+    _write_file(files[b].withColumn("total_amount", F.col("total_amount") + 7).filter("payment_type <> 1"), f"{landing}/{b}")
+    _write_file(files[c], f"{landing}/gone.parquet")
+    assert run() == {"mode": "initial", "parts_read": 3}
+    _write_file(files[b], f"{landing}/{b}")
+    _write_file(files[c], f"{landing}/{c}")
+    assert run() == {"mode": "incremental", "parts_read": 2}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    gone = hadoop.Path(f"{landing}/gone.parquet")
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, False)
+    assert run() == {"mode": "incremental", "parts_read": 0} and run() == {"mode": "noop", "parts_read": 0}
+    return spark.table(name)

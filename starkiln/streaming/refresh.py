@@ -46,3 +46,61 @@ def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: st
     if available_now:
         q.awaitTermination()
     return q
+
+
+# -- tables with refresh settings --------------------------------------------------------------
+PROPERTY = "starkiln."
+INITIALIZE = ("on_create", "on_schedule")
+
+
+def _settings(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"][len(PROPERTY):]: r["value"] for r in rows if r["key"].startswith(PROPERTY)}
+
+
+def _set(spark: SparkSession, name: str, **values) -> None:
+    given = ", ".join(f"'{PROPERTY}{k}' = '{v}'" for k, v in values.items() if v is not None)
+    if given:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({given})")
+
+
+def create_refreshed(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], target_lag: str,
+                     mode: str = "full", initialize: str = "on_create", root: str | None = None) -> dict:
+    """Create a table that :func:`refresh_if_due` keeps within ``target_lag`` (an interval such as
+    ``'1 hour'``) of its sources.  ``on_create`` fills it now, ``on_schedule`` leaves it empty
+    until the first refresh.  Settings are kept as table properties."""
+    if initialize not in INITIALIZE:
+        raise ValueError(f"unknown initialize {initialize!r}")
+    if mode not in ("full", "incremental"):
+        raise ValueError(f"unknown refresh mode {mode!r}")
+    first = model(spark)
+    sinks.as_table(first if initialize == "on_create" else first.limit(0), name, root=root)
+    _set(spark, name, target_lag=target_lag, refresh_mode=mode)
+    if initialize == "on_create":
+        _set(spark, name, refreshed_at=_micros(spark))
+    return {"initialized": initialize == "on_create"}
+
+
+def alter_refreshed(spark: SparkSession, name: str, target_lag: str | None = None, mode: str | None = None) -> None:
+    """Change the lag or the mode; the table's rows stay as they are."""
+    if mode not in (None, "full", "incremental"):
+        raise ValueError(f"unknown refresh mode {mode!r}")
+    _set(spark, name, target_lag=target_lag, refresh_mode=mode)
+
+
+def _micros(spark: SparkSession) -> int:
+    return spark.sql("select unix_micros(current_timestamp()) as m").first()["m"]
+
+
+def refresh_if_due(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], root: str | None = None,
+                   force: bool = False, **incremental_opts) -> dict:
+    """Refresh ``name`` in its mode if its last refresh is longer ago than its lag (or never was)."""
+    s = _settings(spark, name)
+    now = _micros(spark)
+    lag = spark.sql(f"select unix_micros(timestamp_micros({now}) + interval {s['target_lag']}) - {now} as m").first()["m"]
+    if not force and "refreshed_at" in s and now - int(s["refreshed_at"]) < lag:
+        return {"mode": "fresh"}
+    mode = s["refresh_mode"]
+    done = refresh(spark, name, model, mode, root=root, **(incremental_opts if mode == "incremental" else {}))
+    _set(spark, name, target_lag=s["target_lag"], refresh_mode=mode, refreshed_at=now)
+    return done
