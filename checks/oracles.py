@@ -533,3 +533,6 @@ _CHANGED = ("select * exclude (_loaded_at, _source_file), 'trips first.parquet'
 ORACLES["src_05_changed"] = q(_CHANGED)
 ORACLES["str_01_changed"] = q(_CHANGED)
 ORACLES["str_02_aggregate"] = ORACLES["agg_03"]
+ORACLES["inc_03_buckets"] = ORACLES["inc_03"]
+ORACLES["inc_02_buckets"] = ORACLES["inc_02_composite"]
+ORACLES["str_02_stream_buckets"] = ORACLES["str_02_stream"]

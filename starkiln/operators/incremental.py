@@ -7,6 +7,8 @@ delta, reconciles schemas, and stores the new state the cheapest correct way:
 * key == partition columns (the pipeline's delete+insert on ``_source_file``):
   dynamic partition overwrite -- the target is never read, only the touched
   partitions are rewritten;
+* a table stored in buckets of its key (``key_buckets``): merge and delete+insert on that key
+  read and rewrite the buckets of the delta's keys only;
 * other keys: ``target anti-join distinct delta keys  UNION ALL  delta``
   written as a new table version (a plain anti join).
 """
@@ -23,6 +25,9 @@ from . import schema_change as SC
 from . import tables as TB
 from .filters import literal_of
 
+#: Partition column of a table stored in buckets of its key.
+KEY_BUCKET = "_key_bucket"
+
 STRATEGIES = ("append", "delete+insert", "merge", "insert_overwrite", "microbatch")
 
 
@@ -282,6 +287,26 @@ def stable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a key: by the text of its values, so it doesn't depend on the delta's types."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def key_layout(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
+    """``(keys, buckets)`` of a table stored in buckets of its key, else None."""
+    if TB.kind(spark, name) != "table" or KEY_BUCKET not in spark.table(name).columns:
+        return None
+    p = TB.properties(spark, name)
+    return p["bucket_keys"].split(","), int(p["key_buckets"])
+
+
+def touched_buckets(target: DataFrame, delta: DataFrame) -> DataFrame:
+    """Target rows in the buckets that the delta's keys fall in.  There are at most as many as
+    the table has buckets; they enter the plan as literals, so the scan is pruned to them."""
+    hit = sorted(r[0] for r in delta.select(KEY_BUCKET).distinct().collect())
+    return target.filter(F.col(KEY_BUCKET).isin(hit))
+
+
 def reads_table(spark: SparkSession, df: DataFrame, name: str) -> bool:
     """Whether the plan of ``df`` scans files of table ``name``."""
     at = TB.location(spark, name).split(":", 1)[-1].replace("//", "/").rstrip("/") + "/"
@@ -290,20 +315,39 @@ def reads_table(spark: SparkSession, df: DataFrame, name: str) -> bool:
 
 def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+insert", unique_key=None,
                 on_schema_change: str = "ignore", predicates=None, full_refresh: bool = False,
-                partition_by: Sequence[str] = (), root: str | None = None, **opts) -> dict:
+                partition_by: Sequence[str] = (), root: str | None = None, key_buckets: int | None = None, **opts) -> dict:
     """Build or update table ``name`` from ``model`` (a DataFrame, or ``fn(spark, is_incremental) -> DataFrame``).
 
     Returns ``{"mode": ..., "rows_inserted": n}``.  Commits: ``append`` and a whole-partition
     overwrite are one write; a table rewrite is one new version and one switch; a scoped
     rewrite replaces its partitions in one write and then clears those left empty, so a
     failure between the two leaves rows that the next run clears.
+
+    ``key_buckets`` (first build): store the table in that many buckets of ``unique_key``, as the
+    partition column ``_key_bucket``.  A merge or delete+insert on that key then reads and
+    rewrites the buckets of the delta's keys only.  Choose it so that a bucket is a few files;
+    a table keeps its buckets until it is dropped.
     """
+    layout = key_layout(spark, name)
     inc = is_incremental(spark, name, full_refresh)
     df = model(spark, inc) if callable(model) else model
+    if not inc and (key_buckets or layout):
+        bucket_keys, n_buckets = layout or (_keys(unique_key), key_buckets)
+        if not bucket_keys or partition_by:
+            raise ValueError("buckets need a unique_key and stand alone as partitions")
+        layout, partition_by = (bucket_keys, n_buckets), [KEY_BUCKET]
+    if layout:
+        df = df.drop(KEY_BUCKET).withColumn(KEY_BUCKET, bucket_of(*layout))
+
+    def keep_layout() -> None:  # a partitioned table is defined anew by a rewrite
+        if layout:
+            TB.set_properties(spark, name, bucket_keys=",".join(layout[0]), key_buckets=layout[1])
+
     if not inc:
         if TB.kind(spark, name) == "view":
             TB.drop(spark, name)
         TB.write_version(df, name, root, partition_by)
+        keep_layout()
         return {"mode": "full", "rows_inserted": spark.table(name).count()}
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown incremental strategy {strategy!r}")
@@ -341,6 +385,17 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
         return {"mode": "partition_overwrite", "rows_inserted": n}
     delta = stable(delta)
     n = delta.count()
+    if not schema_changed and layout and keys == layout[0] and strategy in ("delete+insert", "merge"):
+        t_scope = touched_buckets(target2, delta)
+        if strategy == "delete+insert":
+            new = apply_delete_insert(t_scope, delta, keys, predicates)
+        else:
+            update = opts.get("merge_update_columns")
+            new = apply_merge(t_scope, delta, keys, [*_keys(update), KEY_BUCKET] if update else None,
+                              opts.get("merge_exclude_columns"), predicates)
+        if n:
+            TB.overwrite_partitions(stable(new), name, parts)
+        return {"mode": "bucket_rewrite", "rows_inserted": n}
     scoped = (not schema_changed and parts and keys and strategy in ("delete+insert", "merge")
               and {p.lower() for p in parts} <= {k.lower() for k in keys})
     if scoped:
@@ -383,4 +438,5 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
     else:
         new = apply_append(target2, delta)
     TB.write_version(new, name, root, parts)
+    keep_layout()
     return {"mode": "rewrite", "rows_inserted": n}

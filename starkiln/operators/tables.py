@@ -17,6 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Prefix of the library's own table properties.
+PREFIX = "starkiln."
+
+
 def exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -47,6 +51,18 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return out
 
 
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
+    """The library's own properties of a table, without their prefix."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"].removeprefix(PREFIX): r["value"] for r in rows if r["key"].startswith(PREFIX)}
+
+
+def set_properties(spark: SparkSession, name: str, **values) -> None:
+    given = ", ".join(f"'{PREFIX}{k}' = '{v}'" for k, v in values.items() if v is not None)
+    if given:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({given})")
+
+
 def base_path(spark: SparkSession, name: str, root: str | None = None) -> str:
     """Where versions of ``name`` live: ``root/name`` or the warehouse dir."""
     root = root or spark.conf.get("spark.sql.warehouse.dir")

@@ -1254,3 +1254,36 @@ def str_02_aggregate(spark, d):
     gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, False)
     assert run() == {"mode": "incremental", "parts_read": 0} and run() == {"mode": "noop", "parts_read": 0}
     return spark.table(name)
+
+
+@register("inc_03_buckets")
+def inc_03_buckets(spark, d):
+    """A merge on a key that is no partition: the table is stored in buckets of the key."""
+    name = _tname("orders_buckets")
+    INC.incremental(spark, name, D.table(spark, d, "orders"), unique_key="o_orderkey", key_buckets=16, root=_scratch(spark, "wh"))
+    done = INC.incremental(spark, name, _orders_delta(spark, d), "merge", "o_orderkey")
+    assert done["mode"] == "bucket_rewrite", done
+    return spark.table(name).drop(INC.KEY_BUCKET)
+
+
+@register("inc_02_buckets")
+def inc_02_buckets(spark, d):
+    """delete+insert on a composite key in buckets; key tuples repeat in this table."""
+    name, keys = _tname("lines_buckets"), ["l_orderkey", "l_linenumber"]
+    INC.incremental(spark, name, D.table(spark, d, "lineitem"), unique_key=keys, key_buckets=16, root=_scratch(spark, "wh"))
+    INC.incremental(spark, name, _lineitem_delta(spark, d), "delete+insert", keys, predicates=["l_linestatus = 'F'"])
+    return spark.table(name).drop(INC.KEY_BUCKET)
+
+
+@register("str_02_stream_buckets")
+def str_02_stream_buckets(spark, d):
+    """str_02_stream with the table in buckets of its key: a micro-batch rewrites its own."""
+    from ..streaming import refresh_stream
+
+    base, name = _scratch(spark, "lag"), _tname("orders_refreshed_buckets")
+    o = D.table(spark, d, "orders")
+    for part in (o, o.filter(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)):
+        part.write.mode("append").parquet(f"{base}/landing")
+        refresh_stream(spark.readStream.schema(o.schema).parquet(f"{base}/landing"), name, f"{base}/checkpoint",
+                       unique_key="o_orderkey", available_now=True, key_buckets=16)
+    return spark.table(name).drop(INC.KEY_BUCKET)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import incremental as INC
 from ..operators import sinks
+from ..operators import tables as TB
 
 
 def refresh(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], mode: str = "full",
@@ -23,7 +24,7 @@ def refresh(spark: SparkSession, name: str, model: Callable[[SparkSession], Data
 
 def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: str = "1 minute",
                    transform: Callable[[DataFrame], DataFrame] | None = None, strategy: str | None = None,
-                   unique_key=None, available_now: bool = False):
+                   unique_key=None, available_now: bool = False, key_buckets: int | None = None):
     """Streaming refresh: every ``target_lag`` the new source rows are transformed and applied
     to ``name`` with ``strategy``.
 
@@ -31,14 +32,15 @@ def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: st
     Keyed strategies (``delete+insert``, ``merge``) are also idempotent if a batch
     is replayed after a failure between the table write and the checkpoint commit;
     ``append`` is then at-least-once, so pass a ``unique_key`` (the default strategy
-    becomes ``merge``) when a replay must not duplicate rows.
+    becomes ``merge``) when a replay must not duplicate rows.  With ``key_buckets`` a
+    micro-batch rewrites the buckets of its keys instead of the table.
     """
     if strategy is None:
         strategy = "merge" if unique_key else "append"
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         out = transform(batch) if transform else batch
-        INC.incremental(batch.sparkSession, name, out, strategy=strategy, unique_key=unique_key)
+        INC.incremental(batch.sparkSession, name, out, strategy=strategy, unique_key=unique_key, key_buckets=key_buckets)
 
     w = source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=target_lag)
@@ -49,21 +51,9 @@ def refresh_stream(source: DataFrame, name: str, checkpoint: str, target_lag: st
 
 
 # -- tables with refresh settings --------------------------------------------------------------
-PROPERTY = "starkiln."
 INITIALIZE = ("on_create", "on_schedule")
 
 
-def _settings(spark: SparkSession, name: str) -> dict[str, str]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    return {r["key"][len(PROPERTY):]: r["value"] for r in rows if r["key"].startswith(PROPERTY)}
-
-
-def _set(spark: SparkSession, name: str, **values) -> None:
-    given = ", ".join(f"'{PROPERTY}{k}' = '{v}'" for k, v in values.items() if v is not None)
-    if given:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({given})")
-
-
 def create_refreshed(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], target_lag: str,
                      mode: str = "full", initialize: str = "on_create", root: str | None = None) -> dict:
     """Create a table that :func:`refresh_if_due` keeps within ``target_lag`` (an interval such as
@@ -75,9 +65,9 @@ def create_refreshed(spark: SparkSession, name: str, model: Callable[[SparkSessi
         raise ValueError(f"unknown refresh mode {mode!r}")
     first = model(spark)
     sinks.as_table(first if initialize == "on_create" else first.limit(0), name, root=root)
-    _set(spark, name, target_lag=target_lag, refresh_mode=mode)
+    TB.set_properties(spark, name, target_lag=target_lag, refresh_mode=mode)
     if initialize == "on_create":
-        _set(spark, name, refreshed_at=_micros(spark))
+        TB.set_properties(spark, name, refreshed_at=_micros(spark))
     return {"initialized": initialize == "on_create"}
 
 
@@ -85,7 +75,7 @@ def alter_refreshed(spark: SparkSession, name: str, target_lag: str | None = Non
     """Change the lag or the mode; the table's rows stay as they are."""
     if mode not in (None, "full", "incremental"):
         raise ValueError(f"unknown refresh mode {mode!r}")
-    _set(spark, name, target_lag=target_lag, refresh_mode=mode)
+    TB.set_properties(spark, name, target_lag=target_lag, refresh_mode=mode)
 
 
 def _micros(spark: SparkSession) -> int:
@@ -95,12 +85,12 @@ def _micros(spark: SparkSession) -> int:
 def refresh_if_due(spark: SparkSession, name: str, model: Callable[[SparkSession], DataFrame], root: str | None = None,
                    force: bool = False, **incremental_opts) -> dict:
     """Refresh ``name`` in its mode if its last refresh is longer ago than its lag (or never was)."""
-    s = _settings(spark, name)
+    s = TB.properties(spark, name)
     now = _micros(spark)
     lag = spark.sql(f"select unix_micros(timestamp_micros({now}) + interval {s['target_lag']}) - {now} as m").first()["m"]
     if not force and "refreshed_at" in s and now - int(s["refreshed_at"]) < lag:
         return {"mode": "fresh"}
     mode = s["refresh_mode"]
     done = refresh(spark, name, model, mode, root=root, **(incremental_opts if mode == "incremental" else {}))
-    _set(spark, name, target_lag=s["target_lag"], refresh_mode=mode, refreshed_at=now)
+    TB.set_properties(spark, name, target_lag=s["target_lag"], refresh_mode=mode, refreshed_at=now)
     return done
