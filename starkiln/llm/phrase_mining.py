@@ -3,36 +3,37 @@
 After ERA (Mansour et al., "ERA: efficient serial and parallel suffix tree construction for
 very long strings", 2011), over words instead of characters and cut at three words:
 
-1. *Suffixes.*  A task counts the suffixes of its pieces, each cut to three words ('' where the
-   piece ends), in chunks of bounded size, and writes one row per distinct suffix and chunk.
-2. *Vertical partitioning.*  A word prefix is a unit of work if its suffix rows fit the memory
-   budget; a larger one is extended by the next word, so no unit, and no join key below, holds
-   more rows than the budget.  Units are packed into groups of about one budget by running
-   sums.  A prefix of three words is a leaf and needs no tree.
-3. *Subtrees.*  A group's suffix rows meet in one task, which sorts them (that is the subtree:
-   a node is a run of equal prefixes) and reads every node's count from its leaf totals.  No
-   group needs anything of another one.  Counts of prefixes above a unit are known from step 2.
+1. *Suffixes.*  A task counts the suffixes of its pieces, each cut to three words, in chunks of
+   bounded size.  A chunk leaves one row per first word: its suffixes packed behind it.
+2. *Vertical partitioning.*  Prefix counts are sums over these rows.  A word whose suffixes fit
+   the memory budget is a prefix of its own.  A larger one is extended by its next words, taken
+   together in as many parts (by a hash of the next word) as the budget asks for; a part that
+   is still larger, as it holds a very frequent pair, is extended by the third words alike.  So
+   no shuffle key holds more than about the budget.
+3. *Subtrees.*  Rows are dealt and sorted by prefix.  A task takes prefixes up to the budget as a
+   group, builds their subtrees (tries of the packed suffixes, independent of every other
+   group's) and reads each node's count from its leaf totals.  The counts of extended words
+   are known from step 2; a pair cut by third words adds up its parts.
 
 Then candidates, cuts and the ranking are joins and windows on the counted phrases.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from itertools import zip_longest
+import zlib
+from array import array
+from itertools import repeat, zip_longest
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import spread_join, stored
 
-#: Suffix rows that a subtree is built from at a time.
-BUDGET = 200_000
+#: Suffixes (leaves) that subtrees are built from at a time.
+BUDGET = 400_000
 #: Distinct suffixes a task holds before it writes them.
-CHUNK = 200_000
+CHUNK = 600_000
 #: Words of a piece taken at a time.
 STEP = 50_000
 #: ASCII letters to lower case; piece ends to a line feed; a tab to a blank.
@@ -45,87 +46,127 @@ _MAP[9] = 32
 TABLE = bytes(_MAP)
 
 WORDS = ["w1", "w2", "w3"]
-LEAF = "lang string, w1 string, w2 string, w3 string, c long"
+#: One row per chunk and prefix: how many suffixes and occurrences, then the suffixes behind the
+#: first word (joined by line feeds, which no word holds) and their counts (none if all are 1).
+ROW = "lang string, w1 string, part string, leaves int, f long, tails binary, counts binary"
 NODE = "lang string, depth int, w1 string, w2 string, w3 string, f long"
+COLUMNS = [x.split()[0] for x in ROW.split(", ")]
 
 
-def _leaf_batch(counts: dict) -> pa.RecordBatch:
-    langs, cols, c = [], ([], [], []), []
-    for lang, held in counts.items():
-        langs += [lang] * len(held)
-        for k in range(3):
-            cols[k].extend(t[k] for t in held)
-        c += held.values()
-    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), *[pa.array(x, pa.string()) for x in cols], pa.array(c, pa.int64())],
-                                      names=["lang", *WORDS, "c"])
+def _rows(held: list) -> pa.RecordBatch:
+    """held: ((lang, word, part), {suffix behind the word: count})."""
+    out = []
+    for prefix, tails in held:
+        f = sum(tails.values())
+        out.append((*prefix, len(tails), f, b"\n".join(tails), b"" if f == len(tails) else array("i", tails.values()).tobytes()))
+    kinds = [pa.string()] * 3 + [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 7, kinds)], names=COLUMNS)
+
+
+def _unpacked(tails: bytes, counts: bytes):
+    return zip(tails.split(b"\n"), array("i", counts) if counts else repeat(1))
 
 
 def _suffixes(batches):
-    """Counts of three-word suffixes; '' stands for the end of the piece."""
-    counts, size = defaultdict(dict), 0
+    """Packed suffixes of chunks of documents; shorter where a piece ends."""
+    held, size = {}, 0
+
+    def flush():
+        rows = [((lang, w1, ""), dict(sorted(tails.items()))) for (lang, w1), tails in held.items()]
+        for at in range(0, len(rows), 20_000):
+            yield _rows(rows[at:at + 20_000])
+
     for b in batches:
-        langs = b.column(0).to_pylist()
-        for i, lang in enumerate(langs):
-            text = b.column(1)[i].as_buffer()
-            held = counts[lang]
-            before = len(held)
-            for piece in text.to_pybytes().translate(TABLE).split(b"\n"):
-                ws = piece.split(b" ") if b"  " not in piece else [w for w in piece.split(b" ") if w]
-                if ws and not ws[0]:
-                    ws = ws[1:]
-                if ws and not ws[-1]:
-                    ws.pop()
+        for i, lang in enumerate(b.column(0).to_pylist()):
+            for piece in b.column(1)[i].as_buffer().to_pybytes().translate(TABLE).split(b"\n"):
+                ws = [w for w in piece.split(b" ") if w]
                 for at in range(0, len(ws), STEP):
-                    a = ws[at:at + STEP]
-                    for t in zip_longest(a, ws[at + 1:at + 1 + STEP], ws[at + 2:at + 2 + STEP], fillvalue=b""):
-                        held[t] = held.get(t, 0) + 1
-                    if len(held) > CHUNK:
-                        yield _leaf_batch({lang: held})
-                        size -= before
-                        held = counts[lang] = {}
-                        before = 0
-            size += len(held) - before
-            if size > CHUNK:
-                yield _leaf_batch(counts)
-                counts, size = defaultdict(dict), 0
-    if any(counts.values()):
-        yield _leaf_batch(counts)
-
-
-def subtree(rows: pa.Table, depth: int) -> pa.Table:
-    """Nodes from ``depth`` words on, with the totals of the leaves below them.
-
-    ``rows``: suffixes (lang, w1, w2, w3, c), repeats allowed.  Sorting by word codes brings the
-    leaves below each node together; a node is a run of equal prefixes.
+                    here = zip_longest(ws[at:at + STEP], ws[at + 1:at + 1 + STEP], ws[at + 2:at + 2 + STEP])
+                    for w1, w2, w3 in here:
+                        tails = held.get((lang, w1))
+                        if tails is None:
+                            tails = held[lang, w1] = {}
+                        tail = b"" if w2 is None else w2 if w3 is None else w2 + b" " + w3
+                        if tail in tails:
+                            tails[tail] += 1
+                        else:
+                            tails[tail] = 1
+                            size += 1
+                    if size > CHUNK:
+                        yield from flush()
+                        held, size = {}, 0
+    yield from flush()
+
+
+def _extended(third: bool):
+    """Rows cut into ``parts`` by a hash of the second word, or of what follows the first one."""
+    def run(batches):
+        for b in batches:
+            for lang, w1, part, parts, tails, counts in zip(*[b.column(n).to_pylist() for n in ("lang", "w1", "part", "parts", "tails", "counts")]):
+                by: dict = {}
+                for tail, c in _unpacked(tails, counts):
+                    at = zlib.crc32(tail if third else tail.partition(b" ")[0]) % parts
+                    by.setdefault(at, {})[tail] = c
+                yield _rows([((lang, w1, f"{part}/{at}"), x) for at, x in by.items()])
+    return run
+
+
+def _nodes(rows: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [[]] * 6
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["lang", "depth", *WORDS, "f"])
+
+
+def subtree(lang: str, w1: str, leaves: dict, min_count: int, extended: int = 0) -> list:
+    """Nodes of one prefix's subtree with their totals: ``(lang, depth, w1, w2, w3, f)``.
+
+    ``leaves``: suffix behind the first word -> count.  The subtree is a trie of them; a node's
+    count is the total of the leaves below it.  ``extended``: how many words the prefix was
+    extended by; the first word is left out if it was, and pairs are all given, however rare,
+    if third words were cut apart.
     """
-    codes = [rows.column(n).combine_chunks().dictionary_encode() for n in ("lang", *WORDS)]
-    keys = [x.indices.to_numpy() for x in codes]
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    c = rows.column("c").to_numpy()[order]
-    new = np.ones(len(c), bool)
-    new[1:] = keys[0][1:] != keys[0][:-1]
-    out = []
-    for d in range(1, 4):
-        new[1:] |= keys[d][1:] != keys[d][:-1]
-        if d < depth:
-            continue
-        starts = np.flatnonzero(new)
-        totals = np.add.reduceat(c, starts)
-        names = [x.dictionary.take(pa.array(k[starts])) for x, k in zip(codes[:d + 1], keys)]
-        blank = pa.array([""] * len(starts), pa.string())
-        names += [blank] * (4 - len(names))
-        node = pa.table({"lang": names[0], "depth": pa.array(np.full(len(starts), d), pa.int32()), "w1": names[1],
-                         "w2": names[2], "w3": names[3], "f": pa.array(totals, pa.int64())})
-        out.append(node.filter(pc.not_equal(names[d], "")))  # a piece that ended above is no node here
-    return pa.concat_tables(out)
-
-
-def _grow(min_count: int):
-    def grow(key, rows):
-        nodes = subtree(rows, key[1].as_py())
-        return nodes.filter(pc.greater_equal(nodes.column("f"), min_count))
-    return grow
+    out, trie = [], {}
+    if not extended:
+        total = sum(leaves.values())
+        if total < min_count:
+            return []
+        out.append((lang, 1, w1, "", "", total))
+    for tail, c in leaves.items():
+        w2, _, w3 = tail.partition(b" ")
+        if w2:
+            trie.setdefault(w2, {})[w3] = c
+    for w2, below in trie.items():
+        f = sum(below.values())
+        if f >= min_count or extended == 2:
+            out.append((lang, 2, w1, w2, "", f))
+            out += [(lang, 3, w1, w2, w3, c) for w3, c in below.items() if w3 and c >= min_count]
+    return out
+
+
+def _trees(min_count: int, budget: int, extended: int):
+    def nodes(group: dict) -> pa.RecordBatch:
+        return _nodes([x for (lang, w1, _), v in group.items() for x in subtree(lang, w1, v, min_count, extended)])
+
+    def run(batches):
+        """Rows sorted by prefix.  Prefixes are gathered up to the budget, their subtrees built
+        and let go; a prefix is in one task only."""
+        group: dict = {}
+        size = 0
+        for b in batches:
+            for key, tails, counts in zip(*[b.column(n).to_pylist() for n in ("key", "tails", "counts")]):
+                w1, part, lang = key.split(" ", 2)
+                leaves = group.get((lang, w1, part))
+                if leaves is None:
+                    if size >= budget:  # the prefix before this one is whole
+                        yield nodes(group)
+                        group, size = {}, 0
+                    leaves = group[lang, w1, part] = {}
+                before = len(leaves)
+                for tail, c in _unpacked(tails, counts):
+                    leaves[tail] = leaves.get(tail, 0) + c
+                size += len(leaves) - before
+        yield nodes(group)
+    return run
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10,
@@ -134,41 +175,35 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     (lang, depth, w1, w2, w3, f), and all word occurrences per language (lang, n)."""
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    leaves = stored(src.mapInArrow(_suffixes, LEAF), "suffixes")
-
-    def units(rows: DataFrame, depth: int) -> DataFrame:
-        return rows.groupBy("lang", *WORDS[:depth]).agg(F.sum("c").alias("f"), F.count("*").alias("rows"))
-
-    one = stored(units(leaves, 1), "prefix1")
-    totals = one.groupBy("lang").agg(F.sum("f").alias("n"))
-    often = F.col("f") >= min_count  # below it, nothing under the prefix can reach it either
-    hot1 = one.filter((F.col("rows") > budget) & often).select("lang", "w1")
-    under1 = leaves.join(hot1, ["lang", "w1"], "left_semi")
-    two = stored(units(under1, 2), "prefix2")
-    hot2 = two.filter((F.col("rows") > budget) & often & (F.col("w2") != "")).select("lang", "w1", "w2")
-    three = units(under1.join(hot2, ["lang", "w1", "w2"], "left_semi"), 3)
-
-    small1 = one.filter((F.col("rows") <= budget) & often).select("lang", "w1", F.lit("").alias("w2"), F.lit(1).alias("depth"), "rows")
-    small2 = two.filter((F.col("rows") <= budget) & often).select("lang", "w1", "w2", F.lit(2).alias("depth"), "rows")
-    small = small1.unionByName(small2)
-    every = small.agg(F.sum("rows")).first()[0] or 0
-    buckets = int(every // (4 * budget)) + 1
-    run = Window.partitionBy("bucket", "depth").orderBy("lang", "w1", "w2").rowsBetween(Window.unboundedPreceding, -1)
-    groups = stored(
-        small.withColumn("bucket", F.pmod(F.xxhash64("lang", "w1", "w2"), F.lit(buckets)))
-        .withColumn("part", F.floor(F.coalesce(F.sum("rows").over(run), F.lit(0)) / budget))
-        .select("lang", "w1", "w2", "depth", (F.col("bucket") * F.lit(1 << 20) + F.col("part")).alias("grp")), "groups")
-    at1 = groups.filter("depth = 1").select("lang", "w1", "depth", "grp")
-    at2 = groups.filter("depth = 2").select("lang", "w1", "w2", "depth", "grp")
-    routed = leaves.join(at1, ["lang", "w1"]).select("grp", "depth", "lang", *WORDS, "c").unionByName(
-        under1.join(at2, ["lang", "w1", "w2"]).select("grp", "depth", "lang", *WORDS, "c"))
-    grown = routed.groupBy("grp", "depth").applyInArrow(_grow(min_count), NODE)
-    above = one.filter(F.col("rows") > budget).select("lang", F.lit(1).alias("depth"), "w1", F.lit("").alias("w2"), F.lit("").alias("w3"), "f")
-    above = above.unionByName(two.filter((F.col("rows") > budget) & (F.col("w2") != "")).select(
-        "lang", F.lit(2).alias("depth"), "w1", "w2", F.lit("").alias("w3"), "f"))
-    above = above.unionByName(three.filter(F.col("w3") != "").select("lang", F.lit(3).alias("depth"), *WORDS, "f"))
-    nodes = grown.unionByName(above.filter(F.col("f") >= min_count))
-    return stored(nodes, "phrases"), stored(totals, "totals")
+
+    on = ["lang", "w1", "part"]
+
+    def prefixes(rows: DataFrame) -> DataFrame:
+        return stored(rows.groupBy(*on).agg(F.sum("f").alias("f"), F.sum("leaves").alias("leaves")), "prefixes")
+
+    def too_large(counted: DataFrame) -> DataFrame:
+        large = counted.filter((F.col("leaves") > budget) & (F.col("f") >= min_count))
+        return stored(large.withColumn("parts", F.floor(F.col("leaves") / budget).cast("int") + 1), "extended")
+
+    def dealt(rows: DataFrame, large: DataFrame, extended: int) -> DataFrame:
+        """Subtrees of the prefixes that fit the budget (a word holds no blank)."""
+        small = rows.join(large.select(*on), on, "left_anti").select(F.concat_ws(" ", "w1", "part", "lang").alias("key"), "tails", "counts")
+        return small.repartition("key").sortWithinPartitions("key").mapInArrow(_trees(min_count, budget, extended), NODE)
+
+    def extend(rows: DataFrame, large: DataFrame, third: bool) -> DataFrame:
+        hot = rows.join(large.select(*on, "parts"), on).select(*COLUMNS, "parts")
+        return stored(hot.mapInArrow(_extended(third), ROW), "suffixes")
+
+    rows0 = stored(src.mapInArrow(_suffixes, ROW), "suffixes")
+    one = prefixes(rows0)
+    large0 = too_large(one)
+    rows1 = extend(rows0, large0, False)
+    large1 = too_large(prefixes(rows1))
+    rows2 = extend(rows1, large1, True)
+    cut = dealt(rows2, large1.limit(0), 2).groupBy("lang", "depth", *WORDS).agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
+    words = large0.select("lang", F.lit(1).alias("depth"), "w1", F.lit("").alias("w2"), F.lit("").alias("w3"), "f")
+    nodes = dealt(rows0, large0, 0).unionByName(words).unionByName(dealt(rows1, large1, 1)).unionByName(cut)
+    return stored(nodes, "phrases"), stored(one.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
 
 
 def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = 10, top: int = 2000,
