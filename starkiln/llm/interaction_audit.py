@@ -132,6 +132,7 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, id_col: str
     own.conf.set("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else some MB a store up front
     marks = stored(labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
         F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")), "marks")
