@@ -22,9 +22,11 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from itertools import repeat, zip_longest
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,16 +34,18 @@ from .common import spread_join, stored
 
 #: Suffixes (leaves) that subtrees are built from at a time.
 BUDGET = 400_000
-#: Distinct suffixes a task holds before it writes them.
-CHUNK = 600_000
-#: Words of a piece taken at a time.
-STEP = 50_000
-#: ASCII letters to lower case; piece ends to a line feed; a tab to a blank.
+#: Words and bytes of text that a task holds before it writes their suffixes.  With the words of
+#: a slice at most 2^21, so that three ids fit 63 bits.
+CHUNK = 1_800_000
+ROOM = 64 << 20
+#: Bytes of a text taken at a time.
+STEP = 400_000
+#: ASCII letters to lower case; piece ends to a full stop; a tab to a blank.
 _MAP = bytearray(range(256))
 for _c in range(65, 91):
     _MAP[_c] = _c + 32
 for _c in b".,;:!?\x0a\x0b\x0c\x0d":
-    _MAP[_c] = 10
+    _MAP[_c] = 46
 _MAP[9] = 32
 TABLE = bytes(_MAP)
 
@@ -67,34 +71,88 @@ def _unpacked(tails: bytes, counts: bytes):
     return zip(tails.split(b"\n"), array("i", counts) if counts else repeat(1))
 
 
-def _suffixes(batches):
-    """Packed suffixes of chunks of documents; shorter where a piece ends."""
-    held, size = {}, 0
+class _Ids(dict):
+    """Words to ids in order of appearance; the end of a piece is id 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        return i
+
+
+def _slices(text: bytes):
+    """The text in slices of about ``STEP`` bytes, cut at blanks (a longer word stays whole)."""
+    at = 0
+    while at < len(text):
+        end = text.find(b" ", at + STEP)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end
+
+
+def _packed(lang: str, ids: np.ndarray, words: pa.Array, spaced: pa.Array):
+    """Rows of one language's suffixes.  ``ids``: ranks of the words in text order, 0 behind a
+    piece; a suffix starts at every place but the last two."""
+    first, second, third = ids[:-2], ids[1:-1], ids[2:]
+    here = first != 0
+    first, second, third = first[here], second[here], np.where(second == 0, 0, third)[here]
+    if not len(first):
+        return
+    n = len(words)
+    codes, counts = np.unique((first * n + second) * n + third, return_counts=True)
+    w1, w23 = np.divmod(codes, n * n)
+    w2, w3 = np.divmod(w23, n)
+    tails = pc.binary_join_element_wise(words.take(pa.array(w2)), spaced.take(pa.array(w3)), pa.scalar(b"", pa.binary()))
+    starts = np.flatnonzero(np.diff(w1, prepend=-1))
+    ends = np.append(starts, len(w1)).astype(np.int32)
+    leaves, f = np.diff(ends), np.add.reduceat(counts, starts)
+    several = f != leaves
+    data = counts[np.repeat(several, leaves)].astype(np.int32).tobytes()
+    at = np.append(0, np.cumsum(np.where(several, 4 * leaves, 0))).astype(np.int32)
+    m = len(starts)
+    rows = pa.RecordBatch.from_arrays([
+        pa.repeat(lang, m), words.take(pa.array(w1[starts])).view(pa.string()), pa.repeat("", m), pa.array(leaves, pa.int32()), pa.array(f, pa.int64()),
+        pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), tails), pa.scalar(b"\n", pa.binary())),
+        pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])], names=COLUMNS)
+    for at in range(0, m, 20_000):
+        yield rows.slice(at, 20_000)
+
 
-    def flush():
-        rows = [((lang, w1, ""), dict(sorted(tails.items()))) for (lang, w1), tails in held.items()]
-        for at in range(0, len(rows), 20_000):
-            yield _rows(rows[at:at + 20_000])
+def _suffixes(batches):
+    """Packed suffixes of chunks of documents; shorter where a piece ends.  A chunk may end inside
+    a text: the next one takes over its last two words."""
+    held, vocab, size, room = {}, _Ids({b".": 0}), 0, 0
+
+    def flush(open_lang=None):
+        names = list(vocab)
+        order = sorted(range(1, len(names)), key=names.__getitem__)
+        rank = np.zeros(len(names), np.int64)
+        rank[order] = np.arange(1, len(names))
+        words = [b"", *[names[i] for i in order]]
+        spaced = pa.array([b"", *[b" " + w for w in words[1:]]], pa.binary())
+        words = pa.array(words, pa.binary())
+        last = []
+        for lang, parts in held.items():
+            ids = np.concatenate(parts if lang == open_lang else [*parts, np.zeros(2, np.int32)])
+            if lang == open_lang:
+                last = [names[i] for i in ids[-2:]]
+            yield from _packed(lang, rank[ids], words, spaced)
+        held.clear()
+        vocab.clear()
+        vocab[b"."] = 0
+        if last:
+            held[open_lang] = [np.array([vocab[w] for w in last], np.int32)]
 
     for b in batches:
         for i, lang in enumerate(b.column(0).to_pylist()):
-            for piece in b.column(1)[i].as_buffer().to_pybytes().translate(TABLE).split(b"\n"):
-                ws = [w for w in piece.split(b" ") if w]
-                for at in range(0, len(ws), STEP):
-                    here = zip_longest(ws[at:at + STEP], ws[at + 1:at + 1 + STEP], ws[at + 2:at + 2 + STEP])
-                    for w1, w2, w3 in here:
-                        tails = held.get((lang, w1))
-                        if tails is None:
-                            tails = held[lang, w1] = {}
-                        tail = b"" if w2 is None else w2 if w3 is None else w2 + b" " + w3
-                        if tail in tails:
-                            tails[tail] += 1
-                        else:
-                            tails[tail] = 1
-                            size += 1
-                    if size > CHUNK:
-                        yield from flush()
-                        held, size = {}, 0
+            text = b.column(1)[i].as_buffer().to_pybytes().translate(TABLE).replace(b".", b" . ") + b" ."
+            for piece in _slices(text):
+                if size > CHUNK or room > ROOM:
+                    yield from flush(lang if lang in held else None)
+                    size = room = 0
+                ws = piece.split()
+                held.setdefault(lang, []).append(np.fromiter(map(vocab.__getitem__, ws), np.int32, len(ws)))
+                size += len(ws)
+                room += len(piece)
     yield from flush()
 
 
@@ -111,61 +169,88 @@ def _extended(third: bool):
     return run
 
 
-def _nodes(rows: list) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [[]] * 6
-    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["lang", "depth", *WORDS, "f"])
+def _runs(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and the sums of their counts."""
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    starts = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
 
 
-def subtree(lang: str, w1: str, leaves: dict, min_count: int, extended: int = 0) -> list:
-    """Nodes of one prefix's subtree with their totals: ``(lang, depth, w1, w2, w3, f)``.
+def subtrees(keys: list, prefix: np.ndarray, tails: pa.Array, counts: np.ndarray, min_count: int, extended: int = 0) -> list[pa.RecordBatch]:
+    """Nodes of the subtrees of some prefixes with their totals (``NODE``).
 
-    ``leaves``: suffix behind the first word -> count.  The subtree is a trie of them; a node's
-    count is the total of the leaves below it.  ``extended``: how many words the prefix was
-    extended by; the first word is left out if it was, and pairs are all given, however rare,
-    if third words were cut apart.
+    Leaf ``i`` is suffix ``tails[i]`` behind the first word of ``keys[prefix[i]]``, ``counts[i]``
+    times; a leaf comes once.  Leaves below a node are neighbours once sorted by it; a node's
+    count is their total.  ``extended``: how many words the prefix was extended by; the first
+    word is left out if it was, and pairs are all given, however rare, if third words were cut
+    apart.
     """
-    out, trie = [], {}
+    split = pc.split_pattern(tails, pattern=b" ", max_splits=1)
+    second = pc.list_element(split, 0).dictionary_encode() if len(tails) else pa.array([], pa.binary()).dictionary_encode()
+    names, of = second.dictionary, second.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    there = np.asarray(pc.binary_length(tails)) > 0
+    found = []  # depth, prefix, second word, third word, count
     if not extended:
-        total = sum(leaves.values())
-        if total < min_count:
-            return []
-        out.append((lang, 1, w1, "", "", total))
-    for tail, c in leaves.items():
-        w2, _, w3 = tail.partition(b" ")
-        if w2:
-            trie.setdefault(w2, {})[w3] = c
-    for w2, below in trie.items():
-        f = sum(below.values())
-        if f >= min_count or extended == 2:
-            out.append((lang, 2, w1, w2, "", f))
-            out += [(lang, 3, w1, w2, w3, c) for w3, c in below.items() if w3 and c >= min_count]
-    return out
+        p, f = _runs(prefix, counts)
+        found.append((1, p, None, None, f))
+    n = max(len(names), 1)
+    pair, f = _runs((prefix * n + of)[there], counts[there])
+    enough = f >= (0 if extended == 2 else min_count)
+    found.append((2, pair[enough] // n, names.take(pa.array(pair[enough] % n)), None, f[enough]))
+    whole = (np.asarray(pc.list_value_length(split)) == 2) & (counts >= min_count)
+    third = pc.list_element(split.filter(pa.array(whole)), 1) if whole.any() else pa.array([], pa.binary())
+    found.append((3, prefix[whole], names.take(pa.array(of[whole])), third, counts[whole]))
+    out = []
+    for depth, p, w2, w3, f in found:
+        if depth == 1:
+            p, f = p[f >= min_count], f[f >= min_count]
+        m = len(p)
+        heads = [keys[i].split(" ", 2) for i in p.tolist()]
+        out.append(pa.RecordBatch.from_arrays([
+            pa.array([h[2] for h in heads], pa.string()), pa.repeat(pa.scalar(depth, pa.int32()), m), pa.array([h[0] for h in heads], pa.string()),
+            pa.repeat("", m) if w2 is None else w2.view(pa.string()), pa.repeat("", m) if w3 is None else w3.view(pa.string()), pa.array(f, pa.int64())],
+            names=["lang", "depth", *WORDS, "f"]))
+    return pa.Table.from_batches(out).combine_chunks().to_batches(max_chunksize=1 << 30)
+
+
+def _leaves(rows: list) -> tuple[list, np.ndarray, pa.Array, np.ndarray]:
+    """Packed rows ``(key, tails, counts)`` as the distinct leaves of their prefixes."""
+    keys = list(dict.fromkeys(k for k, _, _ in rows))
+    at = {k: i for i, k in enumerate(keys)}
+    lists = pc.split_pattern(pa.array([t for _, t, _ in rows], pa.binary()), pattern=b"\n")
+    size = np.asarray(pc.list_value_length(lists))
+    prefix = np.repeat(np.array([at[k] for k, _, _ in rows], np.int64), size)
+    counts = np.ones(len(prefix), np.int64)
+    given = [np.frombuffer(c, np.int64 if len(c) == 8 * n else np.int32) for (_, _, c), n in zip(rows, size.tolist()) if c]
+    if given:
+        counts[np.repeat(np.array([bool(c) for _, _, c in rows]), size)] = np.concatenate(given)
+    tails = lists.flatten().dictionary_encode()
+    n = len(tails.dictionary)
+    codes, counts = _runs(prefix * n + tails.indices.to_numpy(zero_copy_only=False), counts)
+    return keys, codes // n, tails.dictionary.take(pa.array(codes % n)), counts
 
 
 def _trees(min_count: int, budget: int, extended: int):
-    def nodes(group: dict) -> pa.RecordBatch:
-        return _nodes([x for (lang, w1, _), v in group.items() for x in subtree(lang, w1, v, min_count, extended)])
-
     def run(batches):
         """Rows sorted by prefix.  Prefixes are gathered up to the budget, their subtrees built
-        and let go; a prefix is in one task only."""
-        group: dict = {}
-        size = 0
+        and let go; a prefix is in one task only, and one that goes on is kept as one row."""
+        held, size = [], 0
         for b in batches:
             for key, tails, counts in zip(*[b.column(n).to_pylist() for n in ("key", "tails", "counts")]):
-                w1, part, lang = key.split(" ", 2)
-                leaves = group.get((lang, w1, part))
-                if leaves is None:
-                    if size >= budget:  # the prefix before this one is whole
-                        yield nodes(group)
-                        group, size = {}, 0
-                    leaves = group[lang, w1, part] = {}
-                before = len(leaves)
-                for tail, c in _unpacked(tails, counts):
-                    leaves[tail] = leaves.get(tail, 0) + c
-                size += len(leaves) - before
-        yield nodes(group)
+                if size >= budget:
+                    last = held[-1][0]
+                    open_ = [r for r in held if r[0] == last] if last == key else []
+                    if len(open_) < len(held):
+                        yield from subtrees(*_leaves(held[:len(held) - len(open_)]), min_count, extended)
+                    held, size = [], 0
+                    if open_:
+                        _, _, t, c = _leaves(open_)
+                        held, size = [(key, b"\n".join(t.to_pylist()), c.tobytes())], 0
+                held.append((key, tails, counts))
+                size += tails.count(b"\n") + 1
+        if held:
+            yield from subtrees(*_leaves(held), min_count, extended)
     return run
 
 
