@@ -50,14 +50,23 @@ def clustered(df: DataFrame, keys: Sequence[str], partitions: int | None = None)
 
 
 def clone(spark: SparkSession, src: str, dst: str, as_view_fallback: bool = False, full_refresh: bool = False,
-          root: str | None = None) -> DataFrame:
+          root: str | None = None, shallow: bool = False) -> DataFrame:
     """Copy table ``src`` to ``dst``; no-op if ``dst`` exists (unless ``full_refresh``).
 
     ``as_view_fallback=True`` makes ``dst`` a view over ``src`` instead of a copy.
+    ``shallow=True`` writes no data: ``dst`` is a table over the files that ``src`` has now.
+    Later writes to one are unseen by the other: a new version goes to a folder of its own, and
+    the side that is first appended to, or has partitions replaced, copies its files before.
     """
     if TB.kind(spark, dst) is not None and not full_refresh:
         return spark.table(dst)
     if as_view_fallback:
         return as_view(spark.table(src), dst, full_refresh=True)
+    if shallow:
+        if TB.kind(spark, src) != "table":
+            raise ValueError(f"{src} is no table: nothing to share")
+        TB.drop(spark, dst)
+        TB.share(spark, src, dst, root)
+        return spark.table(dst)
     parts = TB.partition_columns(spark, src)
     return as_table(spark.table(src), dst, root=root, partition_by=parts)

@@ -63,6 +63,33 @@ def set_properties(spark: SparkSession, name: str, **values) -> None:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({given})")
 
 
+def share(spark: SparkSession, src: str, dst: str, root: str | None = None) -> None:
+    """Define ``dst`` over the files of ``src``; both are marked as sharing them.
+
+    A new version of either side is written elsewhere anyway; the writes that change a folder
+    in place (append, overwritten or cleared partitions) call :func:`detach` first.
+    """
+    parts = partition_columns(spark, src)
+    cols = spark.table(src)
+    cols = cols.select(*[c for c in cols.columns if c not in parts], *parts)
+    part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in parts)})" if parts else ""
+    spark.sql(f"CREATE TABLE {dst} ({_ddl(cols)}) USING parquet{part} LOCATION '{location(spark, src)}'")
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {dst} SYNC PARTITIONS")
+    own = {k: v for k, v in properties(spark, src).items() if k not in ("shared_files", "versions_at")}
+    set_properties(spark, dst, **own, shared_files="true", versions_at=base_path(spark, dst, root))
+    set_properties(spark, src, shared_files="true")
+
+
+def detach(spark: SparkSession, name: str) -> None:
+    """Give a table that shares its files a copy of its own, before they change in place."""
+    p = properties(spark, name)
+    if p.get("shared_files") != "true":
+        return
+    write_version(spark.table(name), name, None, partition_columns(spark, name))
+    set_properties(spark, name, **{k: v for k, v in p.items() if k not in ("shared_files", "versions_at")})
+
+
 def base_path(spark: SparkSession, name: str, root: str | None = None) -> str:
     """Where versions of ``name`` live: ``root/name`` or the warehouse dir."""
     root = root or spark.conf.get("spark.sql.warehouse.dir")
@@ -87,7 +114,10 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     spark = df.sparkSession
     existing = kind(spark, name) == "table"
     base = base_path(spark, name, root)
-    if existing:
+    props = properties(spark, name) if existing else {}
+    if "versions_at" in props:  # a clone: the files so far lie in the folder of its source
+        base = props["versions_at"]
+    elif existing:
         loc = location(spark, name)
         base = loc.rsplit("/_v", 1)[0] if "/_v" in loc else base
     path = _new_version_dir(base)
@@ -110,6 +140,8 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     if same_layout and not partition_by:
         # readers see the old version or the new one, never a partial directory
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        if "shared_files" in props:
+            spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{PREFIX}shared_files', '{PREFIX}versions_at')")
     else:
         if existing:
             # a new schema needs a new table definition, and so do partitions: each has its own
@@ -125,6 +157,7 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
 def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
+    detach(spark, name)
     cols = spark.table(name).columns
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = partition_columns(spark, name) if parts is None else list(parts)
@@ -136,6 +169,7 @@ def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None =
 
 
 def append(df: DataFrame, name: str) -> None:
+    detach(df.sparkSession, name)
     cols = df.sparkSession.table(name).columns
     df.select(*cols).write.mode("append").insertInto(name)
     df.sparkSession.sql(f"REFRESH TABLE {name}")
@@ -171,6 +205,7 @@ def clear_partitions(spark: SparkSession, name: str, specs: Sequence[dict]) -> N
     """
     if not specs:
         return
+    detach(spark, name)
     parts = list(specs[0])
     data_cols = [f for f in spark.table(name).schema.fields if f.name not in parts]
     view = f"__empty_{abs(hash(name))}"
