@@ -186,7 +186,7 @@ from (select unnest(generate_series(date_trunc('month', min(tpep_pickup_datetime
       from raw_trips)""")
 ORACLES["src_09"] = q("select cast(c_custkey as integer) as c_custkey, c_name, "
                       "lpad(cast(c_nationkey as varchar), 3, '0') as nation_code, c_acctbal from customer")
-for _k in ("snk_01", "snk_02", "snk_03", "snk_04", "inc_09", "dq_12"):
+for _k in ("snk_01", "snk_02", "snk_03", "snk_04", "snk_04_shallow", "inc_09", "dq_12"):
     ORACLES[_k] = q(FCT_ALL)
 
 # -- windows, sorts, sets
@@ -246,6 +246,7 @@ union all
 select * from fct_newer where pickup_at >= {RELOAD_FROM} and pickup_at < timestamp '2024-02-01'""",
                       RAW_AGAIN + "," + stg_from("stg_newer", "raw_reload", latest_only=True) + ","
                       + fct_from("fct_newer", "stg_newer"))
+ORACLES["inc_05_concurrent"] = ORACLES["inc_05"]
 ORACLES["inc_08_ignore"] = q(f"select * from fct_target union all select {_fct_cols({'airport_fee': 'cast(null as double)'})} "
                              f"from fct_delta", DELTA_FCT)
 ORACLES["inc_08_append_new_columns"] = q(

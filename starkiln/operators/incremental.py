@@ -16,9 +16,13 @@ delta, reconciles schemas, and stores the new state the cheapest correct way:
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from bisect import bisect_right
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema_change as SC
@@ -260,10 +264,114 @@ def _range_scoped_rewrite(spark, name, target, delta, parts, strategy, predicate
         return None
     if not frozen.isEmpty():
         TB.overwrite_partitions(frozen, name, parts)
-    TB.clear_partitions(spark, name, emptied)
+    with _CLEARING:  # unlike the dynamic overwrite, this one has no staging folder of its own
+        TB.clear_partitions(spark, name, emptied)
     return {"mode": "partition_rewrite", "rows_inserted": n}
 
 
+class BatchError(RuntimeError):
+    """Batch windows that failed, as ``failed``: (begin, end, error); all others are committed."""
+
+    def __init__(self, failed):
+        super().__init__(f"{len(failed)} batch windows failed, the first from {failed[0][0]} to {failed[0][1]}: {failed[0][2]}")
+        self.failed = failed
+
+
+def independent_windows(windows: Sequence[tuple], target: DataFrame, delta: DataFrame, event_time: str, parts: Sequence[str],
+                        batch_size: str) -> list[tuple[list[tuple], set]]:
+    """Groups of windows that share no partition, each with its partitions (values as text).
+
+    One aggregate over event time and partition columns: the first and last event of each
+    partition and calendar unit.  What reaches the driver is names of partitions.
+    """
+    rows = None
+    for df in (target, delta):
+        hit = df.filter((F.col(event_time) >= literal_of(windows[0][0].isoformat(sep=" "), df.schema[event_time].dataType))
+                        & (F.col(event_time) < literal_of(windows[-1][1].isoformat(sep=" "), df.schema[event_time].dataType)))
+        one = hit.select(F.col(event_time).cast("string").alias("__at"), *[F.col(p).cast("string").alias(p) for p in parts],
+                         F.date_trunc(batch_size, F.col(event_time)).cast("string").alias("__unit"))
+        one = one.groupBy("__unit", *parts).agg(F.min("__at").alias("lo"), F.max("__at").alias("hi"))
+        rows = one if rows is None else rows.unionByName(one)
+    begins = [lo for lo, _ in windows]
+    group = list(range(len(windows)))
+
+    def top(i: int) -> int:
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    owner: dict = {}
+    for r in rows.collect():
+        part = tuple(r[p] for p in parts)
+        lo, hi = (bisect_right(begins, dt.datetime.fromisoformat(x)) - 1 for x in (r["lo"], r["hi"]))
+        for i in range(lo, hi + 1):
+            group[top(i)] = top(owner.setdefault(part, i))
+    out: dict = {}
+    for i, w in enumerate(windows):
+        out.setdefault(top(i), ([], set()))[0].append(w)
+    for part, i in owner.items():
+        out[top(i)][1].add(part)
+    return list(out.values())
+
+
+#: Clearing a partition uses the table folder's one temporary folder.
+_CLEARING = threading.Lock()
+
+
+def _rewrite_windows(spark, name, delta, parts, opts, n, root) -> int:
+    """Every batch window as a commit of its own; returns their number.
+
+    ``concurrent`` (1): how many groups of windows run at once, each in a scheduler pool of its
+    own (the cluster's ``spark.scheduler.mode`` says whether pools share executors fairly).
+    Windows that touch a common partition follow one another.  ``retries`` (0): further tries
+    of a window.  A window that fails leaves the others committed; then BatchError names it.
+    """
+    event_time, size = opts["event_time"], opts.get("batch_size", "day")
+    windows = batch_windows(opts["begin"], opts["end"], size)
+    at_once = int(opts.get("concurrent", 1))
+    if at_once > 1 and windows:
+        TB.detach(spark, name, delta)
+        groups = independent_windows(windows, spark.table(name), delta, event_time, parts, size)
+    else:
+        groups = [(windows, None)]
+    failed, whole = [], []
+
+    def run(i: int, group) -> None:
+        wins, own = group
+        if at_once > 1:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"batch-{i % at_once}")
+        for lo, hi in wins:
+            for left in range(int(opts.get("retries", 0)), -1, -1):
+                try:
+                    now = spark.table(name)
+                    if own is not None:  # the scan lists no file that another group replaces
+                        mine = F.lit(False)
+                        for values in sorted(own, key=str):
+                            one = F.lit(True)
+                            for p, v in zip(parts, values):
+                                one = one & F.col(p).cast("string").eqNullSafe(F.lit(v))
+                            mine = mine | one
+                        now = now.filter(mine)
+                    if _range_scoped_rewrite(spark, name, now, delta, parts, "microbatch", None, {**opts, "begin": lo, "end": hi}, n) is None:
+                        whole.append((lo, hi))
+                    break
+                except Exception as e:  # noqa: BLE001 - named in the BatchError below
+                    if not left:
+                        failed.append((lo, hi, e))
+
+    if at_once > 1:
+        with ThreadPoolExecutor(at_once) as pool:
+            for f in [pool.submit(inheritable_thread_target(spark)(run), i, g) for i, g in enumerate(groups)]:
+                f.result()
+    else:
+        run(0, groups[0])
+    for lo, hi in whole:  # a NULL partition is left empty: the table is written anew
+        TB.write_version(apply_microbatch(spark.table(name), delta, event_time, lo, hi, size), name, root, parts)
+    if failed:
+        raise BatchError(sorted(failed, key=lambda x: x[0]))
+    return len(windows)
+
+
 def is_incremental(spark: SparkSession, name: str, full_refresh: bool = False) -> bool:
     """True iff the target exists, is a table, and no full refresh was asked for."""
     return (not full_refresh) and TB.kind(spark, name) == "table"
@@ -346,9 +454,10 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
     if not inc:
         if TB.kind(spark, name) == "view":
             TB.drop(spark, name)
-        TB.write_version(df, name, root, partition_by)
+        seen = Observation()
+        TB.write_version(df, name, root, partition_by, seen=seen)
         keep_layout()
-        return {"mode": "full", "rows_inserted": spark.table(name).count()}
+        return {"mode": "full", "rows_inserted": seen.get["n"]}
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown incremental strategy {strategy!r}")
     target = spark.table(name)
@@ -367,21 +476,25 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
     whole = (not schema_changed and strategy == "delete+insert" and keys and parts and sorted(keys) == sorted(parts)
              and not predicates)
     adding = strategy == "append" and (not schema_changed or on_schema_change == "append_new_columns")
-    if adding or whole:
-        # a pass over the key columns only; nothing is written when nothing is new
-        n, null_keys = delta.agg(F.count(F.lit(1)), F.count(F.when(~nn, 1))).first()
+    seen = Observation()
     if adding:
         if schema_changed:
             added = [f for f in target2.schema.fields if f.name not in target.columns]
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
-        if n:
-            TB.append(delta, name)
-        return {"mode": "append", "rows_inserted": n}
+        if not parts and delta.isEmpty():  # else an empty file; without rows no partition gets any
+            return {"mode": "append", "rows_inserted": 0}
+        TB.append(delta, name, seen)
+        return {"mode": "append", "rows_inserted": seen.get["n"]}
     if whole:
-        if n > null_keys:
-            TB.overwrite_partitions(delta.filter(nn) if null_keys else delta, name, parts)
-        if null_keys:
-            TB.append(delta.filter(~nn), name)  # a NULL key deletes nothing: plain insert
+        # one pass writes and counts; a NULL key deletes nothing: such rows are a plain insert
+        unkeyed = Observation()
+        keyed = delta.observe(unkeyed, F.count(F.when(~nn, 1)).alias("n")).filter(nn)
+        TB.overwrite_partitions(keyed, name, parts, seen)
+        n = seen.get["n"]
+        if unkeyed.get["n"]:
+            null_rows = Observation()
+            TB.append(delta.filter(~nn), name, null_rows)
+            n += null_rows.get["n"]
         return {"mode": "partition_overwrite", "rows_inserted": n}
     delta = stable(delta)
     n = delta.count()
@@ -411,15 +524,8 @@ def incremental(spark: SparkSession, name: str, model, strategy: str = "delete+i
         return {"mode": "partition_rewrite", "rows_inserted": n}
     if not schema_changed and parts and strategy == "microbatch" and opts.get("per_batch"):
         # one scoped rewrite per batch window: a failure loses only its batch, each job is one window
-        done = {"mode": "partition_rewrite", "rows_inserted": n, "batches": 0}
-        for lo, hi in batch_windows(opts["begin"], opts["end"], opts.get("batch_size", "day")):
-            o = {**opts, "begin": lo, "end": hi}
-            now = spark.table(name)
-            if _range_scoped_rewrite(spark, name, now, delta, parts, strategy, predicates, o, n) is None:
-                TB.write_version(apply_microbatch(now, delta, opts["event_time"], lo, hi, opts.get("batch_size", "day")),
-                                 name, root, parts)
-            done["batches"] += 1
-        return done
+        batches = _rewrite_windows(spark, name, delta, parts, opts, n, root)
+        return {"mode": "partition_rewrite", "rows_inserted": n, "batches": batches}
     if not schema_changed and parts and (strategy == "microbatch" or (
             strategy == "insert_overwrite" and predicates and not opts.get("whole_table", True))):
         done = _range_scoped_rewrite(spark, name, target2, delta, parts, strategy, predicates, opts, n)

@@ -14,7 +14,8 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 #: Prefix of the library's own table properties.
@@ -81,10 +82,11 @@ def share(spark: SparkSession, src: str, dst: str, root: str | None = None) -> N
     set_properties(spark, src, shared_files="true")
 
 
-def detach(spark: SparkSession, name: str) -> None:
-    """Give a table that shares its files a copy of its own, before they change in place."""
+def detach(spark: SparkSession, name: str, df: DataFrame | None = None) -> None:
+    """Give a table that shares its files a copy of its own, before they change in place (unless
+    the rows to write, ``df``, are none)."""
     p = properties(spark, name)
-    if p.get("shared_files") != "true":
+    if p.get("shared_files") != "true" or (df is not None and df.isEmpty()):
         return
     write_version(spark.table(name), name, None, partition_columns(spark, name))
     set_properties(spark, name, **{k: v for k, v in p.items() if k not in ("shared_files", "versions_at")})
@@ -104,8 +106,14 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def counted(df: DataFrame, seen: Observation | None) -> DataFrame:
+    """``df``, its rows counted by ``seen`` as they are written.  This stands right above the write,
+    behind every shuffle, so a stage that runs again does not count twice."""
+    return df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+
 def write_version(df: DataFrame, name: str, root: str | None = None, partition_by: Sequence[str] = (),
-                  cluster_by: Sequence[str] = ()) -> str:
+                  cluster_by: Sequence[str] = (), seen: Observation | None = None) -> str:
     """Write ``df`` as a new version of table ``name`` and switch the table to it.
 
     ``cluster_by`` range-partitions and sorts rows by those keys before writing
@@ -129,7 +137,7 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     elif partition_by:
         # group rows of a partition into few tasks; AQE splits a hot partition value across tasks
         out = out.hint("rebalance", *partition_by)
-    w = out.write.mode("errorifexists").format("parquet")
+    w = counted(out, seen).write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -154,24 +162,24 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     return path
 
 
-def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None) -> None:
+def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None, seen: Observation | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
-    detach(spark, name)
+    detach(spark, name, df)
     cols = spark.table(name).columns
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = partition_columns(spark, name) if parts is None else list(parts)
     out = df.select(*cols)
     if parts:
         out = out.hint("rebalance", *parts)
-    out.write.mode("overwrite").insertInto(name)
+    counted(out, seen).write.mode("overwrite").insertInto(name)
     spark.sql(f"REFRESH TABLE {name}")
 
 
-def append(df: DataFrame, name: str) -> None:
-    detach(df.sparkSession, name)
+def append(df: DataFrame, name: str, seen: Observation | None = None) -> None:
+    detach(df.sparkSession, name, df)
     cols = df.sparkSession.table(name).columns
-    df.select(*cols).write.mode("append").insertInto(name)
+    counted(df.select(*cols), seen).write.mode("append").insertInto(name)
     df.sparkSession.sql(f"REFRESH TABLE {name}")
 
 

@@ -386,6 +386,17 @@ def snk_04(spark, d):
     return SK.clone(spark, src, _tname("fct_clone"), root=root)
 
 
+@register("snk_04_shallow")
+def snk_04_shallow(spark, d):
+    """A clone that shares the files of its source, after the source was written again."""
+    root = _scratch(spark, "wh")
+    src, dst = _tname("fct_src"), _tname("fct_shallow")
+    SK.as_table(fct(spark, d), src, root=root, partition_by=["_source_file"])
+    SK.clone(spark, src, dst, root=root, shallow=True)
+    INC.incremental(spark, src, fct_reload(spark, d), "delete+insert", "_source_file")
+    return spark.table(dst)
+
+
 # -- 2.5 / 2.6 / 2.7 windows, sorts, sets ------------------------------------------
 REGISTRY["win_01"] = REGISTRY["flt_06"]
 
@@ -498,6 +509,17 @@ def inc_05(spark, d):
     return INC.apply_microbatch(fct(spark, d), newer, "pickup_at", "2024-01-25", "2024-02-01", "day")
 
 
+@register("inc_05_concurrent")
+def inc_05_concurrent(spark, d):
+    """The windows of inc_05 as commits of their own, four at once."""
+    name = _tname("fct_windows")
+    newer = M.fct_trips(M.stg_trips(reloaded_raw(spark, d), latest_only=True), dim(spark, d))
+    INC.incremental(spark, name, fct(spark, d), partition_by=["pickup_date"], root=_scratch(spark, "wh"))
+    INC.incremental(spark, name, newer, "microbatch", event_time="pickup_at", begin="2024-01-25", end="2024-02-01",
+                    batch_size="day", per_batch=True, concurrent=4)
+    return spark.table(name)
+
+
 @register("inc_06")
 def inc_06(spark, d):
     strategy = INC.default_strategy()
