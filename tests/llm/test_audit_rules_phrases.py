@@ -174,6 +174,48 @@ def test_phrases(spark, monkeypatch, budget, min_count, top):
     assert sorted(map(tuple, got.collect())) == brute_phrases(rows, min_count, top)
 
 
+@pytest.mark.parametrize("chunk,room,step", [(1, 10**9, 1), (7, 10**9, 5), (10**9, 3, 40), (50, 60, 10**9), (10**9, 10**9, 10**9)])
+def test_suffixes_do_not_depend_on_chunks(monkeypatch, chunk, room, step):
+    """Chunks that end inside texts, pieces and even words' neighbourhoods count the same suffixes."""
+    for k, v in (("CHUNK", chunk), ("ROOM", room), ("STEP", step)):
+        monkeypatch.setattr(PM, k, v)
+    rng = random.Random(5)
+    texts = ["", " ", ".", "a", "a. b", " a b\tc ", "x" * 200] + [
+        "".join(rng.choice(["a", "B", "\x01", "É", "dd"]) + rng.choice([" ", "  ", "\t", ". ", "\r\n", "!"]) for _ in range(rng.randint(0, 90))) for _ in range(12)]
+    langs = [rng.choice(["en", "de"]) for _ in texts]
+    import pyarrow as pa
+    batches = pa.table({"lang": langs, "text": pa.array([t.encode() for t in texts], pa.binary())}).to_batches(max_chunksize=5)
+    got, leaves = Counter(), 0
+    for b in PM._suffixes(iter(batches)):
+        for r in b.to_pylist():
+            tails = dict(PM._unpacked(r["tails"], r["counts"]))
+            assert len(tails) == r["leaves"] and sum(tails.values()) == r["f"] and r["part"] == ""
+            for t, c in tails.items():
+                got[r["lang"], r["w1"].encode(), t] += c
+    want = Counter()
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for text, lang in zip(texts, langs):
+        for piece in re.split("[.,;:!?\x0a-\x0d]", text.translate(low)):
+            w = [x.encode() for x in re.findall("[^\x20\x09]+", piece)]
+            for i in range(len(w)):
+                want[lang, w[i], b" ".join(w[i + 1:i + 3])] += 1
+    assert got == want
+
+
+@pytest.mark.parametrize("budget", [1, 3, 50, 10**6])
+def test_subtrees_of_prefixes_that_go_on(budget):
+    """A prefix whose rows outlast the budget is kept as one row; counts may pass 32 bits."""
+    import numpy as np
+    import pyarrow as pa
+    many = 2**31 - 1
+    rows = [("a  en", [(b"b", 1), (b"b c", 1)])] * 6 + [("b  de", [(b"", many), (b"x y", 2)])] * 4 + [("b  en", [(b"z", 1)])]
+    data = [(k, b"\n".join(t for t, _ in ls), np.array([c for _, c in ls], np.int32).tobytes() if any(c > 1 for _, c in ls) else b"") for k, ls in rows]
+    table = pa.table({n: [d[i] for d in data] for i, n in enumerate(("key", "tails", "counts"))})
+    out = [tuple(r.values()) for b in PM._trees(3, budget, 0)(iter(table.to_batches(max_chunksize=2))) for r in b.to_pylist()]
+    assert sorted(out) == [("de", 1, "b", "", "", 4 * many + 8), ("de", 2, "b", "x", "", 8), ("de", 3, "b", "x", "y", 8),
+                           ("en", 1, "a", "", "", 12), ("en", 2, "a", "b", "", 12), ("en", 3, "a", "b", "c", 6)]
+
+
 def test_phrases_across_steps_of_a_long_piece(spark, monkeypatch):
     text = " ".join(f"w{i % 7}" for i in range(120_001))
     df = spark.createDataFrame([(text, "en")], "text string, lang string")
