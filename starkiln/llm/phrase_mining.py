@@ -3,16 +3,16 @@
 After ERA (Mansour et al., "ERA: efficient serial and parallel suffix tree construction for
 very long strings", 2011), over words instead of characters and cut at three words:
 
-1. *Suffixes.*  A task counts the suffixes of its pieces, each cut to three words, in chunks of
-   bounded size.  A chunk leaves one row per first word: its suffixes packed behind it.
+1. *Suffixes.*  A task counts the suffixes of its pieces, each cut to three words, as sorted arrays
+   of word ids, in chunks of bounded size.  A chunk leaves one row per first word: its suffixes packed behind it.
 2. *Vertical partitioning.*  Prefix counts are sums over these rows.  A word whose suffixes fit
    the memory budget is a prefix of its own.  A larger one is extended by its next words, taken
    together in as many parts (by a hash of the next word) as the budget asks for; a part that
    is still larger, as it holds a very frequent pair, is extended by the third words alike.  So
    no shuffle key holds more than about the budget.
 3. *Subtrees.*  Rows are dealt and sorted by prefix.  A task takes prefixes up to the budget as a
-   group, builds their subtrees (tries of the packed suffixes, independent of every other
-   group's) and reads each node's count from its leaf totals.  The counts of extended words
+   group, builds their subtrees (leaves in sorted order, independent of every other group's)
+   and reads each node's count from its leaf totals.  The counts of extended words
    are known from step 2; a pair cut by third words adds up its parts.
 
 Then candidates, cuts and the ranking are joins and windows on the counted phrases.
