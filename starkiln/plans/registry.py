@@ -476,8 +476,16 @@ def _orders_delta(spark, d):
     o = D.table(spark, d, "orders")
     upd = o.filter(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1) \
         .withColumn("o_orderpriority", F.lit("0-CHANGED"))
-    mx = o.agg(F.max("o_orderkey").alias("mx")).first()["mx"]  # one scalar: the key offset for new rows
-    new = o.filter(F.col("o_orderpriority") == "1-URGENT").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(mx))
+    key = F.col("o_orderkey")
+    b = o.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()  # two scalars: where the keys of new rows begin
+    moved, lo = key + F.lit(b["hi"]), min(b["lo"] or 0, (b["lo"] or 0) + (b["hi"] or 0))
+    urgent = o.filter(F.col("o_orderpriority") == "1-URGENT")
+    new = urgent.filter((key > 0) | key.isNull()).withColumn("o_orderkey", moved)
+    # from 0 down the moved key may be one that upd has already: such a row goes below all keys
+    taken = upd.select(key.alias("taken")).distinct()
+    low = urgent.filter(key <= 0).join(taken, moved == F.col("taken"), "left")
+    low = low.withColumn("o_orderkey", F.when(F.col("taken").isNull(), moved).otherwise(key + F.lit(lo - 1))).drop("taken")
+    new = new.unionByName(low)
     return upd.unionByName(new)
 
 

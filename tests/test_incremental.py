@@ -234,3 +234,19 @@ def test_microbatch_per_batch_equals_one_pass(spark, root):
         if per_batch:
             assert r["batches"] == 2
     assert out[True] == out[False] == srt([(1,), (4,), (20,), (30,), (31,)])
+
+
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+
+
+@pytest.mark.parametrize("name", ["inc_03", "inc_03_update_columns", "inc_03_exclude_columns", "inc_03_buckets", "inc_06", "inc_06_default"])
+def test_merge_queries_take_keys_from_zero_down(spark, root, name):
+    # the new rows of keys -2 and 0 would get keys 1 and 3, which changed orders have already; that of -1 gets 2
+    at = dt.datetime(1996, 1, 2)
+    o = [(-2, 1, "O", 1.0, at, "1-URGENT"), (-1, 2, "O", 2.0, at, "1-URGENT"), (0, 3, "O", 3.0, at, "1-URGENT"),
+         (1, 4, "F", 4.0, at, "5-LOW"), (2, 5, "O", 5.0, at, "5-LOW"), (3, 6, "F", 6.0, at, "5-LOW"), (None, 7, "O", 7.0, at, "1-URGENT")]
+    spark.createDataFrame(o, ORDERS).write.parquet(f"{root}/orders.parquet")
+    from starkiln.plans.registry import REGISTRY
+
+    got = {(r["o_orderkey"], r["o_totalprice"]) for r in REGISTRY[name](spark, root).collect()}
+    assert got == {(-2, 1.0), (-1, 2.0), (0, 3.0), (1, 5.0), (2, 2.0), (3, 7.0), (None, 7.0), (-5, 1.0), (-3, 3.0)}
