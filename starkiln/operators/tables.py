@@ -112,8 +112,17 @@ def counted(df: DataFrame, seen: Observation | None) -> DataFrame:
     return df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("n"))
 
 
+def gathered(df: DataFrame, parts: Sequence[str], chunk: str | None = None) -> DataFrame:
+    """Rows of a partition in few tasks; AQE splits a hot partition value across tasks, but not below
+    what one task before it read.  A write task sorts what it gets, so where one task may read a
+    large partition, the column ``chunk`` cuts it in pieces (and is dropped)."""
+    if not parts:
+        return df.drop(chunk) if chunk else df
+    return df.hint("rebalance", *parts, chunk).drop(chunk) if chunk else df.hint("rebalance", *parts)
+
+
 def write_version(df: DataFrame, name: str, root: str | None = None, partition_by: Sequence[str] = (),
-                  cluster_by: Sequence[str] = (), seen: Observation | None = None) -> str:
+                  cluster_by: Sequence[str] = (), seen: Observation | None = None, chunk: str | None = None) -> str:
     """Write ``df`` as a new version of table ``name`` and switch the table to it.
 
     ``cluster_by`` range-partitions and sorts rows by those keys before writing
@@ -135,14 +144,13 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
 
         out = clustered(out, cluster_by)
     elif partition_by:
-        # group rows of a partition into few tasks; AQE splits a hot partition value across tasks
-        out = out.hint("rebalance", *partition_by)
+        out = gathered(out, partition_by, chunk)
     w = counted(out, seen).write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    cols = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    cols = df.select(*[c for c in df.columns if c not in partition_by and c != chunk], *partition_by)
     same_layout = existing and [(f.name, f.dataType) for f in spark.table(name).schema.fields] == \
         [(f.name, f.dataType) for f in cols.schema.fields] and partition_columns(spark, name) == list(partition_by)
     if same_layout and not partition_by:
@@ -162,16 +170,15 @@ def write_version(df: DataFrame, name: str, root: str | None = None, partition_b
     return path
 
 
-def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None, seen: Observation | None = None) -> None:
+def overwrite_partitions(df: DataFrame, name: str, parts: Sequence[str] | None = None, seen: Observation | None = None,
+                         chunk: str | None = None) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
     spark = df.sparkSession
     detach(spark, name, df)
     cols = spark.table(name).columns
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = partition_columns(spark, name) if parts is None else list(parts)
-    out = df.select(*cols)
-    if parts:
-        out = out.hint("rebalance", *parts)
+    out = gathered(df.select(*cols, *([chunk] if chunk else [])), parts, chunk)
     counted(out, seen).write.mode("overwrite").insertInto(name)
     spark.sql(f"REFRESH TABLE {name}")
 

@@ -26,6 +26,9 @@ from . import ledger as LG
 # Spellings of the airport fee column seen across file vintages.
 AIRPORT_FEE_SPELLINGS = ["Airport_fee", "airport_fee"]
 
+#: Rows of a landing file that are written together; the column that numbers such pieces while a table is written.
+CHUNK_ROWS, CHUNK = 250_000, "__chunk"
+
 
 def coalesce_spellings(df: DataFrame, spellings: Sequence[str], out: str) -> DataFrame:
     """Fold columns that differ only in spelling/casing into ``out`` (first non-NULL wins).
@@ -72,14 +75,15 @@ def _as_raw_type(c: Column, name: str, field: T.StructField, src_type: T.DataTyp
 
 def ingest_trips(landing: DataFrame, raw_schema: T.StructType = RAW_TRIPS,
                  source_file: Column | str | None = None, loaded_at: Column | str | None = None,
-                 source_path: Column | str | None = None) -> DataFrame:
+                 source_path: Column | str | None = None, row_index: Column | None = None) -> DataFrame:
     """Project a landing frame onto the fixed raw schema, explicitly and by name.
 
     * columns are mapped by an explicit list, not by position;
     * airport-fee spellings are folded (first non-NULL);
     * epoch-microsecond integers become naive timestamps;
     * casts are strict (ANSI): any malformed value aborts the load;
-    * lineage columns are added.
+    * lineage columns are added; with ``row_index`` (a row's place in its file) also the piece of
+      the file that it lies in, as ``CHUNK``, for a writer that drops it.
     """
     df = coalesce_spellings(landing, AIRPORT_FEE_SPELLINGS, "__airport_fee")
     src_types = {f.name: f.dataType for f in df.schema.fields}
@@ -102,6 +106,8 @@ def ingest_trips(landing: DataFrame, raw_schema: T.StructType = RAW_TRIPS,
     lineage = [sf.cast("string").alias("_source_file"), la.cast("timestamp").alias("_loaded_at")]
     if source_path is not None:
         lineage.append(pick(source_path, "_source_path", None).cast("string").alias("_source_path"))
+    if row_index is not None:
+        lineage.append(F.floor(row_index / CHUNK_ROWS).alias(CHUNK))
     return df.select(*cols, *lineage)
 
 
@@ -259,17 +265,18 @@ def load_files(spark: SparkSession, paths: str | Sequence[str], table: str, root
         groups = [(schema, new)] if schema is not None else vintages(spark, new, landing_root)
         path = landing_path(landing_root)  # partition columns of the landing layout come from the folders above a file
         raw = union_of([ingest_trips(spark.read.schema(kind).option("basePath", landing_root).parquet(*some),
-                                     source_file=F.col(source_file_col) if source_file_col else path, source_path=path)
-                        for kind, some in groups])
+                                     source_file=F.col(source_file_col) if source_file_col else path, source_path=path,
+                                     row_index=F.col("_metadata.row_index")) for kind, some in groups])
         parts = ["_source_file", "_source_path"]
         if not exists:
-            TB.write_version(raw, table, root, partition_by=parts)
+            TB.write_version(raw, table, root, partition_by=parts, chunk=CHUNK)
         elif force and not replace:
             TB.append(raw, table)
         else:
-            TB.overwrite_partitions(raw, table, parts)
+            TB.overwrite_partitions(raw, table, parts, chunk=CHUNK)
         LG.record(spark.createDataFrame(chosen, files.schema), table, root)
     elif not exists:
         raise ValueError(f"no landing files below {paths}")
-    return spark.table(table).join(names, "_source_path", "left_semi").groupBy("_source_file").agg(
-        F.count(F.lit(1)).alias("rows_loaded"))
+    per_file = spark.table(table).groupBy("_source_file", "_source_path").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.join(F.broadcast(names), "_source_path", "left_semi").groupBy("_source_file").agg(
+        F.sum("n").alias("rows_loaded"))

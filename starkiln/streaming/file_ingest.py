@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..operators import tables as TB
 from ..schemas import RAW_TRIPS
 from ..sources import ledger as LG
-from ..sources.ingest import ingest_trips, landing_path, load_files
+from ..sources.ingest import CHUNK, ingest_trips, landing_path, load_files
 
 
 def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint: str,
@@ -38,7 +38,7 @@ def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint:
     file_col = F.col(source_file_col) if source_file_col else path
     stream = reader.parquet(landing_dir).select(
         "*", file_col.alias("__file"), path.alias("__path"), F.col("_metadata.file_size").alias("__length"),
-        F.col("_metadata.file_modification_time").alias("__modified"))
+        F.col("_metadata.file_modification_time").alias("__modified"), F.col("_metadata.row_index").alias("__row"))
     parts = ["_source_file", "_source_path"]
 
     def reload_changed(session: SparkSession) -> None:
@@ -48,11 +48,11 @@ def stream_ingest(spark: SparkSession, landing_dir: str, table: str, checkpoint:
                        source_file_col=source_file_col, schema=landing_schema, landing_root=landing_dir)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        raw = ingest_trips(batch, raw_schema, source_file="__file", source_path="__path")
+        raw = ingest_trips(batch, raw_schema, source_file="__file", source_path="__path", row_index=F.col("__row"))
         if TB.kind(batch.sparkSession, table) is None:
-            TB.write_version(raw, table, root, partition_by=parts)
+            TB.write_version(raw, table, root, partition_by=parts, chunk=CHUNK)
         else:
-            TB.overwrite_partitions(raw, table, parts)
+            TB.overwrite_partitions(raw, table, parts, chunk=CHUNK)
         LG.record(batch.select(F.col("__path").alias("_source_path"), F.col("__length").alias("length"),
                                F.col("__modified").alias("modified")).distinct(), table, root)
         if not available_now:

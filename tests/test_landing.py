@@ -90,3 +90,29 @@ def test_snapshot_refuses_repeated_keys(spark):
         SCD.snapshot(twice, hist, "k", updated_at="u")
     nulls = spark.createDataFrame([(None, 1), (None, 2)], "k int, v int").withColumn("u", F.lit("2024-01-02").cast("timestamp"))
     assert SCD.snapshot(nulls, hist, "k", updated_at="u").count() == 3
+
+
+@pytest.mark.parametrize("how", ["load", "stream"])
+def test_large_file_is_written_in_pieces(spark, root, monkeypatch, how):
+    """A write task sorts what it gets: a file of many rows is not one task's, in the first load and when it is replaced."""
+    from starkiln.streaming import stream_ingest
+
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    was = {k: spark.conf.get(k) for k in small}
+    monkeypatch.setattr(ING, "CHUNK_ROWS", 100)
+    table, wh = f"pieces_{how}", f"{root}/wh"
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for n in (2000, 1500):
+            _write_file(trips(spark, n), f"{root}/landing/big.parquet")
+            if how == "load":
+                assert [r.rows_loaded for r in ING.load_files(spark, f"{root}/landing", table, root=wh).collect()] == [n]
+            else:
+                stream_ingest(spark, f"{root}/landing", table, f"{root}/checkpoint", trips(spark, 1).schema, root=wh)
+            t = spark.table(table)
+            assert t.count() == n and t.agg(F.sum("VendorID")).first()[0] == n * (n - 1) // 2
+            assert ING.CHUNK not in t.columns and len(t.inputFiles()) > 2
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
