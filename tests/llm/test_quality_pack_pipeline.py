@@ -166,5 +166,5 @@ def test_stages_take_empty_tables_nulls_and_repeats(spark):
 
 
 def test_registered_names():
-    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in registry.QUERIES and set(registry.ORACLES) <= set(registry.QUERIES)
