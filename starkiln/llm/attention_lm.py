@@ -60,20 +60,6 @@ def _bias(R: np.ndarray, back: int, step: int):
     return np.where(far >= 0, np.maximum(R, -_FAR)[:, np.maximum(far, 0)], _BIG), far
 
 
-def _softmax(s: np.ndarray) -> np.ndarray:
-    s = np.minimum(s, _TOP)
-    s -= s.max(axis=-1, keepdims=True)
-    np.maximum(s, -_TOP, out=s)
-    np.exp(s, out=s)
-    s /= s.sum(axis=-1, keepdims=True)
-    return s
-
-
-def _heads(x: np.ndarray) -> np.ndarray:
-    b, n, d = x.shape
-    return x.reshape(b, n, HEADS, d // HEADS).transpose(0, 2, 1, 3)
-
-
 def score_texts(scorer: "Scorer", ids: np.ndarray, lengths: np.ndarray, batch: int = 256) -> np.ndarray:
     """Natural log probability of each text, its windows in batches."""
     text, first = window_list(lengths, scorer.step)
@@ -134,13 +120,12 @@ class Scorer:
         out = _log_prob(z, group)
         order = np.argsort(group.astype(np.int16), kind="stable")
         ends = np.cumsum(np.bincount(group, minlength=len(p["g"])))
-        hs, ms, inner = np.take(h, order, axis=0), member[order], np.empty(n, np.float32)
+        hs, z = np.take(h, order, axis=0), np.empty((n, self.width), np.float32)
         for g, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
             if a < b:
-                z = hs[a:b] @ p["T"][g]
-                z += p["t"][g]
-                inner[a:b] = _log_prob(z, ms[a:b])
-        out[order] += inner
+                np.matmul(hs[a:b], p["T"][g], out=z[a:b])
+        z += np.take(p["t"], group[order], axis=0)
+        out[order] += _log_prob(z, member[order])
         return out
 
 
@@ -148,7 +133,7 @@ def _log_prob(z: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row at one place; ``z`` is used up."""
     if z.size and z.max() > _TOP:
         z -= z.max(axis=1, keepdims=True)
-    out = z[np.arange(len(z)), at]
+    out = z.ravel()[np.arange(len(z)) * z.shape[1] + at]
     np.exp(z, out=z)
     out -= np.log(z @ np.ones(z.shape[1], z.dtype))
     return out
@@ -161,10 +146,12 @@ def window_list(lengths: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]
     return text, (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * step
 
 
-def window_ids(text: np.ndarray, first: np.ndarray, lengths: np.ndarray, back: int, step: int):
+def window_ids(text: np.ndarray, first: np.ndarray, lengths: np.ndarray, back: int, step: int,
+               starts: np.ndarray | None = None):
     """(index, absent, scored) of some windows.  The texts stand one after the other with one
     id more than positions each: index + 1 is the target.  Each position is scored in one window."""
-    starts = np.cumsum(lengths + 1) - lengths - 1
+    if starts is None:
+        starts = np.cumsum(lengths + 1) - lengths - 1
     at = first[:, None] - back + np.arange(back + step)[None, :]
     absent = (at < 0) | (at >= lengths[text][:, None])
     return np.where(absent, 0, at) + starts[text][:, None], absent, ~absent[:, back:]
@@ -172,68 +159,126 @@ def window_ids(text: np.ndarray, first: np.ndarray, lengths: np.ndarray, back: i
 
 def gradients(p: dict[str, np.ndarray], ids: np.ndarray, absent: np.ndarray, target: np.ndarray, scored: np.ndarray,
               back: int, step: int) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean negative log probability of the scored targets and its gradient."""
-    dim, width = p["E"].shape[1], p["T"].shape[2]
-    scale = np.float32((dim // HEADS) ** -0.5)
-    e = p["E"][ids]
-    eq = e[:, back:]
-    q, k, v = _heads(eq @ p["Q"]) * scale, _heads(e @ p["K"]), _heads(e @ p["V"])
+    """Mean negative log probability of the scored targets and its gradient.  Queries, keys and
+    values are looked up, and their gradients summed by token before they meet a matrix."""
+    size, dim = p["E"].shape
+    width, kind, part = p["T"].shape[2], p["E"].dtype, dim // HEADS
+    scale = kind.type(part ** -0.5)
+    now, last, flat = ids[:, back:].ravel(), ids[:, back - 1:-1].ravel(), ids.ravel()
+    rows = len(now)
+    q = np.take(p["E"] @ p["Q"] * scale, now, axis=0).reshape(-1, step, dim)
+    k, v = (np.take(p["E"] @ p[x], flat, axis=0).reshape(-1, back + step, dim) for x in "KV")
     bias, far = _bias(p["R"], back, step)
-    a = _softmax(q @ k.transpose(0, 1, 3, 2) + bias + np.where(absent, _BIG, np.float32(0))[:, None, None, :])
-    c = (a @ v).transpose(0, 2, 1, 3).reshape(len(ids), step, dim)
-    now, last = ids[:, back:], ids[:, back - 1:-1]
-    pa, pb = p["A"][now], p["B"][last]
-    h = (p["U"][now] + p["P"][last] + pa * pb + c @ p["O"])[scored]
-    y = target[scored]
+    seen = np.where(absent, kind.type(0), kind.type(1))[:, None, :] * (far >= 0).astype(kind)
+    one = np.ones(back + step, kind)
+    att, c = [], np.empty((len(ids), step, dim), kind)
+    for x in range(HEADS):
+        cut = slice(x * part, (x + 1) * part)
+        s = np.matmul(q[:, :, cut], k[:, :, cut].transpose(0, 2, 1))
+        s += bias[x].astype(kind)
+        _exp(s, seen)
+        s /= (s @ one)[:, :, None]
+        att.append(s)
+        np.matmul(s, v[:, :, cut], out=c[:, :, cut])
+    c = c.reshape(-1, dim)
+    pa, pb = np.take(p["A"], now, axis=0), np.take(p["B"], last, axis=0)
+    h = c @ p["O"]
+    h += np.take(p["U"], now, axis=0)
+    h += np.take(p["P"], last, axis=0)
+    h += pa * pb
+
+    used = np.flatnonzero(scored.ravel())
+    y = np.take(target.ravel(), used)
     n = len(y)
-    group, member = np.divmod(y, width)
-    grad = {x: np.zeros_like(w) for x, w in p.items()}
-    w = np.float32(1.0 / n)
-
-    z = _softmax(h @ p["G"] + p["g"])
-    loss = -np.log(z[np.arange(n), group] + 1e-30).sum()
-    z[np.arange(n), group] -= 1
+    group, member = y // width, y % width
+    order = np.argsort(group.astype(np.int16), kind="stable")  # positions stand by group from here on
+    used, group, member = used[order], group[order], member[order]
+    h = np.take(h, used, axis=0)
+    count = np.bincount(group, minlength=len(p["g"]))
+    ends = np.cumsum(count)
+    spans = [(g, i, j) for g, (i, j) in enumerate(zip((ends - count).tolist(), ends.tolist())) if i < j]
+    grad, w, at = {}, kind.type(1.0 / n), np.arange(n)
+
+    z = h @ p["G"]
+    z += p["g"]
+    loss = _softmax_loss(z, group, at)
+    z *= w
+    grad["G"], grad["g"], dh = h.T @ z, np.ones(n, kind) @ z, z @ p["G"].T
+    z, inner = np.empty((n, width), kind), np.empty((n, dim), kind)
+    for g, i, j in spans:
+        np.matmul(h[i:j], p["T"][g], out=z[i:j])
+    z += np.take(p["t"], group, axis=0)
+    loss += _softmax_loss(z, member, at)
     z *= w
-    grad["G"], grad["g"], dh = h.T @ z, z.sum(axis=0), z @ p["G"].T
-    order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=len(p["g"])))
-    for g, (i, j) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
-        if i < j:
-            rows = order[i:j]
-            hr, m = h[rows], member[rows]
-            z = _softmax(hr @ p["T"][g] + p["t"][g])
-            loss -= np.log(z[np.arange(j - i), m] + 1e-30).sum()
-            z[np.arange(j - i), m] -= 1
-            z *= w
-            grad["T"][g], grad["t"][g] = hr.T @ z, z.sum(axis=0)
-            dh[rows] += z @ p["T"][g].T
-
-    full = np.zeros((*scored.shape, dim), np.float32)
-    full[scored] = dh
-    for name, at, rows in (("U", now, full), ("P", last, full), ("A", now, full * pb), ("B", last, full * pa)):
-        _add_rows(grad[name], at.ravel(), rows.reshape(-1, dim))
-    grad["O"] = c.reshape(-1, dim).T @ full.reshape(-1, dim)
-    dc = _heads(full @ p["O"].T)
-    dv = a.transpose(0, 1, 3, 2) @ dc
-    da = dc @ v.transpose(0, 1, 3, 2)
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    by_far = ds.sum(axis=0)
+    grad["T"], grad["t"] = np.zeros_like(p["T"]), np.zeros_like(p["t"])
+    for g, i, j in spans:
+        np.matmul(h[i:j].T, z[i:j], out=grad["T"][g])
+        np.matmul(z[i:j], p["T"][g].T, out=inner[i:j])
+    grad["t"][[g for g, _, _ in spans]] = np.add.reduceat(z, [i for _, i, _ in spans], axis=0)
+    dh += inner
+
+    by_now, by_last, by_key = np.empty((rows, 3 * dim), kind), np.empty((rows, 2 * dim), kind), np.empty((*k.shape[:2], 2 * dim), kind)
+    full = np.zeros((rows, dim), kind)
+    full[used] = dh
+    by_now[:, :dim], by_last[:, :dim] = full, full
+    np.multiply(full, pb, out=by_now[:, dim:2 * dim])
+    np.multiply(full, pa, out=by_last[:, dim:])
+    grad["O"], grad["R"] = c.T @ full, np.zeros_like(p["R"])
+    dc = (full @ p["O"].T).reshape(-1, step, dim)
+    dq = by_now[:, 2 * dim:].reshape(-1, step, dim)
+    c = c.reshape(-1, step, dim)
     for x in range(HEADS):
-        grad["R"][x] = np.bincount(np.maximum(far, 0).ravel(), (by_far[x] * (far >= 0)).ravel(), back + step)
-    flat = lambda x: x.transpose(0, 2, 1, 3).reshape(-1, dim)
-    dq, dk, dv = flat(ds @ k) * scale, flat(ds.transpose(0, 1, 3, 2) @ q), flat(dv)
-    grad["Q"], grad["K"], grad["V"] = eq.reshape(-1, dim).T @ dq, e.reshape(-1, dim).T @ dk, e.reshape(-1, dim).T @ dv
-    de = (dk @ p["K"].T + dv @ p["V"].T).reshape(e.shape)
-    de[:, back:] += (dq @ p["Q"].T).reshape(eq.shape)
-    _add_rows(grad["E"], ids.ravel(), de.reshape(-1, dim))
+        cut = slice(x * part, (x + 1) * part)
+        kept = slice(dim + x * part, dim + (x + 1) * part)
+        np.matmul(att[x].transpose(0, 2, 1), dc[:, :, cut], out=by_key[:, :, kept])
+        ds = np.matmul(dc[:, :, cut], v[:, :, cut].transpose(0, 2, 1))
+        ds -= ((c[:, :, cut] * dc[:, :, cut]) @ np.ones(part, kind))[:, :, None]  # the weights' own mean of it
+        ds *= att[x]
+        by_far = (np.ones(len(ds), kind) @ ds.reshape(len(ds), -1)).reshape(far.shape)
+        grad["R"][x] = np.bincount(np.maximum(far, 0).ravel(), (by_far * (far >= 0)).ravel(), back + step)
+        np.matmul(ds, k[:, :, cut], out=dq[:, :, cut])
+        np.matmul(ds.transpose(0, 2, 1), q[:, :, cut], out=by_key[:, :, cut])
+    by_now[:, 2 * dim:] = dq.reshape(-1, dim)
+    grad["U"], grad["A"], dq = np.split(_sums(size, now, by_now), 3, axis=1)
+    grad["P"], grad["B"] = np.split(_sums(size, last, by_last), 2, axis=1)
+    dk, dv = np.split(_sums(size, flat, by_key.reshape(-1, 2 * dim)), 2, axis=1)
+    grad["E"] = np.zeros_like(p["E"])
+    for x, d in (("Q", dq * scale), ("K", dk), ("V", dv)):
+        grad[x] = p["E"].T @ d
+        grad["E"] += d @ p[x].T
     return float(loss / n), grad
 
 
-def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
+def _exp(s: np.ndarray, seen: np.ndarray) -> None:
+    """In place; what isn't seen counts as 0.  Any number may be taken off a row, so none is when all are small."""
+    if s.max() > _TOP or np.where(seen > 0, s, 0).min() < -_TOP:
+        s -= np.where(seen > 0, s, s.dtype.type(_BIG)).max(axis=-1, keepdims=True)
+        np.clip(s, -_TOP, _TOP, out=s)
+    np.exp(s, out=s)
+    s *= seen
+
+
+def _softmax_loss(z: np.ndarray, at: np.ndarray, rows: np.ndarray) -> float:
+    """Turns ``z`` into the gradient of the summed loss, minus the log of the softmax at one place of each row."""
+    if z.max() > _TOP or z.min() < -_TOP:
+        z -= z.max(axis=1, keepdims=True)
+        np.maximum(z, -_TOP, out=z)
+    np.exp(z, out=z)
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
+    loss = -np.log(z[rows, at] + 1e-30).sum()
+    z[rows, at] -= 1
+    return loss
+
+
+def _sums(size: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each place.  Two columns are added at a time, as one complex number."""
+    order = np.argsort(at.astype(np.min_scalar_type(size)), kind="stable")
     s = at[order]
     first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-    total[s[first]] += np.add.reduceat(rows[order], first, axis=0)
+    out = np.zeros((size, rows.shape[1]), rows.dtype)
+    pairs = np.take(rows, order, axis=0).view(np.result_type(rows.dtype, np.complex64))
+    out[s[first]] = np.add.reduceat(pairs, first, axis=0).view(rows.dtype)
+    return out
 
 
 def train(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, back: int, step: int, steps: int, batch: int = 256,
@@ -246,16 +291,28 @@ def train(p: dict[str, np.ndarray], ids: np.ndarray, lengths: np.ndarray, back:
     rng, losses = np.random.default_rng(seed), []
     m, v = ({k: np.zeros_like(w) for k, w in p.items()} for _ in range(2))
     order = np.zeros(0, np.int64)
+    starts = np.cumsum(lengths + 1) - lengths - 1
     for t in range(1, steps + 1):
         while len(order) < batch:
             order = np.concatenate([order, rng.permutation(len(text))])
         rows, order = order[:batch], order[batch:]
-        at, absent, scored = window_ids(text[rows], first[rows], lengths, back, step)
+        at, absent, scored = window_ids(text[rows], first[rows], lengths, back, step, starts)
         loss, g = gradients(p, ids[at], absent, ids[at[:, back:] + 1], scored, back, step)
         losses.append(loss)
         lr = rate * min(1.0, t / 20) * (1.0 - 0.95 * t / steps)
         for k, w in p.items():
-            m[k] += 0.1 * (g[k] - m[k])
-            v[k] += 0.01 * (g[k] * g[k] - v[k])
-            w -= (lr * (m[k] / (1 - 0.9**t) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8) + decay * w)).astype(np.float32)
+            d = g[k] - m[k]
+            d *= 0.1
+            m[k] += d
+            np.multiply(g[k], g[k], out=d)
+            d -= v[k]
+            d *= 0.01
+            v[k] += d
+            np.multiply(v[k], 1 / (1 - 0.99**t), out=d)
+            np.sqrt(d, out=d)
+            d += 1e-8
+            np.divide(m[k], d, out=d)
+            d *= lr / (1 - 0.9**t)
+            w *= 1 - lr * decay
+            w -= d
     return losses

@@ -41,6 +41,24 @@ def test_gradients():
             assert abs((up - down) / 2e-5 - grad[k][i]) < 1e-6, k
 
 
+def test_gradients_are_summed_by_token():
+    """A step looks up what depends on the token only: it takes no product over all positions for
+    queries, keys or values, and sums of repeated tokens are those of one row after the other."""
+    rng = np.random.default_rng(2)
+    for kind in (np.float32, np.float64):
+        at, rows = rng.integers(0, 40, 3000), rng.normal(size=(3000, 8)).astype(kind)
+        want = np.zeros((50, 8))
+        np.add.at(want, at, rows)
+        got = lm._sums(50, at, rows)
+        assert got.dtype == kind and np.allclose(got, want, atol=1e-4)
+    p, ids, lengths = small(np.float32)
+    text, first = lm.window_list(lengths, STEP)
+    at, absent, scored = lm.window_ids(text, first, lengths, BACK, STEP)
+    for grow in (1, 3000):  # weights of any size leave numbers, also where all others have next to none
+        loss, grad = lm.gradients({k: w * np.float32(grow) for k, w in p.items()}, ids[at], absent, ids[at[:, BACK:] + 1], scored, BACK, STEP)
+        assert math.isfinite(loss) and all(np.isfinite(g).all() and g.dtype == np.float32 for g in grad.values())
+
+
 def test_each_position_is_scored_once_and_the_loss_agrees():
     p, ids, lengths = small(np.float32)
     text, first = lm.window_list(lengths, STEP)
