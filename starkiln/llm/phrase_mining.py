@@ -329,7 +329,8 @@ def mine_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
                        F.when(first, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
     around = three.select("lang", "w1", "w2", "a").unionByName(three.select("lang", F.col("w2").alias("w1"), F.col("w3").alias("w2"), "a"))
     around = around.groupBy("lang", "w1", "w2").agg(F.max("a").alias("longer"))
-    free = pairs.join(around, ["lang", "w1", "w2"], "left").filter(100 * F.coalesce("longer", F.lit(0)) < contained * F.col("a"))
+    # grows with the phrases, of which Parquet files are a fraction of what a broadcast takes
+    free = pairs.join(around.hint("merge"), ["lang", "w1", "w2"], "left").filter(100 * F.coalesce("longer", F.lit(0)) < contained * F.col("a"))
     found = free.select("lang", "phrase", "a", "l", "r", "score").unionByName(triples)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
     best = found.withColumn("rank", rank).filter(F.col("rank") <= top)

@@ -12,7 +12,7 @@ from checks.compare import duck
 from starkiln.llm import interaction_audit as IA
 from starkiln.llm import phrase_mining as PM
 from starkiln.llm import quality_rules as QR
-from starkiln.llm.common import scratch
+from starkiln.llm.common import scratch, spread_join
 from starkiln.llm.registry import ORACLES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -231,3 +231,17 @@ def test_queries_against_sql(spark, name):
     want = duck(SF_SMALL).execute(ORACLES[name]).to_arrow_table().to_pylist()
     row = lambda r: tuple(str(r[c]) for c in sorted(r))
     assert sorted(map(row, (r.asDict() for r in QUERIES[name](spark, SF_SMALL).collect()))) == sorted(map(row, want))
+
+
+def test_phrases_are_not_broadcast(spark):
+    """A table exploded for a join is taken for no larger than its files, though it may fill the driver.
+    Only the totals, one row a language, go through it."""
+    df = spark.createDataFrame([("new york is new. " * 40, "en"), ("a b c d " * 30, "de")], "text string, lang string")
+    got = PM.mine_phrases(df)
+    joins = re.findall(r"(\w+Join) \[(.*?)\]", got._jdf.queryExecution().executedPlan().toString())
+    assert len([j for j, _ in joins if j == "SortMergeJoin"]) == 7
+    assert [re.sub(r"#\d+", "", keys) for j, keys in joins if j != "SortMergeJoin"] == ["lang"]
+    left, right = spark.range(50).selectExpr("id % 5 AS k", "id"), spark.range(5).selectExpr("id AS k", "id * 2 AS v")
+    met = spread_join(left, right, ["k"], F.col("id"))
+    assert sorted((r.id, r.v) for r in met.collect()) == [(i, i % 5 * 2) for i in range(50)]
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
